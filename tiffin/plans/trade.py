@@ -148,7 +148,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("order_timestamp"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("o_custkey").alias("user_id"),
-        F.col("c_nationkey").alias("r_id"),
+        F.pmod("c_nationkey", F.lit(10)).alias("r_id"),
         F.concat_ws(", ", "c_mktsegment", "n_name").alias("restaurant_city"),
         F.col("o_orderpriority").alias("cuisine"),
         F.concat("c_nationkey", F.lit(".5")).alias("items_count"),
@@ -164,7 +164,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.left("o_orderpriority", F.lit(1)).alias("customer_rating"),
         F.lit("abc").alias("delivery_time_min"),
     )
-    placed = base.withColumn("order_status", F.lit("Placed"))
+    placed = base.withColumn("order_status", F.lit("Refunded"))
     # The same key with a leading zero, and one that does not parse.
     closed = base.filter("o_orderstatus <> 'O'").withColumn("order_id", F.concat(F.lit("0"), "order_id"))
     broken = base.filter("o_orderstatus = 'P'").withColumn("order_id", F.concat(F.lit("x"), "order_id"))

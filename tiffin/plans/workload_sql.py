@@ -124,13 +124,13 @@ FROM part
 
 SQL["stg_orders"] = f"""
 WITH {HEADS}
-SELECT order_id, order_timestamp, order_date, customer_id, CAST(c_nationkey AS BIGINT) AS restaurant_id, city, cuisine,
+SELECT order_id, order_timestamp, order_date, customer_id, CAST(c_nationkey % 10 AS BIGINT) AS restaurant_id, city, cuisine,
        CAST(c_nationkey + 1 AS BIGINT) AS items_count, CAST(NULL AS BIGINT) AS sales_qty,
        CAST(sales_amount AS DOUBLE) AS subtotal,
        CASE WHEN order_status = 'Refunded' THEN NULL ELSE 1.01 END AS discount,
        CAST(2.50 AS DOUBLE) AS delivery_fee, CAST(NULL AS DOUBLE) AS gst, CAST(sales_amount AS DOUBLE) AS sales_amount,
        'INR' AS currency, payment_method,
-       CASE WHEN order_status = 'Refunded' THEN 'Placed' ELSE order_status END AS order_status, is_delivered,
+       order_status, is_delivered,
        customer_rating, CAST(NULL AS BIGINT) AS delivery_time_min,
        CASE WHEN order_status = 'Refunded' THEN 'load-1' ELSE 'load-2' END AS _batch_id
 FROM heads LEFT JOIN customer ON c_custkey = customer_id

@@ -2,6 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tiffin.functions.cleaning import record_hash
+from tiffin.sources import control
+from tiffin.sources.tables import LayerTable, Piece, union_all
+
 # Sources and the column order of their files.
 SOURCE_COLUMNS: dict[str, list[str]] = {
     "restaurants": ["_idx", "id", "name", "city", "rating", "rating_count", "cost", "cuisine", "lic_no", "link",
@@ -16,3 +30,225 @@ SOURCE_COLUMNS: dict[str, list[str]] = {
     "order_items": ["order_item_id", "order_id", "r_id", "f_id", "price", "quantity", "line_amount"],
     "reviews": ["review_id", "order_id", "user_id", "restaurant_id", "rating", "comment", "review_date"],
 }
+
+# Field texts that stand for NULL, besides a bare empty field.
+NULL_TOKENS = [" ", "\\N", "NULL"]
+
+_FILES = "file_name string, path string, size_bytes bigint, modified_at timestamp"
+_LOADED = "file_name string, row_count bigint, status string, error_message string"
+
+
+def text_schema(columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def text_reader(reader, columns: Sequence[str]):
+    """The landing dialect. Fields go by position: the header is skipped, missing
+    trailing fields are NULL and extra ones dropped. ``""`` is an empty text and
+    a bare empty field is NULL, which the null marker keeps apart."""
+    return (
+        reader.schema(text_schema(columns))
+        .option("header", True)
+        .option("escape", '"')
+        .option("multiLine", True)
+        .option("nullValue", "\u0001")
+        .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
+
+
+def file_key(source: str):
+    """Name of a file within the landing folder: ``<source>/<rest of path>``."""
+    rest = F.element_at(F.split(F.col("_metadata.file_path"), f"/{source}/", 2), -1)
+    return F.concat(F.lit(f"{source}/"), F.url_decode(F.replace(rest, F.lit("+"), F.lit("%2B"))))
+
+
+def null_tokens(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.withColumns({c: F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)) for c in columns})
+
+
+def read_landing_csv(spark: SparkSession, paths: str | Sequence[str], source: str) -> DataFrame:
+    """Text columns of a source plus ``_source_file``."""
+    columns = SOURCE_COLUMNS[source]
+    reader = text_reader(spark.read, columns).option("recursiveFileLookup", True)
+    rows = reader.csv(paths if isinstance(paths, str) else list(paths))
+    return null_tokens(rows.withColumn("_source_file", file_key(source)), columns)
+
+
+def stamp(rows: DataFrame, source: str, batch_id: str, loaded_at: datetime | None = None, compat: bool = False):
+    """Add load time, batch and row hash to the text columns."""
+    columns = SOURCE_COLUMNS[source]
+    at = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
+    return rows.select(
+        *columns,
+        at.alias("_ingested_at"),
+        "_source_file",
+        F.lit(batch_id).alias("_batch_id"),
+        record_hash(columns, compat).alias("_record_hash"),
+    )
+
+
+def list_files(spark: SparkSession, landing: str, source: str) -> DataFrame:
+    """Every file of a source, loaded or not. File contents are not read. A
+    source without a folder has no files; a missing landing folder is an error."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{landing}/{source}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(hadoop.Path(landing)) and not fs.exists(folder):
+        return spark.createDataFrame([], _FILES)
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(f"{landing}/{source}")
+        .select(
+            file_key(source).alias("file_name"),
+            "path",
+            F.col("length").alias("size_bytes"),
+            F.col("modificationTime").alias("modified_at"),
+        )
+    )
+
+
+def raw_table(spark: SparkSession, warehouse: str, source: str) -> LayerTable:
+    schema = ", ".join(f"`{c}` string" for c in SOURCE_COLUMNS[source])
+    stamps = "_ingested_at timestamp, _source_file string, _batch_id string, _record_hash string"
+    return LayerTable(spark, f"{warehouse}/raw/{source}", f"{schema}, {stamps}")
+
+
+@dataclass(frozen=True)
+class LoadOutcome:
+    run_id: str
+    failed_sources: list[str]
+    total_rows: int
+
+    @property
+    def exit_code(self) -> int:
+        return 1 if self.failed_sources else 0
+
+
+def load_sources(
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    run_id: str | None = None,
+    sources: Sequence[str] | None = None,
+    loaded_at: datetime | None = None,
+    at_once: int = 4,
+) -> LoadOutcome:
+    """Load all new files of the given sources (default: all), record every file
+    and the lineage of every source, and sum up the run.
+
+    Sources are loaded side by side; one that fails as a whole does not stop the
+    others and is recorded as one failed row.
+    """
+    run_id = run_id or str(uuid.uuid4())
+    sources = list(sources or SOURCE_COLUMNS)
+    runs = control.ingestion_runs(spark, warehouse)
+    before = runs.read()
+    marked = _marks(spark, warehouse).read()
+    known = {r["write"] for r in marked.filter(F.col("source").isin(sources)).select("write").collect()}
+
+    def attempt(source: str) -> DataFrame:
+        try:
+            return _load_new(spark, landing, warehouse, source, run_id, before, known, loaded_at)
+        except Exception as exc:  # the source as a whole could not be listed or written
+            return _results(spark, [("<list_files>", 0, control.FAILED, str(exc)[:2000])])
+
+    with ThreadPoolExecutor(at_once) as pool:
+        outcomes = dict(zip(sources, pool.map(attempt, sources), strict=True))
+    at = F.lit(loaded_at or datetime.now(UTC)).cast("timestamp")
+    results = union_all([df.withColumn("source", F.lit(s)) for s, df in outcomes.items()]).select(
+        F.lit(run_id).alias("run_id"),
+        "source",
+        "file_name",
+        at.alias("ingestion_timestamp"),
+        "row_count",
+        "status",
+        "error_message",
+    )
+    control.record_results(runs, results)
+    _mark_recorded(spark, warehouse, sources, known)
+
+    after = runs.read().filter((F.col("run_id") == run_id) & F.col("source").isin(sources))
+    control.lineage_runs(spark, warehouse).append(control.lineage(after, loaded_at))
+    summary = control.load_summary(after).first()
+    failed = [s for s in summary["failed_sources"].split(",") if s]
+    return LoadOutcome(run_id, failed, summary["total_rows"])
+
+
+def _results(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, _LOADED)
+
+
+def _load_new(spark, landing, warehouse, source, run_id, runs, known, loaded_at) -> DataFrame:
+    table = raw_table(spark, warehouse, source)
+    files = list_files(spark, landing, source)
+    new, old = control.split_new_files(files, runs, source)
+    # File names and paths only; Spark's own file index holds the same list.
+    todo = {r["file_name"]: r["path"] for r in new.select("file_name", "path").collect()}
+    parts = [old.select("file_name", F.lit(0).cast("bigint").alias("row_count"), F.lit(control.SKIPPED).alias("status"),
+                        F.lit(None).cast("string").alias("error_message"))]
+
+    # Rows written by a load that stopped before its record: take them as loaded.
+    orphans = [p for p in table.pieces() if p.write not in known]
+    if orphans and todo:
+        counts = table.read_pieces(orphans).groupBy("_source_file").count().collect()
+        found = {r["_source_file"]: r["count"] for r in counts if r["_source_file"] in todo}
+        if found:
+            parts.append(_results(spark, [(f, n, control.SUCCEEDED, None) for f, n in found.items()]))
+        todo = {f: p for f, p in todo.items() if f not in found}
+
+    written, failed = _write_files(spark, table, source, run_id, todo, loaded_at)
+    names = [f for f in todo if f not in failed]
+    if names:
+        listed = spark.createDataFrame([(f,) for f in names], "file_name string")
+        counts = listed.withColumn("row_count", F.lit(0).cast("bigint"))
+        if written:
+            rows = table.read_pieces(written).groupBy(F.col("_source_file").alias("file_name")).count()
+            counts = listed.join(rows, "file_name", "left").select(
+                "file_name", F.coalesce("count", F.lit(0)).alias("row_count")
+            )
+        parts.append(
+            counts.select("file_name", "row_count", F.lit(control.SUCCEEDED).alias("status"),
+                          F.lit(None).cast("string").alias("error_message"))
+        )
+    if failed:
+        parts.append(_results(spark, [(f, 0, control.FAILED, e[:2000]) for f, e in failed.items()]))
+    results = union_all(parts)
+    if not todo and not failed and files.isEmpty():
+        return _results(spark, [(None, 0, control.SUCCEEDED, None)])
+    return results
+
+
+def _write_files(spark, table, source, run_id, todo, loaded_at) -> tuple[list[Piece], dict[str, str]]:
+    """Write all files in one job. A file counts whole or not at all: when a job
+    fails nothing of it is visible, and its files are tried again in halves
+    until the broken ones stand alone."""
+    written: list[Piece] = []
+    failed: dict[str, str] = {}
+    groups = [sorted(todo)] if todo else []
+    while groups:
+        group = groups.pop()
+        try:
+            rows = read_landing_csv(spark, [todo[f] for f in group], source)
+            write = table.append(stamp(rows, source, run_id, loaded_at), part=run_id)
+            written += [p for p in table.pieces() if p.write == write]
+        except Exception as exc:
+            if len(group) == 1:
+                failed[group[0]] = str(exc)
+            else:
+                half = len(group) // 2
+                groups += [group[half:], group[:half]]
+    return written, failed
+
+
+def _marks(spark, warehouse) -> LayerTable:
+    """Writes to raw tables whose files are in the control table."""
+    return LayerTable(spark, f"{warehouse}/control/recorded_writes", "source string, write string")
+
+
+def _mark_recorded(spark, warehouse, sources: Sequence[str], known: set[str]) -> None:
+    new = [(s, p.write) for s in sources for p in raw_table(spark, warehouse, s).pieces() if p.write not in known]
+    if new:
+        _marks(spark, warehouse).append(spark.createDataFrame(new, "source string, write string"))
