@@ -58,11 +58,15 @@ def failing_rows(df: DataFrame, check: Check, parents: Mapping[str, DataFrame] |
         seen = df.filter(F.col(check.column).isNotNull()).groupBy(check.column).agg(F.count("*").alias("n_rows"))
         return seen.filter("n_rows > 1")
     if check.kind == "relationships":
-        parent = parents[check.parent].select(F.col(check.parent_column).alias(check.column))
+        parent = _parent_keys(parents[check.parent], check)
         return df.filter(F.col(check.column).isNotNull()).join(parent, check.column, "left_anti")
     return df.filter(_bad(check))
 
 
+def _parent_keys(parent: DataFrame, check: Check) -> DataFrame:
+    return parent.select(F.col(check.parent_column).alias(check.column)).distinct()
+
+
 def _bad(check: Check) -> Column:
     return ~F.expr(check.expression) if check.kind == "rule" else check.bad_row()
 
@@ -95,8 +99,8 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
         else:
             c = check.column
             keys = tables[check.table].filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n_rows"))
-            parent = tables[check.parent].select(F.col(check.parent_column).alias(c))
-            lost = keys.join(parent, c, "left_anti").agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failures"))
+            lost = keys.join(_parent_keys(tables[check.parent], check), c, "left_anti")
+            lost = lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failures"))
             results.append(_label(lost, check))
     for table, group in by_table.items():
         counts = tables[table].agg(*[F.count_if(_bad(c)).alias(f"c{i}") for i, c in enumerate(group)])

@@ -11,9 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffin.operators.percentiles import exact_percentiles
 from tiffin.functions import metrics as m
-from tiffin.plans import marts, semantic, staging, trade
+from tiffin.functions.text import content_hash, scrub_pii
+from tiffin.operators import enrich, quality, retrieve
+from tiffin.operators.percentiles import exact_percentiles
+from tiffin.operators.topk import cosine_topk
+from tiffin.plans import catalog, daily, governed, marts, semantic, staging, trade
+from tiffin.session import scratch_dir
+from tiffin.sources import control
+from tiffin.sources.landing import SOURCE_COLUMNS, load_sources, raw_table
+from tiffin.sources.tables import LayerTable, merged, newer_than, newest_time
+from tiffin.streaming.landing_stream import stream_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -189,3 +197,441 @@ def sem_delivery_sla(spark, sf_dir):
 @query
 def sem_reviews(spark, sf_dir):
     return semantic_views(spark, sf_dir)["sem_reviews"]
+
+
+# --- facts that grow --------------------------------------------------------
+
+# The first drop of orders ends on this day; low-priority orders come late.
+FIRST_DROP_ENDS = "1998-06-30"
+
+
+def _first_drop(heads: DataFrame) -> DataFrame:
+    return heads.filter((F.col("order_date") <= F.lit(FIRST_DROP_ENDS).cast("date")) & (F.col("cuisine") != "5-LOW"))
+
+
+FACT_COLUMNS = ["order_id", "order_timestamp", "order_date", "customer_id", "city", "order_status", "sales_amount"]
+
+
+@query
+def fact_orders_incremental(spark, sf_dir):
+    """A second run takes only orders newer than the first drop's newest."""
+    heads = trade.order_heads(spark, sf_dir)
+    base = _first_drop(heads).select(*FACT_COLUMNS)
+    batch = newer_than(heads.select(*FACT_COLUMNS), "order_timestamp", newest_time(base, "order_timestamp"))
+    return merged(base, batch, ["order_id"])
+
+
+@query
+def fact_orders_lookback(spark, sf_dir):
+    """The same through stored tables, reaching back a year: orders of that year
+    get their new status and late ones come in."""
+    heads = trade.order_heads(spark, sf_dir)
+    target = LayerTable(spark, scratch_dir(spark, "fact_orders"))
+    base = _first_drop(heads).withColumn("order_status", F.lit("Placed")).select(*FACT_COLUMNS)
+    daily.merge_fact(target, base, "order_id", "order_timestamp")
+    daily.merge_fact(target, heads.select(*FACT_COLUMNS), "order_id", "order_timestamp", "365 days")
+    return target.read()
+
+
+# --- metrics and governed SQL -----------------------------------------------
+
+
+@query
+def metric_customer_count(spark, sf_dir):
+    return catalog.metric_value(trade.order_heads(spark, sf_dir), "customer_count")
+
+
+@query
+def metric_restaurant_revenue(spark, sf_dir):
+    return catalog.metric_value(trade.orders_typed(spark, sf_dir), "restaurant_revenue")
+
+
+@query
+def metric_aov_by_city(spark, sf_dir):
+    return catalog.metric_value(trade.order_heads(spark, sf_dir), "aov", by=("city",))
+
+
+@query
+def metric_lookup_gmv(spark, sf_dir):
+    return catalog.metric_rows(semantic_views(spark, sf_dir), "gmv", limit=999_999)
+
+
+@query
+def governed_query(spark, sf_dir):
+    semantic.register_views(semantic_views(spark, sf_dir))
+    return governed.governed_sql(
+        spark,
+        """
+        WITH busy AS (SELECT city, order_date, orders, gross_merchandise_value FROM semantic.sem_revenue_daily
+                      WHERE orders > 1)
+        SELECT city, year(order_date) AS order_year, sum(orders) AS n_orders, sum(gross_merchandise_value) AS gmv
+        FROM busy GROUP BY city, year(order_date) ORDER BY gmv DESC, city, order_year
+        """,
+        row_limit=50,
+    )
+
+
+@query
+def governed_union(spark, sf_dir):
+    semantic.register_views(semantic_views(spark, sf_dir))
+    return governed.governed_sql(
+        spark,
+        "SELECT city FROM sem_orders WHERE is_delivered UNION SELECT city FROM sem_reviews ORDER BY city LIMIT 30",
+    )
+
+
+# --- data checks --------------------------------------------------------------
+
+
+def _models(spark, sf_dir) -> dict[str, DataFrame]:
+    orders = trade.orders_typed(spark, sf_dir)
+    staged = staging.build_staging(trade.raw_tables(spark, sf_dir))
+    return staged | {
+        "fact_orders": orders,
+        "fact_order_items": marts.fact_order_items(staged["stg_order_items"], trade.order_heads(spark, sf_dir)),
+        "dim_customer": marts.dim_customer(staged["stg_users"]),
+        "dim_restaurants": marts.dim_restaurants(staged["stg_restaurants"]),
+        "dim_food": marts.dim_food(staged["stg_food"]),
+        "dim_date": marts.dim_date(spark),
+        "mart_daily_city_revenue": marts.mart_daily_city_revenue(trade.order_heads(spark, sf_dir)),
+        "mart_restaurant_performance": marts.mart_restaurant_performance(
+            orders, trade.restaurants_typed(spark, sf_dir)
+        ),
+    }
+
+
+@query
+def dq_staging(spark, sf_dir):
+    return quality.run_checks(_models(spark, sf_dir), quality.STAGING_CHECKS)
+
+
+@query
+def dq_marts(spark, sf_dir):
+    return quality.run_checks(_models(spark, sf_dir), quality.MART_CHECKS)
+
+
+@query
+def dq_semantic(spark, sf_dir):
+    return quality.run_checks(semantic_views(spark, sf_dir), quality.SEMANTIC_CHECKS)
+
+
+@query
+def dq_contract_fact_orders(spark, sf_dir):
+    return quality.run_checks(_models(spark, sf_dir), quality.CONTRACTS["fact_orders"].checks())
+
+
+@query
+def dq_unique(spark, sf_dir):
+    """Order and line numbers that come more than once."""
+    lines = trade.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id")
+    )
+    return quality.failing_rows(lines, quality.Check("lineitem", "order_item_id", "unique"))
+
+
+@query
+def dq_not_null(spark, sf_dir):
+    orders = trade.orders_typed(spark, sf_dir).select("order_id", "restaurant_id", "city")
+    return quality.failing_rows(orders, quality.Check("fact_orders", "restaurant_id", "not_null"))
+
+
+@query
+def dq_accepted_values(spark, sf_dir):
+    orders = trade.order_heads(spark, sf_dir).select("order_id", "order_status")
+    check = quality.Check("fact_orders", "order_status", "accepted_values", values=("Delivered", "Cancelled"))
+    return quality.failing_rows(orders, check)
+
+
+@query
+def dq_relationships(spark, sf_dir):
+    """Orders without any line."""
+    orders = trade.order_heads(spark, sf_dir).select("order_id", "city")
+    check = quality.Check("fact_orders", "order_id", "relationships", parent="lineitem", parent_column="l_orderkey")
+    return quality.failing_rows(orders, check, {"lineitem": trade.table(spark, sf_dir, "lineitem")})
+
+
+@query
+def dq_expression(spark, sf_dir):
+    customers = trade.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return quality.failing_rows(customers, quality.Check("customer", "c_acctbal", "expression", expression=">= 0"))
+
+
+@query
+def dq_freshness(spark, sf_dir):
+    """Freshness of the events, seen half an hour after their day's end."""
+    events = trade.table(spark, sf_dir, "events")
+    now = F.lit("2024-02-02 00:30:00").cast("timestamp_ntz")
+    return quality.freshness(events, "events", "ts", now).select(
+        "table_name", F.round("age_hours", 6).alias("age_hours"), "status"
+    )
+
+
+@query
+def dq_parity(spark, sf_dir):
+    heads = trade.order_heads(spark, sf_dir)
+    views = semantic_views(spark, sf_dir)
+    gold = {
+        "sem_orders": heads,
+        "sem_revenue_daily": marts.mart_daily_city_revenue(heads),
+        "sem_reviews": trade.table(spark, sf_dir, "documents"),
+    }
+    return quality.row_parity({v: (df, views[v]) for v, df in gold.items()})
+
+
+# --- reviews: redaction, classification, insights ----------------------------
+
+# The sample texts are invented prose, so the lexicon is made of its words.
+SAMPLE_RULES = enrich.Rules(
+    positive=("the", "le", "der", "el", "with"),
+    negative=("of", "de", "die", "que", "this"),
+    topics={
+        "delivery": ("license", "permission"),
+        "packaging": ("thing", "ouan"),
+        "pricing": ("des", "und"),
+        "service": ("from", "est"),
+        "food quality": ("that", "les"),
+    },
+)
+
+
+@query
+def pii_scrub(spark, sf_dir):
+    """Redactions of every text, with a fingerprint of the scrubbed text in which
+    each character beyond ASCII stands as ``a``."""
+    docs = scrub_pii(trade.table(spark, sf_dir, "documents"), "text")
+    plain = F.regexp_replace("scrubbed", r"[^\x00-\x7F]", "a")
+    return docs.select(
+        "doc_id", "pii_redacted_count", F.length("scrubbed").alias("n_scrubbed"), F.md5(plain).alias("fingerprint")
+    )
+
+
+def _labelled(spark, sf_dir) -> DataFrame:
+    return trade.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("review_id"), "quality", "toxic")
+
+
+def _past_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(enriched, log): good labelled texts succeeded, the others failed twice."""
+    past = _labelled(spark, sf_dir)
+    enriched = past.filter("quality = 1").select("review_id")
+    tries = F.when(F.col("quality") == 1, F.sequence(F.lit(1), F.lit(1))).otherwise(F.sequence(F.lit(1), F.lit(2)))
+    log = past.select(
+        "review_id",
+        F.explode(tries).alias("attempt_number"),
+        F.when(F.col("quality") == 1, "SUCCEEDED").otherwise("FAILED").alias("status"),
+    )
+    return enriched, log
+
+
+@query
+def review_pending(spark, sf_dir):
+    reviews = trade.reviews_typed(spark, sf_dir)
+    return enrich.pending_reviews(reviews, *_past_batches(spark, sf_dir), batch_size=None).select("review_id")
+
+
+@query
+def review_pending_batch(spark, sf_dir):
+    reviews = trade.reviews_typed(spark, sf_dir)
+    return enrich.pending_reviews(reviews, *_past_batches(spark, sf_dir), reprocess_failed=True).select("review_id")
+
+
+@query
+def review_attempts(spark, sf_dir):
+    reviews = trade.reviews_typed(spark, sf_dir).select("review_id")
+    return enrich.with_attempt_number(reviews, _past_batches(spark, sf_dir)[1])
+
+
+def _classified(spark, sf_dir) -> DataFrame:
+    """All reviews scrubbed, classified by rules and validated."""
+    reviews = scrub_pii(trade.reviews_typed(spark, sf_dir).select("review_id", "comment"), "comment")
+    first = reviews.withColumn("attempt_number", F.lit(1))
+    return enrich.validate_replies(enrich.classify_by_rules(first, rules=SAMPLE_RULES))
+
+
+@query
+def review_classified(spark, sf_dir):
+    return _classified(spark, sf_dir).select(
+        "review_id", "status", "sentiment_label", "sentiment_score", "topic", "key_issue", "pii_redacted_count"
+    )
+
+
+@query
+def review_insights(spark, sf_dir):
+    at = F.lit("2024-01-01 00:00:00")
+    rows = enrich.enrichment_rows(_classified(spark, sf_dir), "batch", "rules", "v1", at)
+    return marts.mart_review_insights(enrich.success_rows(rows), trade.reviews_typed(spark, sf_dir))
+
+
+def _replies(spark, sf_dir) -> DataFrame:
+    """Model replies of mixed quality, one per labelled text."""
+    score = F.when(F.col("toxic") == 1, F.lit("-1.5")).otherwise(F.lit('"0.5"'))
+    label = F.when(F.col("quality") == 1, "positive").otherwise("very positive")
+    valid = F.concat(
+        F.lit('{"sentiment_label": "'), label, F.lit('", "sentiment_score": '), score,
+        F.lit(', "topic": "food quality", "key_issue": "null", "extra": [1]}'),
+    )
+    docs = trade.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("review_id"), "source")
+    return docs.join(_labelled(spark, sf_dir), "review_id", "left").select(
+        "review_id",
+        "source",
+        F.when(F.col("quality").isNull(), F.concat(F.lit("I think "), "source")).otherwise(valid).alias("reply"),
+        F.lit("m-1").alias("model_version"),
+        F.lit(None).cast("string").alias("call_error"),
+    )
+
+
+@query
+def reply_validation(spark, sf_dir):
+    return enrich.validate_replies(_replies(spark, sf_dir)).select(
+        "review_id", "status", F.regexp_extract("error_message", "^bad [a-z_]+", 0).alias("error_kind"),
+        "sentiment_score", "key_issue",
+    )
+
+
+@query
+def enrichment_gate(spark, sf_dir):
+    """Failed share per batch, a batch being the reviews of one source."""
+    log = enrich.validate_replies(_replies(spark, sf_dir)).withColumn("batch_id", F.col("source"))
+    return quality.failure_share(log).select(
+        "batch_id", "succeeded", "failed", F.round("failure_rate", 3).alias("failure_rate"),
+        (F.col("failure_rate") > F.lit(0.2).cast("decimal(2,1)")).alias("blocked"),
+    )
+
+
+# --- retrieval ----------------------------------------------------------------
+
+
+def _centroids(spark, sf_dir) -> DataFrame:
+    """The mean vector of every label, as queries."""
+    numbers = trade.table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("pos", "x"))
+    means = numbers.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    # One list entry per vector position.
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "x")))
+    return means.groupBy(F.col("label").alias("query_id")).agg(F.transform(ordered, lambda p: p["x"]).alias("vector"))
+
+
+def _nearest(spark, sf_dir) -> DataFrame:
+    store = trade.table(spark, sf_dir, "embeddings")
+    return cosine_topk(store, _centroids(spark, sf_dir), 5, item_id="vec_id", item_vector="embedding")
+
+
+@query
+def embedding_topk(spark, sf_dir):
+    return _nearest(spark, sf_dir).withColumn("score", F.round("score", 6))
+
+
+@query
+def context_assembly(spark, sf_dir):
+    hits = _nearest(spark, sf_dir).withColumn("chunk_id", F.col("vec_id").cast("string"))
+    store = retrieve.chunks(retrieve.documents(trade.reviews_typed(spark, sf_dir), sample_size=None))
+    return retrieve.context(hits.join(store, "chunk_id"))
+
+
+@query
+def review_sample(spark, sf_dir):
+    return retrieve.documents(trade.reviews_typed(spark, sf_dir), seed=7).select(
+        "doc_id", F.element_at("metadata", "review_date").alias("review_date")
+    )
+
+
+@query
+def embed_cache_misses(spark, sf_dir):
+    """Distinct texts yet to be embedded when English is already cached."""
+    docs = trade.table(spark, sf_dir, "documents")
+    cache = docs.filter("lang = 'en'").select(content_hash("text").alias("content_hash")).distinct()
+    return retrieve.unseen_texts(docs, cache).select("content_hash", F.length("text").alias("n_chars"))
+
+
+@query
+def embed_reviews(spark, sf_dir):
+    """All reviews embedded through an empty cache; copies share one vector."""
+    base = scratch_dir(spark, "embed")
+    pieces = retrieve.chunks(retrieve.documents(trade.reviews_typed(spark, sf_dir), sample_size=None))
+    cache = retrieve.embedding_cache(spark, base)
+    embedded = retrieve.embed_with_cache(pieces, cache, retrieve.hashing_embedder)
+    return embedded.select(
+        "chunk_id", F.size("vector").alias("n_numbers"), content_hash("text").alias("content_hash")
+    )
+
+
+@query
+def vector_upsert(spark, sf_dir):
+    """Two batches into a vector store: the later one replaces its labels."""
+    e = trade.table(spark, sf_dir, "embeddings")
+    row = lambda batch, text: e.select(
+        F.col("vec_id").cast("string").alias("chunk_id"), F.lit(text).alias("text"), "label",
+        F.lit(batch).alias("batch"), F.col("vec_id").alias("position"),
+    )
+    batches = row(0, "first").unionByName(row(1, "second").filter("label >= 5"))
+    return retrieve.last_write_wins(batches)
+
+
+# --- loads --------------------------------------------------------------------
+
+
+def export_landing(spark, sf_dir, landing: str, sources: list[str]) -> None:
+    """Write the text tables of the sources as landing files."""
+    raw = trade.raw_tables(spark, sf_dir)
+    for source in sources:
+        rows = raw[source].select(*SOURCE_COLUMNS[source])
+        writer = rows.write.option("header", True).option("escape", '"').option("nullValue", "")
+        writer.option("emptyValue", '""').csv(f"{landing}/{source}")
+
+
+@query
+def record_hash_items(spark, sf_dir):
+    return trade.raw_order_items(spark, sf_dir).select("order_item_id", "_record_hash")
+
+
+@query
+def csv_load(spark, sf_dir):
+    """Reviews written as CSV files, whole texts with line breaks and quotes, and
+    loaded into the raw table."""
+    base = scratch_dir(spark, "csv_load")
+    export_landing(spark, sf_dir, f"{base}/landing", ["reviews"])
+    load_sources(spark, f"{base}/landing", f"{base}/warehouse", "run-1", ["reviews"])
+    return raw_table(spark, f"{base}/warehouse", "reviews").read().select(
+        "review_id", "rating", "review_date", F.md5("comment").alias("comment_md5"), "_batch_id", "_record_hash"
+    )
+
+
+@query
+def ingestion_runs(spark, sf_dir):
+    """Three sources loaded by two runs: the second one finds nothing new."""
+    base = scratch_dir(spark, "ingestion_runs")
+    sources = ["food", "menu", "users"]
+    export_landing(spark, sf_dir, f"{base}/landing", sources)
+    for run in ("run-1", "run-2"):
+        load_sources(spark, f"{base}/landing", f"{base}/warehouse", run, sources)
+    runs = control.ingestion_runs(spark, f"{base}/warehouse").read()
+    return runs.groupBy("run_id", "source", "status").agg(F.sum("row_count").alias("row_count"))
+
+
+@query
+def lineage_runs(spark, sf_dir):
+    base = scratch_dir(spark, "lineage")
+    export_landing(spark, sf_dir, f"{base}/landing", ["restaurants", "food"])
+    load_sources(spark, f"{base}/landing", f"{base}/warehouse", "run-1", ["restaurants", "food"])
+    lineage = control.lineage_runs(spark, f"{base}/warehouse").read()
+    return lineage.select("run_id", "source", "output_table", "state", "row_count")
+
+
+@query
+def stream_load(spark, sf_dir):
+    """The same files as a stream that stops when it has caught up; started
+    twice, it loads each file once."""
+    base = scratch_dir(spark, "stream_load")
+    export_landing(spark, sf_dir, f"{base}/landing", ["food"])
+    for run in ("run-1", "run-2"):
+        stream_source(spark, f"{base}/landing", f"{base}/warehouse", "food", run).awaitTermination()
+    return raw_table(spark, f"{base}/warehouse", "food").read().select("f_id", "item", "_batch_id", "_record_hash")
+
+
+@query
+def daily_run(spark, sf_dir):
+    """All sources from CSV files to published marts; the summary row of the run."""
+    base = scratch_dir(spark, "daily_run")
+    export_landing(spark, sf_dir, f"{base}/landing", list(SOURCE_COLUMNS))
+    config = daily.DailyConfig(f"{base}/landing", f"{base}/warehouse", "run-1", batch_size=None, rules=SAMPLE_RULES)
+    daily.run(spark, config)
+    summary = control.pipeline_runs(spark, config.warehouse).read()
+    return summary.select("run_id", "status", "rows_ingested", "dq_status", "ai_success_count", "ai_fail_count")

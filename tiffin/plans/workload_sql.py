@@ -6,6 +6,9 @@ miss the last digit on rounding edges.
 
 from __future__ import annotations
 
+from tiffin.operators import enrich, quality
+from tiffin.plans.workload import SAMPLE_RULES
+
 SQL: dict[str, str] = {}
 
 
@@ -273,3 +276,331 @@ SQL["sem_revenue_daily"] = SQL["mart_daily_city_revenue"]
 SQL["sem_restaurant_performance"] = SQL["mart_restaurant_performance"]
 SQL["sem_delivery_sla"] = SQL["mart_delivery_sla"]
 SQL["sem_reviews"] = f"WITH {REVIEWS} SELECT review_id, city, rating, comment, review_date FROM reviews"
+
+# --- facts that grow --------------------------------------------------------
+
+FACT = "order_id, order_timestamp, order_date, customer_id, city, order_status, CAST(sales_amount AS DOUBLE) AS sales_amount"
+FIRST_DROP = "order_date <= DATE '1998-06-30' AND cuisine <> '5-LOW'"
+NEWEST = f"(SELECT max(order_timestamp) FROM heads WHERE {FIRST_DROP})"
+
+SQL["fact_orders_incremental"] = f"""
+WITH {HEADS} SELECT {FACT} FROM heads WHERE ({FIRST_DROP}) OR order_timestamp > {NEWEST}
+"""
+
+SQL["fact_orders_lookback"] = f"""
+WITH {HEADS}
+SELECT {FACT} FROM heads WHERE order_timestamp > {NEWEST} - INTERVAL 365 DAY
+UNION ALL
+SELECT {FACT.replace("order_status", "'Placed' AS order_status")} FROM heads
+WHERE {FIRST_DROP} AND order_timestamp <= {NEWEST} - INTERVAL 365 DAY
+"""
+
+# --- metrics and governed SQL -----------------------------------------------
+
+SQL["metric_customer_count"] = "SELECT count(DISTINCT o_custkey) AS customer_count FROM orders"
+
+SQL["metric_restaurant_revenue"] = f"""
+WITH {TYPED}
+SELECT restaurant_id, CAST({GMV_CENTS} AS DOUBLE) / 100 AS restaurant_revenue FROM typed GROUP BY restaurant_id
+"""
+
+SQL["metric_aov_by_city"] = f"""
+WITH {HEADS}
+SELECT city, CASE WHEN {DONE} = 0 THEN 0 ELSE {half_up(GMV_CENTS, DONE, 0)} / 100 END AS average_order_value
+FROM heads GROUP BY city
+"""
+
+SQL["metric_lookup_gmv"] = f"SELECT * FROM ({SQL['mart_daily_city_revenue']}) ORDER BY order_date, city LIMIT 200"
+
+SQL["governed_query"] = f"""
+SELECT city, CAST(year(order_date) AS INTEGER) AS order_year, CAST(sum(orders) AS BIGINT) AS n_orders,
+       CAST(sum(CAST(gross_merchandise_value AS DECIMAL(22,2))) AS DOUBLE) AS gmv
+FROM ({SQL["mart_daily_city_revenue"]}) WHERE orders > 1
+GROUP BY ALL ORDER BY gmv DESC, city, order_year LIMIT 50
+"""
+
+SQL["governed_union"] = f"""
+WITH {HEADS}
+SELECT city FROM heads WHERE is_delivered UNION SELECT source AS city FROM documents ORDER BY city LIMIT 30
+"""
+
+# --- data checks --------------------------------------------------------------
+
+SQL["dim_date"] = """
+SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2026-12-31', INTERVAL 1 DAY)) AS DATE) AS date_day
+"""
+
+
+def check_sql(check: quality.Check) -> str:
+    """One check as SQL over the SQL of its model."""
+    model = f"({SQL[check.table]})"
+    c = check.column
+    if check.kind == "unique":
+        bad = f"SELECT {c} FROM {model} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
+    elif check.kind == "not_null":
+        bad = f"SELECT 1 FROM {model} WHERE {c} IS NULL"
+    elif check.kind == "accepted_values":
+        values = ", ".join(f"'{v}'" for v in check.values)
+        bad = f"SELECT 1 FROM {model} WHERE {c} NOT IN ({values})"
+    elif check.kind == "relationships":
+        parent = f"SELECT {check.parent_column} FROM ({SQL[check.parent]})"
+        bad = f"SELECT 1 FROM {model} WHERE {c} IS NOT NULL AND {c} NOT IN ({parent})"
+    elif check.kind == "expression":
+        bad = f"SELECT 1 FROM {model} WHERE NOT ({c} {check.expression})"
+    else:
+        bad = f"SELECT 1 FROM {model} WHERE NOT ({check.expression})"
+    return (
+        f"SELECT '{check.table}' AS table_name, '{c}' AS column_name, '{check.kind}' AS check_name, "
+        f"'{check.severity}' AS severity, count(*) AS failures FROM ({bad})"
+    )
+
+
+def checks_sql(checks: list[quality.Check]) -> str:
+    return (
+        "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status "
+        f"FROM ({' UNION ALL '.join(check_sql(c) for c in checks)})"
+    )
+
+
+SQL["dq_staging"] = checks_sql(quality.STAGING_CHECKS)
+SQL["dq_marts"] = checks_sql(quality.MART_CHECKS)
+SQL["dq_semantic"] = checks_sql(quality.SEMANTIC_CHECKS)
+SQL["dq_contract_fact_orders"] = checks_sql(quality.CONTRACTS["fact_orders"].checks())
+del SQL["dim_date"]
+
+SQL["dq_unique"] = """
+SELECT l_orderkey * 10 + l_linenumber AS order_item_id, count(*) AS n_rows
+FROM lineitem GROUP BY 1 HAVING count(*) > 1
+"""
+SQL["dq_not_null"] = f"WITH {TYPED} SELECT order_id, restaurant_id, city FROM typed WHERE restaurant_id IS NULL"
+SQL["dq_accepted_values"] = f"""
+WITH {HEADS} SELECT order_id, order_status FROM heads WHERE order_status NOT IN ('Delivered', 'Cancelled')
+"""
+SQL["dq_relationships"] = f"""
+WITH {HEADS} SELECT order_id, city FROM heads WHERE order_id NOT IN (SELECT l_orderkey FROM lineitem)
+"""
+SQL["dq_expression"] = "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0"
+SQL["dq_freshness"] = """
+SELECT 'events' AS table_name, age_hours,
+       CASE WHEN age_hours > 48 THEN 'fail' WHEN age_hours > 24 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT round(date_diff('microsecond', max(ts), TIMESTAMP '2024-02-02 00:30:00') / 3600000000.0, 6) AS age_hours
+      FROM events)
+"""
+SQL["dq_parity"] = f"""
+SELECT view_name, n AS gold_row_count, n AS semantic_row_count, 0 AS failures FROM (
+  SELECT 'sem_orders' AS view_name, count(*) AS n FROM orders
+  UNION ALL SELECT 'sem_revenue_daily', count(*) FROM ({SQL["mart_daily_city_revenue"]})
+  UNION ALL SELECT 'sem_reviews', count(*) FROM documents)
+"""
+
+# --- reviews: redaction, classification, insights ----------------------------
+
+# RE2 knows word boundaries in ASCII only. The e-mail pattern has none; for the
+# other two, letters and digits beyond ASCII first become the word character a.
+PHONE = r"\b(?:\+?\d{1,3}[ -]?)?(?:\(\d{2,4}\)[ -]?)?\d{3,4}[ -]?\d{3,4}[ -]?\d{0,4}\b"
+
+
+def labels_in(column: str) -> str:
+    total = " + ".join(
+        f"(length({column}) - length(replace({column}, '{x}', ''))) // {len(x)}"
+        for x in ("[REDACTED_EMAIL]", "[REDACTED_CARD]", "[REDACTED_PHONE]")
+    )
+    return f"CAST({total} AS INTEGER)"
+
+
+SCRUBBED = rf"""
+scrubbed AS (
+  SELECT doc_id, source, raw,
+         regexp_replace(regexp_replace(folded, '\b(?:\d[ -]?){{13,16}}\b', '[REDACTED_CARD]', 'g'),
+                        '{PHONE}', '[REDACTED_PHONE]', 'g') AS clean
+  FROM (SELECT doc_id, source, text AS raw,
+               regexp_replace(regexp_replace(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{{2,}}',
+                              '[REDACTED_EMAIL]', 'g'), '[^\x00-\x7F\PL]|[^\x00-\x7F\PN]', 'a', 'g') AS folded
+        FROM documents)
+)"""
+
+SQL["pii_scrub"] = rf"""
+WITH {SCRUBBED}
+SELECT doc_id, {labels_in("clean")} - {labels_in("raw")} AS pii_redacted_count,
+       CAST(length(clean) AS INTEGER) AS n_scrubbed, md5(regexp_replace(clean, '[^\x00-\x7F]', 'a', 'g')) AS fingerprint
+FROM scrubbed
+"""
+
+SQL["review_pending"] = """
+SELECT doc_id AS review_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+"""
+SQL["review_pending_batch"] = """
+SELECT doc_id AS review_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)
+ORDER BY 1 LIMIT 50
+"""
+SQL["review_attempts"] = """
+SELECT doc_id AS review_id, CAST(CASE quality WHEN 1 THEN 2 WHEN 0 THEN 3 ELSE 1 END AS INTEGER) AS attempt_number
+FROM documents LEFT JOIN labels USING (doc_id)
+"""
+
+
+def words(names: tuple[str, ...]) -> str:
+    return "[" + ", ".join(f"'{n}'" for n in names) + "]"
+
+
+def classified(rules: enrich.Rules) -> str:
+    """Whole words of a-z, counted against the word lists. Labels put in by the
+    redaction hold no listed word."""
+    count = lambda names: f"len(list_filter(tokens, lambda w: list_contains({words(names)}, w)))"
+    topic = " ".join(f"WHEN list_has_any(tokens, {words(v)}) THEN '{k}'" for k, v in rules.topics.items())
+    issue = f"list_filter(tokens, lambda w: list_contains({words(rules.negative)}, w))[1]"
+    return f"""
+classified AS (
+  SELECT doc_id AS review_id, source,
+         CASE WHEN steps > 0 THEN 'positive' WHEN steps < 0 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
+         CAST(steps AS BIGINT) AS steps, CAST(steps AS DOUBLE) / 5 AS sentiment_score,
+         CASE {topic} ELSE 'other' END AS topic, CASE WHEN steps < 0 THEN {issue} END AS key_issue
+  FROM (SELECT *, greatest(-5, least(5, {count(rules.positive)} - {count(rules.negative)})) AS steps
+        FROM (SELECT doc_id, source, regexp_extract_all(lower(text), '[a-z]+') AS tokens FROM documents))
+)"""
+
+
+SQL["review_classified"] = f"""
+WITH {SCRUBBED}, {classified(SAMPLE_RULES)}
+SELECT review_id, 'SUCCEEDED' AS status, sentiment_label, sentiment_score, topic, key_issue,
+       {labels_in("clean")} - {labels_in("raw")} AS pii_redacted_count
+FROM classified JOIN scrubbed ON doc_id = review_id
+"""
+
+SQL["review_insights"] = f"""
+WITH {REVIEWS}, {classified(SAMPLE_RULES)}
+SELECT city, topic, sentiment_label, count(*) AS reviews,
+       {half_up("sum(steps)", "5 * count(*)", 3)} AS avg_sentiment_score,
+       CASE WHEN count(rating) > 0 THEN {half_up("sum(rating)", "count(rating)", 2)} END AS avg_star_rating,
+       count(key_issue) AS flagged_issues
+FROM classified JOIN reviews USING (review_id) GROUP BY city, topic, sentiment_label
+"""
+
+REPLIES = """
+replies AS (
+  SELECT doc_id AS review_id, source,
+         CASE WHEN quality IS NULL THEN 'bad sentiment_label' WHEN quality = 0 THEN 'bad sentiment_label'
+              WHEN toxic = 1 THEN 'bad sentiment_score' END AS error_kind,
+         CASE WHEN quality IS NULL THEN NULL WHEN toxic = 1 THEN -1.5 ELSE 0.5 END AS score
+  FROM documents LEFT JOIN labels USING (doc_id)
+)"""
+SQL["reply_validation"] = f"""
+WITH {REPLIES}
+SELECT review_id, CASE WHEN error_kind IS NULL THEN 'SUCCEEDED' ELSE 'FAILED' END AS status, error_kind,
+       CAST(score AS DOUBLE) AS sentiment_score, CAST(NULL AS VARCHAR) AS key_issue
+FROM replies
+"""
+SQL["enrichment_gate"] = f"""
+WITH {REPLIES}
+SELECT source AS batch_id, count(*) - count(error_kind) AS succeeded, count(error_kind) AS failed,
+       {half_up("count(error_kind)", "count(*)", 3)} AS failure_rate, 5 * count(error_kind) > count(*) AS blocked
+FROM replies GROUP BY source
+"""
+
+# --- retrieval ----------------------------------------------------------------
+
+NEAREST = """
+numbers AS (
+  SELECT label, vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings
+),
+centroids AS (
+  SELECT label AS query_id, list(x ORDER BY pos) AS vector
+  FROM (SELECT label, pos, avg(CAST(x AS DOUBLE)) AS x FROM numbers GROUP BY label, pos) GROUP BY label
+),
+scored AS (
+  SELECT query_id, vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), vector), 12) AS score
+  FROM embeddings, centroids
+),
+nearest AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored QUALIFY rank <= 5
+)"""
+SQL["embedding_topk"] = f"""
+WITH {NEAREST} SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM nearest
+"""
+SQL["context_assembly"] = f"""
+WITH {NEAREST}, {REVIEWS}
+SELECT query_id, count(*) AS n_sources,
+       string_agg(' (' || coalesce(city, 'None') || ', ' || coalesce(CAST(rating AS VARCHAR), 'None') || ' stars) '
+                  || comment, chr(10) ORDER BY rank) AS context
+FROM nearest JOIN reviews ON review_id = vec_id GROUP BY query_id
+"""
+SQL["review_sample"] = f"""
+WITH {REVIEWS}
+SELECT CAST(review_id AS VARCHAR) AS doc_id, CAST(review_date AS VARCHAR) AS review_date FROM reviews
+ORDER BY md5('7|' || review_id), review_id LIMIT 500
+"""
+SQL["embed_cache_misses"] = """
+SELECT sha256(text) AS content_hash, CAST(length(any_value(text)) AS INTEGER) AS n_chars FROM documents
+GROUP BY text HAVING sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE lang = 'en')
+"""
+SQL["embed_reviews"] = """
+SELECT CAST(doc_id AS VARCHAR) AS chunk_id, CAST(64 AS INTEGER) AS n_numbers, sha256(text) AS content_hash
+FROM documents
+"""
+SQL["vector_upsert"] = """
+SELECT CAST(vec_id AS VARCHAR) AS chunk_id, CASE WHEN label >= 5 THEN 'second' ELSE 'first' END AS text, label
+FROM embeddings
+"""
+
+# --- loads --------------------------------------------------------------------
+
+
+def row_hash(*fields: str) -> str:
+    return f"md5(concat_ws(chr(1), {', '.join(text(f) for f in fields)}))"
+
+
+SQL["record_hash_items"] = f"""
+WITH {ITEMS}
+SELECT CAST(order_item_id AS VARCHAR) AS order_item_id,
+       {row_hash("order_item_id", "order_id", "restaurant_id", "f_id", "price", "quantity", "price")} AS _record_hash
+FROM lines
+"""
+
+REVIEW_FIELDS = ("doc_id", "doc_id", "doc_id", "regexp_extract(source, '[0-9]+')", "rating", "comment", "review_date")
+SQL["csv_load"] = f"""
+WITH loads AS (
+  SELECT *, coalesce(CAST(quality * 3 + 2 AS VARCHAR), 'none') AS rating, text AS comment
+  FROM documents LEFT JOIN labels USING (doc_id)
+  UNION ALL
+  SELECT *, '4' AS rating, CASE WHEN quality = 1 THEN text END AS comment
+  FROM documents JOIN labels USING (doc_id)
+),
+dated AS (SELECT *, DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS review_date FROM loads)
+SELECT CAST(doc_id AS VARCHAR) AS review_id, rating, CAST(review_date AS VARCHAR) AS review_date,
+       md5(comment) AS comment_md5, 'run-1' AS _batch_id, {row_hash(*REVIEW_FIELDS)} AS _record_hash
+FROM dated
+"""
+
+SQL["ingestion_runs"] = """
+WITH loaded AS (
+  SELECT 'food' AS source, count(*) AS n FROM part
+  UNION ALL SELECT 'menu', 2 * count(*) FROM part
+  UNION ALL SELECT 'users', count(*) + count(*) FILTER (WHERE c_acctbal > 5000) FROM customer
+)
+SELECT 'run-1' AS run_id, source, 'SUCCEEDED' AS status, CAST(n AS BIGINT) AS row_count FROM loaded
+UNION ALL SELECT 'run-2', source, 'SKIPPED_ALREADY_LOADED', 0 FROM loaded
+"""
+
+SQL["lineage_runs"] = """
+SELECT 'run-1' AS run_id, 'restaurants' AS source, 'raw.restaurants' AS output_table, 'COMPLETE' AS state,
+       count(*) AS row_count FROM supplier
+UNION ALL SELECT 'run-1', 'food', 'raw.food', 'COMPLETE', count(*) FROM part
+"""
+
+VEG = "lower(p_type) || '-' || upper(p_brand)"
+SQL["stream_load"] = f"""
+SELECT 'fd' || p_partkey AS f_id, p_name AS item, 'run-1' AS _batch_id,
+       {row_hash("NULL", "'fd' || p_partkey", "p_name", VEG)} AS _record_hash
+FROM part
+"""
+
+SQL["daily_run"] = """
+SELECT 'run-1' AS run_id, 'SUCCESS' AS status, 'passed' AS dq_status, CAST(0 AS BIGINT) AS ai_fail_count,
+       (SELECT count(*) FROM documents) AS ai_success_count,
+       CAST((SELECT count(*) FROM supplier) + (SELECT count(*) FROM lineitem) + 3 * (SELECT count(*) FROM part)
+       + (SELECT count(*) + count(*) FILTER (WHERE c_acctbal > 5000) FROM customer)
+       + (SELECT count(*) + count(*) FILTER (WHERE o_orderstatus <> 'O') + count(*) FILTER (WHERE o_orderstatus = 'P')
+          FROM orders)
+       + (SELECT count(*) FROM documents) + (SELECT count(*) FROM labels) AS BIGINT) AS rows_ingested
+"""
