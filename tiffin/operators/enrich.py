@@ -165,38 +165,36 @@ def classify(
 
 def validate_replies(df: DataFrame) -> DataFrame:
     """Read the JSON replies and check label, score and topic. Adds the parsed
-    fields, ``status`` and ``error_message``; failures stay as rows.
+    fields, ``error_message`` and ``status``; failures stay as rows.
 
     Fields are read as text and cast, so a score given as ``"0.5"`` is accepted.
-    The text ``null`` is no issue.
+    The text ``null`` is no issue. The outcome leaves through ``inline``: a
+    filter on it stays above, where pushed below it would repeat the whole
+    classification inside the filter.
     """
-    parsed = F.from_json(
-        "reply", "sentiment_label string, sentiment_score string, topic string, key_issue string"
+    fields = "sentiment_label string, sentiment_score string, topic string, key_issue string"
+    label, score, topic, issue = (
+        F.col(f"_p.{c}") for c in ("sentiment_label", "sentiment_score", "topic", "key_issue")
     )
-    df = df.withColumn("_p", parsed)
-    score = F.col("_p.sentiment_score").try_cast("double")
-    issue = F.col("_p.key_issue")
+    score = score.try_cast("double")
     known = lambda c, values: F.coalesce(c.isin(list(values)), F.lit(False))
     problem = (
         F.when(F.col("call_error").isNotNull(), F.col("call_error"))
-        .when(~known(F.col("_p.sentiment_label"), LABELS), F.concat(F.lit("bad sentiment_label in "), "reply"))
+        .when(F.col("reply").isNull(), "no reply")
+        .when(~known(label, LABELS), F.concat(F.lit("bad sentiment_label in "), "reply"))
         .when(~F.coalesce(score.between(-1, 1), F.lit(False)), F.concat(F.lit("bad sentiment_score in "), "reply"))
-        .when(~known(F.col("_p.topic"), TOPICS), F.concat(F.lit("bad topic in "), "reply"))
+        .when(~known(topic, TOPICS), F.concat(F.lit("bad topic in "), "reply"))
     )
-    bad = F.col("call_error").isNotNull() | F.col("reply").isNull()
-    return (
-        df.withColumns(
-            {
-                "sentiment_label": F.col("_p.sentiment_label"),
-                "sentiment_score": score,
-                "topic": F.col("_p.topic"),
-                "key_issue": F.when(F.lower(F.trim(issue)) != "null", issue),
-                "error_message": clip(F.when(bad, F.coalesce("call_error", F.lit("no reply"))).otherwise(problem)),
-            }
-        )
-        .withColumn("status", F.when(F.col("error_message").isNull(), "SUCCEEDED").otherwise("FAILED"))
-        .drop("_p")
+    outcome = F.struct(
+        label.alias("sentiment_label"),
+        score.alias("sentiment_score"),
+        topic.alias("topic"),
+        F.when(F.lower(F.trim(issue)) != "null", issue).alias("key_issue"),
+        clip(problem).alias("error_message"),
     )
+    parsed = df.withColumn("_p", F.from_json("reply", fields))
+    checked = parsed.select(*df.columns, F.inline(F.array(outcome)))
+    return checked.withColumn("status", F.when(F.col("error_message").isNull(), "SUCCEEDED").otherwise("FAILED"))
 
 
 def enrichment_rows(

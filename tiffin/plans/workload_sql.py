@@ -456,7 +456,9 @@ classified AS (
          CAST(steps AS BIGINT) AS steps, CAST(steps AS DOUBLE) / 5 AS sentiment_score,
          CASE {topic} ELSE 'other' END AS topic, CASE WHEN steps < 0 THEN {issue} END AS key_issue
   FROM (SELECT *, greatest(-5, least(5, {count(rules.positive)} - {count(rules.negative)})) AS steps
-        FROM (SELECT doc_id, source, regexp_extract_all(lower(text), '[a-z]+') AS tokens FROM documents))
+        FROM (SELECT doc_id, source, regexp_extract_all(lower(text), '[a-z]+') AS tokens
+              FROM (SELECT doc_id, source, regexp_replace(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{{2,}}',
+                                                          '[REDACTED_EMAIL]', 'g') AS text FROM documents)))
 )"""
 
 
