@@ -4,6 +4,7 @@ import os
 import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -30,6 +31,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def _send_test_functions(request):
+    """Functions of a test module travel to the tasks with their code."""
+    cloudpickle.register_pickle_by_value(request.module)
+    yield
+    cloudpickle.unregister_pickle_by_value(request.module)
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF

@@ -10,6 +10,7 @@ from datetime import UTC, datetime
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiffin.functions.text import clip, scrub_pii
 from tiffin.operators.quality import LABELS, TOPICS
@@ -156,8 +157,8 @@ def classify(
                 out[name] = pd.Series([a[i] for a in answers], index=frame.index, dtype="object")
             yield out
 
-    schema = df.schema.add("reply", "string").add("model_version", "string").add("call_error", "string")
-    return df.mapInPandas(run, schema)
+    answers = [T.StructField(c, T.StringType()) for c in ("reply", "model_version", "call_error")]
+    return df.mapInPandas(run, T.StructType([*df.schema.fields, *answers]))
 
 
 # --- validation ---------------------------------------------------------------

@@ -158,11 +158,12 @@ def run_governed(
     row cap bounds what comes back to the client."""
     df = governed_sql(spark, sql, views, row_limit)
     tag = f"governed-{uuid.uuid4().hex}"
-    timer = threading.Timer(timeout_seconds, lambda: spark.interruptTag(tag))
-    spark.addTag(tag)
+    context = spark.sparkContext
+    timer = threading.Timer(timeout_seconds, lambda: context.cancelJobsWithTag(tag))
+    context.addJobTag(tag)
     timer.start()
     try:
         return df.toPandas()
     finally:
         timer.cancel()
-        spark.removeTag(tag)
+        context.removeJobTag(tag)

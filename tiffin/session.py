@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import tiffin
+
 # Settings the plans rely on. All are run-time re-planning switches, so the
 # same values serve a laptop and a large cluster; sizes such as the number of
 # shuffle partitions belong to the cluster and are left alone.
@@ -21,7 +24,12 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to an existing session."""
+    """Apply the run-time settings to an existing session.
+
+    Functions of this package travel to the tasks with their code, so executors
+    need not have it installed.
+    """
+    cloudpickle.register_pickle_by_value(tiffin)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
