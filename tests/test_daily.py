@@ -57,11 +57,12 @@ def test_two_days(spark, base):
 
     put(base, "orders", "h\n"
         "3,2024-03-02 09:00:00,2024-03-02,7,1,Pune,thai,1,1,10,0,1,1,-5.00,INR,card,Delivered,4,50\n"
+        "4,2024-03-02 09:30:00,2024-03-02,7,1,Pune,thai,1,1,10,0,1,1,50.00,INR,card,Delivered,4,50\n"
         "2,2024-03-01 11:00:00,2024-03-01,8,2,Agra,thai,1,1,10,0,1,1,20.00,INR,card,Delivered,,\n", "2.csv")
     result = daily.run(spark, config(base, "d2", lookback="1 day"))
-    assert result["dq_status"] == "warned" and result["rows_ingested"] == 2 and result["ai_success_count"] == 0
+    assert result["dq_status"] == "warned" and result["rows_ingested"] == 3 and result["ai_success_count"] == 0
     orders = {r.order_id: r for r in spark.table("sem_orders").collect()}
-    assert len(orders) == 3 and orders[2].order_status == "Delivered"
+    assert len(orders) == 4 and orders[2].order_status == "Delivered"
     assert [orders[i].age_segment for i in (1, 2)] == ["Millennial", "Unknown"]
 
 

@@ -71,50 +71,54 @@ def _bad(check: Check) -> Column:
     return ~F.expr(check.expression) if check.kind == "rule" else check.bad_row()
 
 
-def _label(df: DataFrame, check: Check) -> DataFrame:
-    return df.select(
+def _entry(check: Check, failures: Column) -> Column:
+    return F.struct(
         F.lit(check.table).alias("table_name"),
         F.lit(check.column).alias("column_name"),
         F.lit(check.kind).alias("check_name"),
         F.lit(check.severity).alias("severity"),
-        F.col("failures").cast("bigint").alias("failures"),
+        failures.cast("bigint").alias("failures"),
     )
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check: table, column, check, severity, failures, status.
 
-    All checks of single rows on a table share one pass over it. Uniqueness is
-    one grouping per key, and a reference is checked against the distinct keys
-    of the child, so a parent with very many children is looked up once.
+    A table is read once for its first key and all its checks of single rows:
+    the rows are counted per key, bad ones too, and then summed. A reference is
+    checked against the distinct keys of the child, so a parent with very many
+    children is looked up once.
     """
     by_table: dict[str, list[Check]] = defaultdict(list)
-    results: list[DataFrame] = []
     for check in checks:
-        if check.kind in ROW_KINDS:
-            by_table[check.table].append(check)
-        elif check.kind == "unique":
-            bad = failing_rows(tables[check.table], check)
-            results.append(_label(bad.agg(F.count("*").alias("failures")), check))
+        by_table[check.table].append(check)
+    results: list[DataFrame] = []
+    for table, group in by_table.items():
+        df = tables[table]
+        rows = [c for c in group if c.kind in ROW_KINDS]
+        keys = [c for c in group if c.kind == "unique"]
+        counted = [F.count_if(_bad(c)).alias(f"c{i}") for i, c in enumerate(rows)]
+        if keys:
+            key = keys[0].column
+            per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), *counted)
+            repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias("_repeated")
+            sums = [F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(rows))]
+            totals = per_key.agg(repeated, *sums)
+            entries = [_entry(keys[0], F.col("_repeated"))]
         else:
+            totals, entries = (df.agg(*counted) if counted else None), []
+        entries += [_entry(c, F.col(f"c{i}")) for i, c in enumerate(rows)]
+        if entries:
+            results.append(totals.select(F.inline(F.array(*entries))))
+        for check in keys[1:]:
+            count = failing_rows(df, check).agg(F.count("*").alias("n"))
+            results.append(count.select(F.inline(F.array(_entry(check, F.col("n"))))))
+        for check in (c for c in group if c.kind == "relationships"):
             c = check.column
-            keys = tables[check.table].filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n_rows"))
-            lost = keys.join(_parent_keys(tables[check.parent], check), c, "left_anti")
-            lost = lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failures"))
-            results.append(_label(lost, check))
-    for table, group in by_table.items():
-        counts = tables[table].agg(*[F.count_if(_bad(c)).alias(f"c{i}") for i, c in enumerate(group)])
-        entries = [
-            F.struct(
-                F.lit(c.table).alias("table_name"),
-                F.lit(c.column).alias("column_name"),
-                F.lit(c.kind).alias("check_name"),
-                F.lit(c.severity).alias("severity"),
-                F.col(f"c{i}").alias("failures"),
-            )
-            for i, c in enumerate(group)
-        ]
-        results.append(counts.select(F.inline(F.array(*entries))))
+            children = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n_rows"))
+            lost = children.join(_parent_keys(tables[check.parent], check), c, "left_anti")
+            count = lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
+            results.append(count.select(F.inline(F.array(_entry(check, F.col("n"))))))
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == WARN, "warn").otherwise("fail")
     return union_all(results).withColumn("status", status)
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +47,7 @@ def cosine_topk(
 
 
 def _one_pass(store: DataFrame, queries: DataFrame, k: int, item_id: str, item_vector: str) -> DataFrame:
-    spark = SparkSession.getActiveSession()
+    spark = store.sparkSession
     id_type = queries.schema[0].dataType
     query_id = queries.columns[0]
     item_type = store.schema[item_id].dataType

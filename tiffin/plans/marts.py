@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.functions import metrics as m
-from tiffin.operators.percentiles import exact_percentiles
+from tiffin.operators.percentiles import exact_percentiles, null_safe_left_join
 
 # Upper age bounds (exclusive) of the segments.
 AGE_SEGMENTS = [(25, "Gen Z"), (40, "Millennial"), (55, "Gen X")]
@@ -149,9 +149,7 @@ def mart_delivery_sla(
         times = exact_percentiles(
             done, keys, "delivery_time_min", {"p50_delivery_min": 0.5, "p90_delivery_min": 0.9}
         )
-        both = done.groupBy(*keys).agg(*counts).alias("a")
-        same = F.col("a.city").eqNullSafe(F.col("t.city")) & F.col("a.order_hour").eqNullSafe(F.col("t.order_hour"))
-        joined = both.join(times.alias("t"), same, "left").select("a.*", "p50_delivery_min", "p90_delivery_min")
+        joined = null_safe_left_join(done.groupBy(*keys).agg(*counts), times, keys)
     else:
         joined = done.groupBy(*keys).agg(
             *counts,

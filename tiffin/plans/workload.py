@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tiffin.functions import metrics as m
 from tiffin.functions.text import content_hash, scrub_pii
 from tiffin.operators import enrich, quality, retrieve
-from tiffin.operators.percentiles import exact_percentiles
+from tiffin.operators.percentiles import exact_percentiles, null_safe_left_join
 from tiffin.operators.topk import cosine_topk
 from tiffin.plans import catalog, daily, governed, marts, semantic, staging, trade
 from tiffin.session import scratch_dir
@@ -153,7 +153,7 @@ def event_hourly_sla(spark, sf_dir):
         F.count("*").alias("n_events"), m.late_rate("value").alias("late_rate")
     )
     times = exact_percentiles(events, keys, "value", {"p50_value": 0.5, "p90_value": 0.9})
-    return rates.join(times, keys).withColumns(
+    return null_safe_left_join(rates, times, keys).withColumns(
         {"p50_value": F.round("p50_value", 6), "p90_value": F.round("p90_value", 6)}
     )
 
