@@ -10,15 +10,16 @@ from pyspark.sql import SparkSession
 
 import tiffin
 
-# Settings the plans rely on. All are run-time re-planning switches, so the
-# same values serve a laptop and a large cluster; sizes such as the number of
-# shuffle partitions belong to the cluster and are left alone.
+# Settings the plans rely on: run-time re-planning and fixed semantics. The same
+# values serve a laptop and a large cluster; sizes such as the number of shuffle
+# partitions belong to the cluster and are left alone.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",  # strict casts must fail the job
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
