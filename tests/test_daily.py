@@ -46,7 +46,7 @@ def summary(spark, base):
 
 def test_two_days(spark, base):
     result = daily.run(spark, config(base, "d1"))
-    assert result["status"] == "SUCCESS"
+    assert result["status"] == "SUCCESS" and result["dq_status"] == "passed"
     assert summary(spark, base) == {"d1": ("SUCCESS", "passed", 13, 2, 0)}
     revenue = {r.city: r for r in spark.table("sem_revenue_daily").collect()}
     assert float(revenue["Pune"].gross_merchandise_value) == 12.0 and revenue["Agra"].cancel_rate == 1

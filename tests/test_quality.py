@@ -74,6 +74,13 @@ def test_an_empty_table_is_stale(spark):
     assert q.freshness(df, "x", "t", datetime(2024, 1, 1)).first().status == "fail"
 
 
+def test_old_orders_only_warn(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00",)], "t string")
+    orders = df.select(F.col("t").cast("timestamp_ntz").alias("order_timestamp"))
+    assert q.freshness_gate(q.stale_orders(orders, datetime(2024, 1, 2, 2))) == "passed"
+    assert q.freshness_gate(q.stale_orders(orders, datetime(2025, 1, 1))) == "warned"
+
+
 def test_parity(spark):
     a, b = spark.range(5), spark.range(4)
     same = q.row_parity({"v": (a, a)})

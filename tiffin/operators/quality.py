@@ -301,9 +301,15 @@ CONTRACTS: dict[str, Contract] = {
     )
 }
 
+# Fixed value: hours after which the newest order is too old for a daily run.
 FACT_ORDERS_MAX_AGE_HOURS = 26
 
 
+def stale_orders(orders: DataFrame, now: datetime | Column, max_hours: float = FACT_ORDERS_MAX_AGE_HOURS) -> DataFrame:
+    """Age of the newest order against the promise of fact_orders, as a warning."""
+    return freshness(orders, "fact_orders", "order_timestamp", now, max_hours, float("inf"))
+
+
 def success_is_terminal(enriched: DataFrame, log: DataFrame) -> DataFrame:
     """Reviews that both succeeded and have a failed attempt later in the same
     batch; there should be none."""

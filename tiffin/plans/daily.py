@@ -35,6 +35,7 @@ class DailyConfig:
     model_name: str = "rules"
     prompt_version: str = "v1"
     failure_limit: float = 0.2
+    max_order_age_hours: float | None = None  # warn when the newest order is older
     writers: int = 4  # tables written at the same time
 
 
@@ -167,6 +168,9 @@ def build_marts(
     contracts = [quality.CONTRACTS[n].checks() for n in ("fact_orders", "dim_customer")]
     declared = dict.fromkeys([*quality.MART_CHECKS, *[c for group in contracts for c in group]])
     state.note(quality.gate(quality.run_checks(built, declared)))
+    if config.max_order_age_hours is not None:
+        age = quality.stale_orders(facts, config.now or datetime.now(UTC), config.max_order_age_hours)
+        state.note(quality.freshness_gate(age))
     return built
 
 
