@@ -89,3 +89,21 @@ def test_a_poor_batch_stops_before_publishing(spark, base):
     with pytest.raises(quality.QualityGateFailed, match="2 of 2 reviews failed"):
         daily.run(spark, config(base, "d1", make_client=broken))
     assert not daily.table(spark, config(base, "d1"), "marts", "mart_review_insights").exists()
+
+
+def test_command_line(spark, base, capsys):
+    from tiffin.__main__ import main
+
+    where = ["--warehouse", str(base / "warehouse")]
+    landing = ["--landing", str(base / "landing")]
+    assert main(["load", *where, *landing, "--source", "food", "--run-id", "c1"], spark) == 0
+    assert "total_rows=1" in capsys.readouterr().out
+    (base / "landing" / "menu" / "bad.csv.gz").write_bytes(b"no gzip")
+    assert main(["load", *where, *landing, "--run-id", "c2"], spark) == 1
+    assert main(["daily", *where, *landing, "--run-id", "c3"], spark) == 1
+    (base / "landing" / "menu" / "bad.csv.gz").unlink()
+    assert main(["daily", *where, *landing, "--run-id", "c4"], spark) == 0
+    assert main(["check-batch", *where, "--batch-id", "c4"], spark) == 0
+    assert main(["enrich", *where, "--batch-id", "c5"], spark) == 0
+    with pytest.raises(SystemExit):
+        main(["load", *where, *landing, "--source", "unknown"], spark)

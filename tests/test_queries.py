@@ -12,7 +12,8 @@ SQL = entry_module.oracle_sql()
 
 # Plans that are finished before a frame is returned; the rest is inspected.
 EAGER = {
-    "csv_load", "daily_run", "embed_reviews", "fact_orders_lookback", "ingestion_runs", "lineage_runs", "stream_load",
+    "csv_load", "daily_run", "embed_reviews", "enrichment_batch", "fact_orders_lookback", "ingestion_runs",
+    "lineage_runs", "review_retrieval", "stream_load",
 }
 
 
@@ -21,11 +22,15 @@ def con(sf_dir):
     return oracle.connect(sf_dir)
 
 
+# Its vectors come from a hash SQL does not have; test_retrieve.py checks it.
+WITHOUT_SQL = {"review_retrieval"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) - WITHOUT_SQL == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, sf_dir, name):
     difference = oracle.compare(QUERIES[name](spark, sf_dir), con, SQL[name])
     assert difference is None, difference

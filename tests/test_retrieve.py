@@ -143,3 +143,23 @@ def test_sampled_documents(spark):
     docs = r.documents(reviews(spark, rows), sample_size=10)
     assert docs.count() == 10
     assert docs.first().metadata == {"city": "c", "rating": "5", "review_date": "2024-01-01"}
+
+
+def test_retrieval_over_all_texts_against_brute_force(spark, sf_dir):
+    from tiffin.plans import trade, workload
+
+    texts = {x.review_id: x.comment for x in trade.reviews_typed(spark, sf_dir).collect()}
+    embed = r.hashing_embedder()
+    got = {x.query_id: x for x in workload.review_retrieval(spark, sf_dir).collect()}
+    for q, question in enumerate(["license and permission", "who is it for"]):
+        scores = {}
+        a = np.asarray(embed([question])[0], "float64")
+        for i, text in texts.items():
+            b = np.asarray(embed([text])[0], "float64")
+            length = np.linalg.norm(a) * np.linalg.norm(b)
+            scores[str(i)] = round(float(a @ b / length), 9) if length else 0.0
+        best = sorted(scores, key=lambda i: (-scores[i], i))[:5]
+        assert got[q].n_sources == 5
+        position = -1
+        for i in best:  # in this order, each whole text
+            position = got[q].context.index(texts[int(i)], position + 1)

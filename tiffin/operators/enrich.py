@@ -272,7 +272,10 @@ def run_batch(
         if make_client is None:
             answered = classify_by_rules(todo, rules=rules)
         else:
-            answered = classify(todo, make_client, max_tries=max_tries, parallelism=parallelism)
+            # A batch with a size limit arrives in one task; a whole backlog is
+            # spread already.
+            spread = parallelism if batch_size is not None else None
+            answered = classify(todo, make_client, max_tries=max_tries, parallelism=spread)
         rows = enrichment_rows(
             validate_replies(answered), batch_id, model_name, prompt_version, processed_at or datetime.now(UTC)
         )

@@ -497,6 +497,38 @@ def enrichment_gate(spark, sf_dir):
     )
 
 
+@query
+def enrichment_summary(spark, sf_dir):
+    """Outcome and redactions per batch, a batch being the reviews of one city."""
+    reviews = trade.reviews_typed(spark, sf_dir).select("review_id", "comment", F.col("city").alias("batch_id"))
+    answered = enrich.classify_by_rules(scrub_pii(reviews, "comment"), rules=SAMPLE_RULES)
+    return enrich.batch_summary(enrich.validate_replies(answered))
+
+
+def sample_client() -> enrich.Client:
+    """Stands for a model: calm about everything, but it refuses licence texts."""
+
+    def answer(comment: str) -> tuple[str, str]:
+        if "license" in comment:
+            raise ValueError("refused")
+        return '{"sentiment_label": "neutral", "sentiment_score": 0, "topic": "other", "key_issue": null}', "m-1"
+
+    return answer
+
+
+@query
+def enrichment_batch(spark, sf_dir):
+    """All reviews sent to a client, then the failed ones once more; the log."""
+    base = scratch_dir(spark, "enrichment")
+    reviews = trade.reviews_typed(spark, sf_dir)
+    for batch in ("b-1", "b-2"):
+        enrich.run_batch(
+            spark, base, reviews, batch, make_client=sample_client, model_name="m", batch_size=None,
+            reprocess_failed=True,
+        )
+    return enrich.enrichment_log(spark, base).read().drop("processed_at")
+
+
 # --- retrieval ----------------------------------------------------------------
 
 
@@ -553,6 +585,16 @@ def embed_reviews(spark, sf_dir):
     )
 
 
+@query
+def review_retrieval(spark, sf_dir):
+    """All reviews indexed, and the context for two questions."""
+    base = scratch_dir(spark, "retrieval")
+    reviews = trade.reviews_typed(spark, sf_dir)
+    store = retrieve.index_reviews(spark, base, reviews, retrieve.hashing_embedder, sample_size=None)
+    questions = ["license and permission", "who is it for"]
+    return retrieve.context(retrieve.retrieve(spark, store.read(), questions, retrieve.hashing_embedder))
+
+
 @query
 def vector_upsert(spark, sf_dir):
     """Two batches into a vector store: the later one replaces its labels."""

@@ -499,6 +499,26 @@ SELECT source AS batch_id, count(*) - count(error_kind) AS succeeded, count(erro
 FROM replies GROUP BY source
 """
 
+SQL["enrichment_summary"] = f"""
+WITH {SCRUBBED}
+SELECT source AS batch_id, count(*) AS succeeded, CAST(0 AS BIGINT) AS failed, CAST(0 AS DOUBLE) AS failure_rate,
+       CAST(sum({labels_in("clean")} - {labels_in("raw")}) AS BIGINT) AS pii_redacted_count
+FROM scrubbed GROUP BY source
+"""
+
+SQL["enrichment_batch"] = f"""
+WITH {SCRUBBED},
+attempts AS (
+  SELECT *, contains(clean, 'license') AS refused, {labels_in("clean")} - {labels_in("raw")} AS pii_redacted_count
+  FROM scrubbed, (VALUES (1), (2)) AS t(attempt_number)
+)
+SELECT 'b-' || attempt_number AS batch_id, doc_id AS review_id, attempt_number,
+       CASE WHEN refused THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+       CASE WHEN refused THEN 'refused' END AS error_message, 'm' AS model_name,
+       CASE WHEN NOT refused THEN 'm-1' END AS model_version, 'v1' AS prompt_version, pii_redacted_count
+FROM attempts WHERE refused OR attempt_number = 1
+"""
+
 # --- retrieval ----------------------------------------------------------------
 
 NEAREST = """
