@@ -55,6 +55,21 @@ def test_dialect(folder):
     }
 
 
+def test_large_files_of_one_line_sources_are_split(folder, spark):
+    body = HEADER + "".join(f'{i},fd{i},"item, {i}",\n' for i in range(60_000))
+    path = str(folder.put("a.csv", body))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200KB")
+    try:
+        whole, split = (landing.read_landing_csv(spark, path, "food", one) for one in (False, True))
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 4
+        assert whole.exceptAll(split).count() == 0 and split.count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    out = landing.load_sources(spark, folder.landing, folder.warehouse, "r1", ["food"], one_line_sources=["food"])
+    assert out.total_rows == 60_000
+
+
 def test_rows_are_stamped(folder):
     folder.put("deep/a b+c%.csv", HEADER + "1,fd1,x,veg\n")
     folder.load("r1")

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiffin.sources.tables import union_all
+
 # Queries scored in one pass over the store. Their vectors travel to every
 # task, so this number and MAX_VECTOR_BYTES bound what is sent.
 QUERIES_PER_PASS = 512
@@ -33,32 +35,29 @@ def cosine_topk(
     those are ranked together. Ties go to the smaller id; a vector without
     length scores 0. More queries than one pass takes are scored in several.
     """
-    total = queries.count()
-    passes = max(1, -(-total // QUERIES_PER_PASS))
-    out = None
-    for i in range(passes):
-        block = queries
-        if passes > 1:
-            block = queries.filter(F.pmod(F.xxhash64(query_id), F.lit(passes)) == i)
-        best = _one_pass(store, block.select(query_id, query_vector), k, item_id, item_vector)
-        out = best if out is None else out.unionByName(best)
+    asked = queries.select(query_id, query_vector)
+    head = asked.limit(QUERIES_PER_PASS + 1).collect()
+    if len(head) <= QUERIES_PER_PASS:
+        blocks = [head]
+    else:
+        passes = -(-asked.count() // QUERIES_PER_PASS)
+        in_block = F.pmod(F.xxhash64(query_id), F.lit(passes))
+        blocks = (asked.filter(in_block == i).collect() for i in range(passes))
+    out = union_all([_one_pass(store, asked, block, k, item_id, item_vector) for block in blocks])
     w = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(item_id))
     return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def _one_pass(store: DataFrame, queries: DataFrame, k: int, item_id: str, item_vector: str) -> DataFrame:
+def _one_pass(store: DataFrame, asked: DataFrame, rows: list, k: int, item_id: str, item_vector: str) -> DataFrame:
+    """Best ``k`` per task for the collected (id, vector) rows of one pass."""
     spark = store.sparkSession
-    id_type = queries.schema[0].dataType
-    query_id = queries.columns[0]
-    item_type = store.schema[item_id].dataType
     schema = T.StructType(
         [
-            T.StructField(query_id, id_type),
-            T.StructField(item_id, item_type),
+            T.StructField(asked.columns[0], asked.schema[0].dataType),
+            T.StructField(item_id, store.schema[item_id].dataType),
             T.StructField("score", T.DoubleType()),
         ]
     )
-    rows = queries.collect()  # at most one pass's worth of query vectors
     if not rows:
         return spark.createDataFrame([], schema)
     matrix = np.array([r[1] for r in rows], dtype="float64")

@@ -37,6 +37,7 @@ class DailyConfig:
     failure_limit: float = 0.2
     max_order_age_hours: float | None = None  # warn when the newest order is older
     writers: int = 4  # tables written at the same time
+    one_line_sources: tuple[str, ...] = ()  # sources without line breaks in fields; their files are split
 
 
 @dataclass
@@ -89,7 +90,14 @@ def _write_all(config: DailyConfig, jobs: list[Callable[[], None]]) -> None:
 
 
 def load(spark: SparkSession, config: DailyConfig, state: RunState) -> None:
-    load_sources(spark, config.landing, config.warehouse, config.run_id, loaded_at=config.now)
+    load_sources(
+        spark,
+        config.landing,
+        config.warehouse,
+        config.run_id,
+        loaded_at=config.now,
+        one_line_sources=config.one_line_sources,
+    )
     runs = control.ingestion_runs(spark, config.warehouse).read()
     state.rows_ingested = control.check_load(runs, config.run_id)["total_rows"]
 

@@ -42,15 +42,18 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def text_reader(reader, columns: Sequence[str]):
+def text_reader(reader, columns: Sequence[str], one_line: bool = False):
     """The landing dialect. Fields go by position: the header is skipped, missing
     trailing fields are NULL and extra ones dropped. ``""`` is an empty text and
-    a bare empty field is NULL, which the null marker keeps apart."""
+    a bare empty field is NULL, which the null marker keeps apart.
+
+    Fields may hold line breaks, so a file is read by one task; ``one_line`` is
+    for sources known to have none, whose large files can then be split."""
     return (
         reader.schema(text_schema(columns))
         .option("header", True)
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", not one_line)
         .option("nullValue", "\u0001")
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
@@ -68,10 +71,12 @@ def null_tokens(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)) for c in columns})
 
 
-def read_landing_csv(spark: SparkSession, paths: str | Sequence[str], source: str) -> DataFrame:
+def read_landing_csv(
+    spark: SparkSession, paths: str | Sequence[str], source: str, one_line: bool = False
+) -> DataFrame:
     """Text columns of a source plus ``_source_file``."""
     columns = SOURCE_COLUMNS[source]
-    reader = text_reader(spark.read, columns).option("recursiveFileLookup", True)
+    reader = text_reader(spark.read, columns, one_line).option("recursiveFileLookup", True)
     rows = reader.csv(paths if isinstance(paths, str) else list(paths))
     return null_tokens(rows.withColumn("_source_file", file_key(source)), columns)
 
@@ -135,6 +140,7 @@ def load_sources(
     sources: Sequence[str] | None = None,
     loaded_at: datetime | None = None,
     at_once: int = 4,
+    one_line_sources: Sequence[str] = (),
 ) -> LoadOutcome:
     """Load all new files of the given sources (default: all), record every file
     and the lineage of every source, and sum up the run.
@@ -151,7 +157,8 @@ def load_sources(
 
     def attempt(source: str) -> DataFrame:
         try:
-            return _load_new(spark, landing, warehouse, source, run_id, before, known, loaded_at)
+            one_line = source in one_line_sources
+            return _load_new(spark, landing, warehouse, source, run_id, before, known, loaded_at, one_line)
         except Exception as exc:  # the source as a whole could not be listed or written
             return _results(spark, [("<list_files>", 0, control.FAILED, str(exc)[:2000])])
 
@@ -181,7 +188,7 @@ def _results(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, _LOADED)
 
 
-def _load_new(spark, landing, warehouse, source, run_id, runs, known, loaded_at) -> DataFrame:
+def _load_new(spark, landing, warehouse, source, run_id, runs, known, loaded_at, one_line) -> DataFrame:
     table = raw_table(spark, warehouse, source)
     files = list_files(spark, landing, source)
     new, old = control.split_new_files(files, runs, source)
@@ -199,7 +206,7 @@ def _load_new(spark, landing, warehouse, source, run_id, runs, known, loaded_at)
             parts.append(_results(spark, [(f, n, control.SUCCEEDED, None) for f, n in found.items()]))
         todo = {f: p for f, p in todo.items() if f not in found}
 
-    written, failed = _write_files(spark, table, source, run_id, todo, loaded_at)
+    written, failed = _write_files(spark, table, source, run_id, todo, loaded_at, one_line)
     names = [f for f in todo if f not in failed]
     if names:
         listed = spark.createDataFrame([(f,) for f in names], "file_name string")
@@ -221,7 +228,9 @@ def _load_new(spark, landing, warehouse, source, run_id, runs, known, loaded_at)
     return results
 
 
-def _write_files(spark, table, source, run_id, todo, loaded_at) -> tuple[list[Piece], dict[str, str]]:
+def _write_files(
+    spark, table, source, run_id, todo, loaded_at, one_line
+) -> tuple[list[Piece], dict[str, str]]:
     """Write all files in one job. A file counts whole or not at all: when a job
     fails nothing of it is visible, and its files are tried again in halves
     until the broken ones stand alone."""
@@ -231,7 +240,7 @@ def _write_files(spark, table, source, run_id, todo, loaded_at) -> tuple[list[Pi
     while groups:
         group = groups.pop()
         try:
-            rows = read_landing_csv(spark, [todo[f] for f in group], source)
+            rows = read_landing_csv(spark, [todo[f] for f in group], source, one_line)
             write = table.append(stamp(rows, source, run_id, loaded_at), part=run_id)
             written += [p for p in table.pieces() if p.write == write]
         except Exception as exc:
