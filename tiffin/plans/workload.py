@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiffin.functions import metrics as m
+from tiffin.functions.cleaning import title_case
 from tiffin.functions.text import content_hash, scrub_pii
+from tiffin.functions.vectors import cosine
 from tiffin.operators import enrich, quality, retrieve
 from tiffin.operators.percentiles import exact_percentiles, null_safe_left_join
 from tiffin.operators.topk import cosine_topk
@@ -82,6 +84,13 @@ def stg_reviews(spark, sf_dir):
     return staging.stg_reviews(trade.raw_reviews(spark, sf_dir), restaurants)
 
 
+@query
+def title_case_texts(spark, sf_dir):
+    """Title casing of every text, as a fingerprint."""
+    docs = trade.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.md5(title_case("text")).alias("fingerprint"))
+
+
 # --- dimensions and facts ---------------------------------------------------
 
 
@@ -551,6 +560,14 @@ def embedding_topk(spark, sf_dir):
     return _nearest(spark, sf_dir).withColumn("score", F.round("score", 6))
 
 
+@query
+def centroid_similarity(spark, sf_dir):
+    """Every vector against the centroid of its own label."""
+    e = trade.table(spark, sf_dir, "embeddings").withColumnRenamed("label", "query_id")
+    both = e.join(_centroids(spark, sf_dir), "query_id")
+    return both.select("vec_id", F.round(cosine("embedding", "vector"), 6).alias("similarity"))
+
+
 @query
 def context_assembly(spark, sf_dir):
     hits = _nearest(spark, sf_dir).withColumn("chunk_id", F.col("vec_id").cast("string"))
@@ -624,6 +641,31 @@ def record_hash_items(spark, sf_dir):
     return trade.raw_order_items(spark, sf_dir).select("order_item_id", "_record_hash")
 
 
+@query
+def new_files(spark, sf_dir):
+    """Documents as landing files, labels as what past runs recorded of them."""
+    files = trade.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file_name"), "source")
+    runs = trade.table(spark, sf_dir, "labels").select(
+        F.lit("documents").alias("source"),
+        F.col("doc_id").cast("string").alias("file_name"),
+        F.when(F.col("quality") == 1, control.SUCCEEDED).otherwise(control.FAILED).alias("status"),
+    )
+    new, _ = control.split_new_files(files, runs, "documents")
+    return new
+
+
+@query
+def load_gate(spark, sf_dir):
+    """Events as load results: a run per hour, a source per user."""
+    runs = trade.table(spark, sf_dir, "events").select(
+        F.date_format("ts", "yyyy-MM-dd HH").alias("run_id"),
+        F.concat(F.lit("s"), "user_id").alias("source"),
+        F.when(F.col("event_type") != "view", 1).alias("row_count"),
+        F.when(F.col("event_type") == "error", control.FAILED).otherwise(control.SUCCEEDED).alias("status"),
+    )
+    return control.load_summary(runs)
+
+
 @query
 def csv_load(spark, sf_dir):
     """Reviews written as CSV files, whole texts with line breaks and quotes, and

@@ -626,3 +626,30 @@ SELECT 'run-1' AS run_id, 'SUCCESS' AS status, 'passed' AS dq_status, CAST(0 AS
           FROM orders)
        + (SELECT count(*) FROM documents) + (SELECT count(*) FROM labels) AS BIGINT) AS rows_ingested
 """
+
+SQL["new_files"] = """
+SELECT CAST(doc_id AS VARCHAR) AS file_name, source FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)
+"""
+
+SQL["load_gate"] = """
+WITH per_source AS (
+  SELECT strftime(ts, '%Y-%m-%d %H') AS run_id, 's' || user_id AS source,
+         count(*) FILTER (WHERE event_type <> 'view') AS n, bool_or(event_type = 'error') AS failed
+  FROM events GROUP BY 1, 2
+)
+SELECT run_id, count(*) AS sources_loaded, CAST(sum(n) AS BIGINT) AS total_rows,
+       coalesce(string_agg(source, ',' ORDER BY source) FILTER (WHERE failed), '') AS failed_sources
+FROM per_source GROUP BY run_id
+"""
+
+SQL["centroid_similarity"] = f"""
+WITH {NEAREST}
+SELECT e.vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), vector), 6) AS similarity
+FROM embeddings e JOIN centroids ON query_id = label
+"""
+
+# The upper case of a sharp s is SS in one engine and a single letter in the other.
+SQL["title_case_texts"] = f"""
+SELECT doc_id, md5(replace({title_case("text")}, chr(7838), 'SS')) AS fingerprint FROM documents
+"""
