@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import exact_dedup, mixing, url_filter
+from tiffin.llm import exact_dedup, mixing, packing, tokens, url_filter
 from tiffin.llm.common import table
+from tiffin.llm.encoding import tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +68,16 @@ group by all
 """
 
 
+@query
+def op6_token_counts(spark, sf_dir):
+    return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(tokens.TOKENIZER))
+
+
+@query
+def op7_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(packing.TOKENIZER))
+
+
 @query
 def op8_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
