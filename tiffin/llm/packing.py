@@ -5,7 +5,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -139,24 +138,8 @@ def pack(
     groups = (level.agg(F.max("block")).first()[0] or 0) + 1
     while groups > 1:
         groups = -(-groups // FAN_IN)
-        last = groups == 1
-
-        def refit(rows: pd.DataFrame, last: bool = last) -> pd.DataFrame:
-            block = int(rows["group"].iloc[0])
-            items = [
-                (int(fill), [tuple(s.values()) if isinstance(s, dict) else tuple(s) for s in slots])
-                for fill, slots in zip(rows["fill"], rows["slots"], strict=True)
-            ]
-            found = _rows(block, list(_merged(items, capacity)), capacity, last)
-            return pd.DataFrame(
-                {
-                    "block": [r[0] for r in found], "fill": [r[1] for r in found], "open": [r[2] for r in found],
-                    "slots": [[dict(zip([f.name for f in SLOT], s, strict=True)) for s in r[3]] for r in found],
-                }
-            )
-
         above = level.filter("open").withColumn("group", F.expr(f"block div {FAN_IN}"))
-        level = stored(above.groupBy("group").applyInPandas(refit, BINS_DDL), "pack-level")
+        level = stored(above.groupBy("group").applyInArrow(_refit(capacity, groups == 1), BINS_DDL), "pack-level")
         done.append(level.filter("not open"))
     done.append(level.filter("open"))
     whole = done[0]
@@ -171,6 +154,20 @@ def pack(
     )
 
 
+def _refit(capacity: int, last: bool):
+    """The next level's bins of one group's underfull bins."""
+
+    def refit(rows: pa.Table) -> pa.Table:
+        items = [
+            (fill, [tuple(slot.values()) for slot in slots])
+            for fill, slots in zip(rows.column("fill").to_pylist(), rows.column("slots").to_pylist(), strict=True)
+        ]
+        block = rows.column("group")[0].as_py()
+        return pa.Table.from_batches([_batch(_rows(block, list(_merged(items, capacity)), capacity, last))])
+
+    return refit
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     names = [f.name for f in SLOT]
     columns = list(zip(*rows, strict=True))
