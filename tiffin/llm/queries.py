@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import exact_dedup, mixing, packing, tokens, url_filter
+from tiffin.llm import exact_dedup, language, mixing, packing, quality, tokens, url_filter, warc
 from tiffin.llm.common import table
 from tiffin.llm.encoding import tokenizer_path
 
@@ -20,6 +20,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_language_id(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
@@ -68,6 +73,29 @@ group by all
 """
 
 
+@query
+def op5_warc(spark, sf_dir):
+    return warc.archive_pages(table(spark, sf_dir, "pages")).drop("url")
+
+
+# Five hex digits are four of base 32.
+SQL["op5_warc"] = r"""
+with p as (
+    select page_id, encode(coalesce(html, '')) as payload, sha1(coalesce(html, '')) as sha from pages
+), d as (
+    select page_id, octet_length(payload) as payload_bytes, sha,
+           list_aggregate(flatten(list_transform(range(8), lambda g: list_transform(range(4), lambda j:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      ((('0x' || substr(sha, g * 5 + 1, 5))::int >> (15 - 5 * j)) & 31)::int + 1, 1)))),
+               'string_agg', '') as payload_digest
+    from p
+), h as (select sha, max(page_id) as holder from d group by sha)
+select page_id, payload_bytes, payload_digest, case when page_id = holder then 'response' else 'revisit' end as record_type,
+       case when page_id <> holder then holder end as refers_to
+from d join h using (sha)
+"""
+
+
 @query
 def op6_token_counts(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(tokens.TOKENIZER))
@@ -121,3 +149,8 @@ select doc_id, size, source_size, target,
                  + greatest(0, least(size, budget % source_size - before)) end::bigint as taken
 from c
 """
+
+
+@query
+def op9_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
