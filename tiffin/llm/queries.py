@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import exact_dedup, language, mixing, packing, quality, tokens, url_filter, warc
+from tiffin.llm import exact_dedup, language, mixing, near_dedup, packing, quality, tokens, url_filter, warc
 from tiffin.llm.common import table
 from tiffin.llm.encoding import tokenizer_path
 
@@ -20,6 +20,39 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash")
+
+
+SQL["op1_near_dedup"] = r"""
+with recursive w as materialized (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') as words
+    from documents
+), s as materialized (
+    select distinct doc_id, unnest(case when len(words) < 3 then [array_to_string(words, ' ')] else
+        list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) end) as shingle
+    from w where len(words) > 0
+), n as materialized (select doc_id, count(*) as n_shingles from s group by doc_id),
+i as (
+    select a.doc_id as a, b.doc_id as b, count(*) as shared
+    from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+), l as materialized (
+    select a, b from i join n na on na.doc_id = a join n nb on nb.doc_id = b
+    where 100 * shared >= 85 * (na.n_shingles + nb.n_shingles - shared)
+), e as materialized (select a, b from l union all select b, a from l),
+reach(doc_id, other) as (
+    select doc_id, doc_id from n
+    union
+    select doc_id, b from reach join e on a = other
+), c as (select doc_id, min(other) as component_id from reach group by doc_id)
+select doc_id, coalesce(n_shingles, 0) as n_shingles, coalesce(component_id, doc_id) as component_id,
+       coalesce(component_id, doc_id) = doc_id as kept
+from documents left join n using (doc_id) left join c using (doc_id)
+"""
+
+
 @query
 def op2_language_id(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
