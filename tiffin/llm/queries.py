@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tiffin.llm import exact_dedup, language, mixing, near_dedup, packing, quality, tokens, url_filter, warc
+from tiffin.llm import exact_dedup, language, mixing, near_dedup, nearest, packing, quality, tokens, url_filter, warc
 from tiffin.llm.common import table
 from tiffin.llm.encoding import tokenizer_path
 
@@ -28,7 +29,8 @@ def op1_near_dedup(spark, sf_dir):
 SQL["op1_near_dedup"] = r"""
 with recursive w as materialized (
     select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                      'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') as words
+                                      'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') as words
     from documents
 ), s as materialized (
     select distinct doc_id, unnest(case when len(words) < 3 then [array_to_string(words, ' ')] else
@@ -187,3 +189,8 @@ from c
 @query
 def op9_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_nearest(spark, sf_dir):
+    return nearest.nearest_vectors(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0)
