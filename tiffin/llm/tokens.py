@@ -52,11 +52,12 @@ def token_counts(
         docs.select("doc_id", F.octet_length(whole_text()).cast("long").alias("n_bytes"), digest), "token-slim"
     )
     missing = stored(slim.select("digest").distinct().join(known(), "digest", "left_anti"), "token-misses")
+    # Copies are combined in the tasks before they travel.
     texts = (
         docs.select(whole_text().alias("text"), digest)
-        .join(missing, "digest", "left_semi")
         .groupBy("digest")
         .agg(F.first("text").alias("text"))
+        .join(missing, "digest", "left_semi")
     )
     (
         texts.mapInArrow(_counter(path, keeps_space), "digest string, n_tokens long")
