@@ -20,6 +20,9 @@ BUCKETS = 1 << 16  # counters of the token histogram, whatever the input
 MEMO_WORDS = 500_000
 ROWS = 512  # documents worked on together
 BLOCK = 4_096  # shingles hashed together
+CROWD = 16  # members of a list above which the shingles they may share are counted
+PARTS = 32  # counts per class for that
+BLOCK_MEMBERS = 1_024  # members of a crowded list that one task compares with as many
 
 _rng = np.random.default_rng(SEED)
 FACTORS = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -136,7 +139,7 @@ def token_counts(classes: DataFrame) -> np.ndarray:
 
 
 def postings(classes: DataFrame, matches: int) -> DataFrame:
-    """Every class under its rarest tokens: token, node, n_shingles.
+    """Every class under its rarest tokens: token, node, n_shingles, central.
 
     Two signatures with ``matches`` equal coordinates share a token among the
     ``COORDINATES - matches + 1`` that come first in any common order. The
@@ -156,12 +159,55 @@ def postings(classes: DataFrame, matches: int) -> DataFrame:
             chosen = np.take_along_axis(tokens, first, axis=1).ravel().view(np.int64)
             row = pa.array(np.repeat(np.arange(batch.num_rows), prefix))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chosen), batch.column("node").take(row), batch.column("n_shingles").take(row)],
-                ["token", "node", "n_shingles"],
-            )
+                [pa.array(chosen), batch.column("node").take(row), batch.column("n_shingles").take(row),
+                 pa.array(np.repeat(rarity.sum(axis=1), prefix))],
+                ["token", "node", "n_shingles", "central"],
+            )
 
     return classes.select("node", "n_shingles", "signature").mapInArrow(
-        post, "token long, node binary, n_shingles long"
+        post, "token long, node binary, n_shingles long, central long"
+    )
+
+
+def _crowded_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in crowded lists that can be similar enough, given what they share at most.
+
+    ``members`` has token, node, root, n_shingles, crowd, parts. A list is cut
+    into blocks of about ``BLOCK_MEMBERS``, and each two blocks meet in a task of
+    their own, so a list of any size spreads over many tasks; a task gives only
+    the pairs that pass.
+    """
+
+    def compare(cell: pa.Table) -> pa.Table:
+        nodes, n = cell.column("node").to_numpy(), cell.column("n_shingles").to_numpy()
+        parts = np.array(cell.column("parts").to_pylist(), dtype=np.int32)
+        block, low, high = (cell.column(c).to_numpy() for c in ("block", "low", "high"))
+        _, root = np.unique(cell.column("root").to_pylist(), return_inverse=True)
+        left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
+        found: list[tuple[int, int]] = []
+        for at in range(0, len(left), 64):
+            rows = left[at : at + 64]
+            most = np.zeros((len(rows), len(right)), dtype=np.int32)
+            for p in range(PARTS):
+                most += np.minimum(parts[rows, p][:, None], parts[right, p][None, :])
+            size = n[rows][:, None] + n[right][None, :]
+            fits = (100 * most >= percent * (size - most)) & (root[rows][:, None] != root[right][None, :])
+            if low[0] == high[0]:
+                fits &= rows[:, None] < right[None, :]
+            found += [(rows[i], right[j]) for i, j in zip(*np.nonzero(fits), strict=True)]
+        pairs = [sorted((nodes[i], nodes[j])) for i, j in found]
+        return pa.table({c: pa.array([p[k] for p in pairs], pa.binary()) for k, c in enumerate("ab")})
+
+    blocks = F.ceil(F.col("crowd") / BLOCK_MEMBERS).cast("long")
+    placed = members.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    )
+    return (
+        placed.withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .select("token", "low", "high", "block", "node", "root", "n_shingles", "parts")
+        .groupBy("token", "low", "high")
+        .applyInArrow(compare, "a binary, b binary")
     )
 
 
@@ -192,17 +238,18 @@ def _matching(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
     )
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, from the texts of one document of each class."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = classes.join(named, "node", "left_semi").select("node", "doc_id", "text_hash")
+def _texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, text: the text of one document of each class in ``nodes``."""
+    wanted = classes.join(nodes, "node", "left_semi").select("node", "doc_id", "text_hash")
     read = docs.select(
         F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"), whole_text().alias("text")
     )
     same = (F.col("_hash") == F.col("text_hash")) & F.col("_id").eqNullSafe(F.col("doc_id"))
-    texts = stored(
-        read.join(wanted, same).groupBy("node").agg(F.first("text").alias("text")), "near-texts"
-    )
+    return stored(read.join(wanted, same).groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
 
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
         hashes, held = WordHashes(), {}
@@ -227,6 +274,36 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int
     return joined.filter(F.pandas_udf(similar, "boolean")("ta", "tb")).select("a", "b")
 
 
+def _open_shingles(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """node, parts: shingles of each class in ``nodes`` that another one in ``nodes`` has too, counted by part.
+
+    A shingle's part is its hash modulo ``PARTS``. Two classes share at most the
+    smaller count of each part.
+    """
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                sets = [shingle_set(t, words, hashes) for t in part.column("text").to_pylist()]
+                row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(sets).view(np.int64)), part.column("node").take(pa.array(row))],
+                    ["shingle", "node"],
+                )
+
+    spelled = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(spell, "shingle long, node binary")
+    alone = spelled.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
+    signed = spelled.select("node", "shingle", F.lit(1).alias("one")).unionByName(
+        alone.select("node", "shingle", F.lit(-1).alias("one"))
+    )
+    part = F.pmod("shingle", F.lit(PARTS))
+    return signed.groupBy("node").agg(
+        F.array(*[F.sum(F.when(part == i, F.col("one")).otherwise(0)) for i in range(PARTS)]).alias("parts")
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root: the smallest node reachable over links (a, b), for every node with a link.
 
@@ -275,13 +352,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rows repeat, an empty table gives no rows, other columns are ignored.
 
     Equal sets are one class from the start. Classes are posted under their
-    rarest signature tokens. First every class meets one randomly drawn member
-    of each of its lists, and the best match is confirmed on the texts: a large
-    group of near copies becomes one component with one confirmed pair per
-    class. Then only classes of different components that share a list are
-    paired, so the first pass drops no pair that could still matter. Pairs are
-    confirmed on the whole sets; at the similarity limit about one pair in a
-    million has too few matching coordinates to be looked at.
+    rarest signature tokens. First every class meets the most central member of
+    each of its lists, and the best match is confirmed on the texts: most of a
+    large group of near copies becomes one component with one confirmed pair
+    per class. Then only classes of different components that share a list are
+    paired, so the first pass drops no pair that could still matter. For the
+    classes of crowded lists the shingles that others there have too are
+    counted by part first: where the smaller counts cannot add up to the
+    similarity, the pair is not made. Pairs
+    are confirmed on the whole sets; at the similarity limit about one pair in
+    a million has too few matching coordinates to be looked at.
     """
     matches = match_threshold(percent)
     sketches = stored(sketch(docs, words), "near-sketch")
@@ -297,18 +377,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "near-classes",
     )
     posted = stored(postings(classes, matches), "near-postings")
-
-    # Pass 1: a drawn member of each list.
-    hubs = posted.groupBy("token").agg(
-        F.count("*").alias("n"),
-        F.min(F.struct(F.xxhash64("token", "node").alias("draw"), "node", "n_shingles")).alias("hub"),
+    lists = posted.groupBy("token").agg(
+        F.count("*").alias("crowd"), F.max(F.struct("central", "node", "n_shingles")).alias("hub")
     )
-    hubs = hubs.filter("n > 1").select("token", F.col("hub.node").alias("b"), F.col("hub.n_shingles").alias("nb"))
+    shared = stored(posted.join(lists.filter("crowd > 1"), "token"), "near-shared")
+    texts = _texts_of(shared.select("node").distinct(), classes, docs)
+
+    # Pass 1: the most central member of each list.
     met = (
-        posted.join(hubs, "token")
-        .filter(F.col("node") != F.col("b"))
+        shared.select(
+            F.col("node").alias("a"), "n_shingles", F.col("hub.node").alias("b"), F.col("hub.n_shingles").alias("nb")
+        )
+        .filter(F.col("a") != F.col("b"))
         .filter(_sizes_fit(F.col("n_shingles"), F.col("nb"), percent))
-        .select(F.col("node").alias("a"), "b")
+        .select("a", "b")
         .distinct()
     )
     best = (
@@ -317,29 +399,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .agg(F.max(F.struct("matches", "b")).alias("best"))
         .select("a", F.col("best.b").alias("b"))
     )
-    first = stored(_confirmed(stored(best, "near-pairs"), classes, docs, words, percent), "near-links")
+    first = stored(_confirmed(stored(best, "near-pairs"), texts, words, percent), "near-links")
     roots = stored(components(first), "near-roots")
 
     # Pass 2: lists that still hold several components, members of different ones paired.
-    placed = posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    crowd = placed.select("token", "root").distinct()
-    mixed = stored(
-        placed.join(crowd.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "token", "left_semi"),
-        "near-mixed",
-    )
-    seats = mixed.select("token", "root").distinct()
-    tables = seats.withColumnRenamed("root", "ra").join(seats.withColumnRenamed("root", "rb"), "token").filter("ra < rb")
-    left = mixed.select("token", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n_shingles").alias("na"))
-    right = mixed.select("token", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n_shingles").alias("nb"))
-    crossing = (
-        tables.join(left, ["token", "ra"])
-        .join(right, ["token", "rb"])
-        .filter(_sizes_fit(F.col("na"), F.col("nb"), percent))
-        .select("a", "b")
-        .distinct()
+    placed = (
+        shared.select("token", "node", "n_shingles", "crowd")
+        .join(roots, "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
     )
+    several = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    mixed = stored(placed.join(several, "token", "left_semi"), "near-mixed")
+    crowded = mixed.filter(F.col("crowd") > CROWD).select("node").distinct()
+    parts = stored(_open_shingles(crowded, texts, words), "near-parts")
+    close = _crowded_pairs(mixed.filter(F.col("crowd") > CROWD).join(parts, "node"), percent)
+    few = mixed.filter(F.col("crowd") <= CROWD)
+    a, b = (few.select("token", *[F.col(c).alias(c + side) for c in ("node", "root", "n_shingles")]) for side in "ab")
+    apart = (F.col("roota") < F.col("rootb")) & _sizes_fit(F.col("n_shinglesa"), F.col("n_shinglesb"), percent)
+    ends = (F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
+    crossing = a.join(b, "token").filter(apart).select(*ends).unionByName(close).distinct()
     pairs = stored(_matching(crossing, classes, matches).select("a", "b"), "near-pairs")
-    second = _confirmed(pairs, classes, docs, words, percent)
+    second = _confirmed(pairs, texts, words, percent)
     links = stored(first.unionByName(second), "near-links")
     roots = components(links)
 
