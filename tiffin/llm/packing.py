@@ -18,6 +18,7 @@ CAPACITY = 1024
 END_ID = 2
 BLOCK_PIECES = 200_000  # pieces packed together in a task
 SLACK = 1 / 128  # a bin with less room than this share is full
+GO_UP = 64  # underfull bins of a group that the next level packs anew
 FAN_IN = 16  # groups whose underfull bins meet in one group of the next level
 SLICE = 256  # texts encoded together
 
@@ -70,8 +71,18 @@ def pieces_of(doc_id: int | None, ids: bytes, capacity: int) -> Iterator[tuple]:
 
 
 def _merged(items: list[tuple[int, list[tuple]]], capacity: int) -> Iterator[tuple[int, list[tuple]]]:
-    """Bins of (fill, slots) items, packed best-fit, with the slots' offsets set anew."""
-    for places in best_fit([fill for fill, _ in items], capacity):
+    """Bins of (fill, slots) items, packed best-fit, with the slots' offsets set anew.
+
+    Underfull bins are packed as they are and, beside it, taken apart; the
+    packing with fewer bins counts.
+    """
+    bins = best_fit([fill for fill, _ in items], capacity)
+    apart = [(slot[3], [slot]) for _, slots in items for slot in slots]
+    if len(apart) > len(items):
+        anew = best_fit([fill for fill, _ in apart], capacity)
+        if len(anew) < len(bins):
+            bins, items = anew, apart
+    for places in bins:
         at, slots = 0, []
         for i in places:
             for slot in items[i][1]:
@@ -83,11 +94,10 @@ def _merged(items: list[tuple[int, list[tuple]]], capacity: int) -> Iterator[tup
 def _rows(block: int, bins: list[tuple[int, list[tuple]]], capacity: int, last: bool) -> list[tuple]:
     """(block, fill, open, slots), open if the next level may add to the bin.
 
-    After a best fit no two bins fit together, so at most one is half full or
-    less, and of the fuller ones a group of the next level can use no more than
-    one for each half-full bin that meets there: the emptiest ``FAN_IN`` go up.
+    After a best fit no two bins fit together: what goes up are the emptiest
+    ``GO_UP`` bins of a group, all others stand.
     """
-    room = sorted(((capacity - fill, i) for i, (fill, _) in enumerate(bins)), reverse=True)[: FAN_IN + 1]
+    room = sorted(((capacity - fill, i) for i, (fill, _) in enumerate(bins)), reverse=True)[:GO_UP]
     up = set() if last else {i for r, i in room if r > capacity * SLACK}
     return [(block, fill, i in up, slots) for i, (fill, slots) in enumerate(bins)]
 
@@ -102,7 +112,7 @@ def pack(
     task encodes and packs its own documents (full sequences are done at once);
     then the emptiest bins of ``FAN_IN`` groups meet as items of a new best fit,
     level by level, until one group is left. What goes up is bounded per group
-    by ``FAN_IN`` bins, whatever the input.
+    by ``GO_UP`` bins, whatever the input.
 
     A missing text is empty: a piece of one token. A missing id is kept;
     repeated rows are packed each for itself; an empty table gives no rows.
