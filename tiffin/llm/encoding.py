@@ -11,11 +11,12 @@ from types import SimpleNamespace
 
 MEMO_WORDS = 1_200_000  # words a worker remembers before it starts afresh
 MEMO_CHARS = 64  # longer words are not remembered
-# Letters below U+0250, written as ranges; texts with later characters, or with
-# control characters and blanks that only some engines count as white space, go
-# to the tokenizer whole.
+# Letters below U+0250, written as ranges; texts with later characters, with the
+# one letter whose lower case is more than letters, or with control characters
+# and blanks that only some engines count as white space, go to the tokenizer
+# whole.
 LETTERS = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
-UNSAFE = r"[\x1c-\x1f\x85\xa0ɐ-\U0010ffff]"
+UNSAFE = r"[\x1c-\x1f\x85\xa0\u0130\u0250-\U0010ffff]"
 # A word, or what lies between words. An apostrophe may begin a contraction and
 # white space other than a blank is split by what follows: both take the next
 # letters along.
