@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import bucket_of_id, whole_text
+from tiffin.llm.common import bucket_of_id, stored, whole_text
 
 THRESHOLD = 0.7
 DICTIONARY_BYTES = 32_768
@@ -89,30 +89,31 @@ def _logistic(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray) -> np.ndarra
     return w
 
 
-def learn(labelled: DataFrame, docs_per_label: int = DOCS_PER_LABEL) -> QualityModel:
-    """Dictionaries and calibration from ``labelled`` (doc_id, text, quality).
+def learn(docs: DataFrame, known: DataFrame, docs_per_label: int = DOCS_PER_LABEL) -> QualityModel:
+    """Dictionaries and calibration from ``docs`` (doc_id, text) with labels ``known`` (doc_id, quality; one row an id).
 
     The driver gets at most ``docs_per_label`` texts of each label, none above
-    ``MAX_SAMPLE_BYTES``, in the order of a hash; one in ``CALIBRATION_SHARE``
-    only calibrates. Calibration weighs the labels by their share of all
-    labelled rows. With one label alone every score is that label's share.
+    ``MAX_SAMPLE_BYTES``, in the order of a hash of the id; one in
+    ``CALIBRATION_SHARE`` only calibrates. Calibration weighs the labels by
+    their share of all labelled documents. With one label alone every score is
+    that label's share.
     """
-    usable = labelled.filter("quality in (0, 1)").select(
-        "doc_id", whole_text().alias("text"), F.col("quality").cast("int").alias("quality")
-    )
-    totals = {r["quality"]: r["n"] for r in usable.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    usable = usable.filter(F.octet_length("text") <= MAX_SAMPLE_BYTES)
-    keyed = usable.withColumn("draw", F.xxhash64("doc_id", "text"))
-    picked = (
-        keyed.select("quality", "draw")
-        .distinct()
-        .withColumn("place", F.row_number().over(Window.partitionBy("quality").orderBy("draw")))
-        .filter(F.col("place") <= docs_per_label)
+    present = stored(
+        known.filter("quality in (0, 1)")
+        .select("doc_id", F.col("quality").cast("int").alias("quality"))
+        .join(docs.select("doc_id").distinct(), "doc_id"),
+        "quality-labels",
     )
+    totals = {r["quality"]: r["n"] for r in present.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    draw = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = present.withColumn("place", F.row_number().over(draw)).filter(F.col("place") <= docs_per_label)
+    # Twice docs_per_label rows of three numbers: sent to the texts, which stay where they are.
     rows = (
-        keyed.join(picked, ["quality", "draw"])
-        .groupBy("quality", "draw", "place")
-        .agg(F.first("text").alias("text"))
+        docs.select("doc_id", whole_text().alias("text"))
+        .filter(F.octet_length("text") <= MAX_SAMPLE_BYTES)
+        .join(F.broadcast(picked), "doc_id")
+        .groupBy("quality", "place")
+        .agg(F.min("text").alias("text"))
         .orderBy("quality", "place")
         .limit(2 * docs_per_label)
         .collect()
@@ -150,8 +151,7 @@ def learn_from(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality")
     )
-    seen = docs.filter(bucket_of_id(folds) != held_out).select("doc_id", "text")
-    return learn(seen.join(known, "doc_id"), **options)
+    return learn(docs.select("doc_id", "text"), known.filter(bucket_of_id(folds) != held_out), **options)
 
 
 def classify(
