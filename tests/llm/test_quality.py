@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tiffin.llm.quality import classify, learn_from
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    got = classify(docs, labels).join(labels, "doc_id").collect()
+    held = [r for r in got if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    assert np.mean([r["predicted"] for r in held if r["quality"] == 1]) > 0.98
+    assert np.mean([r["predicted"] for r in held if r["quality"] == 0]) < 0.1
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
+
+
+def test_held_out_labels_are_not_seen(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    turned = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = learn_from(docs, labels), learn_from(docs, turned)
+    assert a.good == b.good and a.bad == b.bad and np.array_equal(a.weights, b.weights)
+
+
+def test_edge_rows(spark, edge_docs, no_docs):
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (2, 1, 0), (3, 1, 1), (7, 0, 0), (8, 0, 0), (12, 0, 1), (12, 1, 1), (None, 0, 0), (99, 1, 0), (5, None, 0)],
+        "doc_id long, quality int, toxic int",
+    )
+    got = classify(edge_docs, labels).collect()
+    assert len(got) == edge_docs.count()
+    assert all(0 <= r["score"] <= 1 for r in got)
+    blank = {r["score"] for r in got if r["doc_id"] in (4, 5)}
+    assert len(blank) == 1  # a missing text is an empty one
+    assert classify(no_docs, labels).count() == 0
+    assert {r["score"] for r in classify(edge_docs, labels.limit(0)).collect()} == {0.5}
+    one_label = labels.filter("quality = 1")
+    assert all(r["predicted"] == 1 for r in classify(edge_docs, one_label).collect())
