@@ -50,23 +50,33 @@ def governed_sql(
 ) -> DataFrame:
     """Check a statement and return it as a lazy, row-capped DataFrame. A smaller
     limit in the statement keeps its effect under the outer one."""
-    prefixes = check_query(spark, sql, views)
-    # The curated views are temporary views, which have no schema: take the
-    # allowed schema name off where the parser saw one.
-    for start in sorted(prefixes, reverse=True):
+    return spark.sql(runnable(spark, sql, views)).limit(row_limit)
+
+
+def runnable(spark: SparkSession, sql: str, views: Iterable[str]) -> str:
+    """The checked statement as it will be run.
+
+    The curated views are temporary views, which have no schema: the allowed
+    schema name is taken off where the parser saw one. The parser counts code
+    points, as Python does.
+    """
+    for start in sorted(check_query(spark, sql, views), reverse=True):
         sql = sql[:start] + re.sub(rf"^`?{SCHEMA}`?\s*\.\s*", "", sql[start:], count=1, flags=re.IGNORECASE)
-    return spark.sql(sql).limit(row_limit)
+    return sql
 
 
 def check_query(spark: SparkSession, sql: str, views: Iterable[str]) -> list[int]:
     """Raise RefusedQuery, or return where schema-qualified view names start."""
+    # Spark would put settings and environment variables in for these before it parses.
+    if "${" in sql:
+        raise RefusedQuery("references of the form ${...} are not resolved here")
     parser = spark._jsparkSession.sessionState().sqlParser()
     try:
         plan = parser.parsePlan(sql)
     except ParseException as exc:
         if "extra input" in str(exc) or ";" in sql.strip().rstrip(";"):
-            raise RefusedQuery("Expected exactly one SQL statement.") from exc
-        raise RefusedQuery(f"Could not parse the statement: {exc}") from exc
+            raise RefusedQuery("several statements in one text") from exc
+        raise RefusedQuery(f"not readable as SQL: {exc}") from exc
     _check_root(plan)
     check = _PlanCheck(spark, {v.lower() for v in views})
     check.plan(plan, frozenset())
@@ -86,7 +96,7 @@ def _check_root(plan) -> None:
     while _name(node) == "UnresolvedWith" or _name(node) in WRAPPERS:
         node = node.child()
     if _name(node) not in ROOT_NODES:
-        raise RefusedQuery(f"Only SELECT/WITH statements are allowed; got {_name(node)}.")
+        raise RefusedQuery(f"{_name(node)} does not read rows: a query is needed")
 
 
 class _PlanCheck:
@@ -102,7 +112,7 @@ class _PlanCheck:
     def plan(self, node, ctes: frozenset[str]) -> None:
         kind = _name(node)
         if kind not in QUERY_NODES:
-            raise RefusedQuery(f"Disallowed operation: {kind}.")
+            raise RefusedQuery(f"a query may not contain {kind}")
         if kind == "UnresolvedWith":
             # A name is visible to the definitions after it and to the body.
             for entry in _items(node.cteRelations()):
@@ -124,9 +134,9 @@ class _PlanCheck:
         if not schema and name in ctes:
             return
         if schema and schema != [SCHEMA]:
-            raise RefusedQuery(f"Schema '{'.'.join(schema)}' is not allowed; only {SCHEMA} may be queried.")
+            raise RefusedQuery(f"{'.'.join([*schema, name])} lies outside {SCHEMA}")
         if name not in self.views:
-            raise RefusedQuery(f"Table '{name}' is not on the allowlist: {sorted(self.views)}.")
+            raise RefusedQuery(f"{SCHEMA} has no {name}; it has {', '.join(sorted(self.views))}")
         if schema:
             self.prefixes.append(node.origin().startIndex().get())
 
@@ -136,6 +146,11 @@ class _PlanCheck:
             self.function([p.lower() for p in _items(node.nameParts())])
         elif kind == "UnresolvedGenerator":
             self.function([node.name().funcName().lower()])
+        elif kind == "UnresolvedAttribute":
+            # Some functions are called by a bare name.
+            parts = [p.lower() for p in _items(node.nameParts())]
+            if len(parts) == 1 and parts[0] in REFUSED_FUNCTIONS:
+                raise RefusedQuery(f"{parts[0]} is not available")
         if self._subquery.isInstance(node):
             self.plan(node.plan(), ctes)
         for child in _items(node.children()):
@@ -144,7 +159,7 @@ class _PlanCheck:
     def function(self, parts: list[str]) -> None:
         known = len(parts) == 1 and self._builtins.functionExists(self._identifier(parts[0]))
         if not known or parts[0] in REFUSED_FUNCTIONS:
-            raise RefusedQuery(f"Function '{'.'.join(parts)}' is not allowed.")
+            raise RefusedQuery(f"{'.'.join(parts)}() is not available")
 
 
 def run_governed(
@@ -155,15 +170,22 @@ def run_governed(
     timeout_seconds: float = TIMEOUT_SECONDS,
 ) -> pd.DataFrame:
     """Check and run a statement; its jobs are cancelled after the time cap. The
-    row cap bounds what comes back to the client."""
-    df = governed_sql(spark, sql, views, row_limit)
+    row cap bounds what comes back to the client.
+
+    ``attrs`` of the result hold the given and the executed statement, and
+    whether the row cap left rows out (``truncated``).
+    """
+    executed = runnable(spark, sql, views)
     tag = f"governed-{uuid.uuid4().hex}"
     context = spark.sparkContext
     timer = threading.Timer(timeout_seconds, lambda: context.cancelJobsWithTag(tag))
     context.addJobTag(tag)
     timer.start()
     try:
-        return df.toPandas()
+        rows = spark.sql(executed).limit(row_limit + 1).toPandas()
     finally:
         timer.cancel()
         context.removeJobTag(tag)
+    out = rows.iloc[:row_limit].copy()
+    out.attrs = {"given": sql, "executed": executed, "truncated": len(rows) > row_limit}
+    return out
