@@ -47,9 +47,9 @@ def test_topk_against_brute_force(spark, data):
     assert found(topk.cosine_topk(s, q, 1000)) == brute(store, queries, 1000)
 
 
-def test_topk_in_several_passes(spark, data, monkeypatch):
+def test_topk_in_several_blocks(spark, data, monkeypatch):
     store, queries = data
-    monkeypatch.setattr(topk, "QUERIES_PER_PASS", 3)
+    monkeypatch.setattr(topk, "QUERIES_PER_BLOCK", 3)
     s = spark.createDataFrame(store, VECTORS)
     q = spark.createDataFrame(queries, "query_id int, vector array<double>")
     assert found(topk.cosine_topk(s, q, 4)) == brute(store, queries, 4)
@@ -63,11 +63,30 @@ def test_topk_edges(spark):
     assert topk.cosine_topk(s, q.limit(0), 3).count() == 0
     (hit,) = topk.cosine_topk(s, q, 3).collect()
     assert hit.chunk_id == 1 and hit.score == pytest.approx(0.5**0.5)
-    wrong = spark.createDataFrame([(1, [1.0, 1.0, 1.0])], VECTORS)
-    with pytest.raises(Exception, match="must have 2 numbers"):
+    wrong = spark.createDataFrame([(71, [1.0, 1.0, 1.0])], VECTORS)
+    with pytest.raises(Exception, match="vector of 71 has 3 numbers, not 2"):
         topk.cosine_topk(wrong, q, 3).collect()
 
 
+def test_ragged_vectors_are_named_not_scored(spark):
+    """Lengths that add up to whole vectors by chance must not shift the rows after them."""
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, vector array<double>")
+    ragged = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0]), (3, [1.0, 0.0, 5.0]), (4, [0.0, 1.0])], VECTORS)
+    with pytest.raises(Exception, match="vector of [23] has [13] numbers, not 2"):
+        topk.cosine_topk(ragged.coalesce(1), q, 3).collect()
+    holes = spark.createDataFrame([(1, [1.0, None])], VECTORS)
+    with pytest.raises(Exception, match="vector of 1 holds a missing number"):
+        topk.cosine_topk(holes, q, 3).collect()
+
+
+def test_repeated_chunks_and_missing_texts(spark, tmp_path):
+    rows = [(1, "first", "c", 5, "2024-01-01"), (1, "second", "c", 4, "2024-02-01"), (2, None, "c", 3, "2024-01-01")]
+    base = str(tmp_path)
+    r.index_reviews(spark, base, reviews(spark, rows), lambda: r.hashing_embedder(16))
+    stored = r.vector_store(spark, base).read().collect()
+    assert [(x.chunk_id, x.text) for x in stored] == [("1", "second")]
+
+
 def test_cosine_column(spark):
     df = spark.createDataFrame([([1.0, 2.0], [2.0, 4.0]), ([0.0, 0.0], [1.0, 1.0]), ([1.0, 0.0], [0.0, 3.0])],
                                "a array<float>, b array<float>")

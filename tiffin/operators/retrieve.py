@@ -18,10 +18,9 @@ from tiffin.sources.tables import LayerTable
 
 CHUNKS = "chunk_id string, doc_id string, text string, metadata map<string,string>, vector array<float>"
 CACHE = "content_hash string, vector array<float>"
-SAMPLE_SIZE = 500
+SAMPLE_SIZE = None  # all reviews; a sample only where a caller asks for one
 TOP_K = 5
 TEXTS_PER_CALL = 256
-BROADCAST_HITS = 50_000  # rows of an id, a score and a rank
 
 # Takes texts, returns one vector per text.
 Embedder = Callable[[Sequence[str]], Sequence[Sequence[float]]]
@@ -43,14 +42,16 @@ def documents(reviews: DataFrame, sample_size: int | None = SAMPLE_SIZE, seed: i
 
 def chunks(docs: DataFrame) -> DataFrame:
     """One chunk per document; reviews are short. Other kinds of documents would
-    be split here."""
-    return docs.select(F.col("doc_id").alias("chunk_id"), "doc_id", "text", "metadata")
+    be split here. A document without text has nothing to find and no chunk."""
+    return docs.filter("text is not null").select(F.col("doc_id").alias("chunk_id"), "doc_id", "text", "metadata")
 
 
 def unseen_texts(pieces: DataFrame, cache: DataFrame) -> DataFrame:
-    """Each text whose hash is not cached, once: content_hash, text."""
-    new = pieces.withColumn("content_hash", content_hash("text")).groupBy("content_hash")
-    return new.agg(F.first("text").alias("text")).join(cache.select("content_hash"), "content_hash", "left_anti")
+    """Each text whose hash is not cached, once: content_hash, text. The hashes
+    ask the cache alone; only the texts that it lacks are brought together."""
+    hashed = pieces.filter("text is not null").select(content_hash("text").alias("content_hash"), "text")
+    missing = hashed.select("content_hash").distinct().join(cache.select("content_hash"), "content_hash", "left_anti")
+    return hashed.join(missing, "content_hash", "left_semi").groupBy("content_hash").agg(F.first("text").alias("text"))
 
 
 def embed_texts(texts: DataFrame, make_embedder: Callable[[], Embedder], parallelism: int | None = None) -> DataFrame:
@@ -107,8 +108,10 @@ def index_reviews(
     """Documents to vector store: prepare, chunk, embed, upsert by chunk."""
     pieces = chunks(documents(reviews, sample_size))
     embedded = embed_with_cache(pieces, embedding_cache(spark, warehouse), make_embedder, parallelism)
+    # Of a chunk that comes twice the newer review is kept.
+    newest = latest_per_key(embedded, ["chunk_id"], [F.desc(F.col("metadata")["review_date"]), F.desc("text")])
     store = vector_store(spark, warehouse)
-    store.upsert(embedded, ["chunk_id"])
+    store.upsert(newest, ["chunk_id"])
     return store
 
 
@@ -123,14 +126,13 @@ def retrieve(
     rows = [(i, q, [float(x) for x in v]) for i, (q, v) in enumerate(zip(questions, vectors, strict=True))]
     queries = spark.createDataFrame(rows, "query_id int, question string, vector array<double>")
     hits = cosine_topk(store, queries, k).join(queries.select("query_id", "question"), "query_id")
-    return with_chunks(hits, store, len(questions) * k)
+    return with_chunks(hits, store)
 
 
-def with_chunks(hits: DataFrame, store: DataFrame, most_hits: int) -> DataFrame:
-    """Text and metadata of the hits. Up to ``BROADCAST_HITS`` of them are sent to
-    the store's tasks, so that the texts of the store are not shuffled."""
-    sent = F.broadcast(hits) if most_hits <= BROADCAST_HITS else hits
-    return store.drop("vector").join(sent, "chunk_id")
+def with_chunks(hits: DataFrame, store: DataFrame) -> DataFrame:
+    """Text and metadata of the hits; adaptive execution sends few hits to the
+    store's tasks, so that its texts are not shuffled."""
+    return store.drop("vector").join(hits, "chunk_id")
 
 
 def context(hits: DataFrame, query_id: str = "query_id") -> DataFrame:

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tiffin.sources.tables import union_all
-
-# Queries scored in one pass over the store. Their vectors travel to every
-# task, so this number and MAX_VECTOR_BYTES bound what is sent.
-QUERIES_PER_PASS = 512
-MAX_VECTOR_BYTES = 64 * 1024 * 1024
-SCORE_DIGITS = 12  # equal vectors must tie, whatever batch they are scored in
+QUERIES_PER_BLOCK = 4_096  # queries that meet a block of items at a time
+ITEMS_PER_SLICE = 1_024  # items scored at a time
+SCORE_DIGITS = 12  # equal vectors must tie, whatever block they are scored in
 
 
 def cosine_topk(
@@ -30,72 +26,98 @@ def cosine_topk(
 ) -> DataFrame:
     """The ``k`` best items of every query: query id, item id, score, rank.
 
-    The store is scanned as it lies and never shuffled: each task scores its
-    rows against the query vectors and keeps the best ``k`` per query, and only
-    those are ranked together. Ties go to the smaller id; a vector without
-    length scores 0. More queries than one pass takes are scored in several.
+    The store is scanned once for any number of queries. Items and queries are
+    dealt into blocks; each block of items meets each block of queries in one
+    task, which keeps the best ``k`` per query, and only those are ranked
+    together. Ties go to the smaller id; a vector without length scores 0. A
+    missing vector takes no part; one that is of another length than the rest
+    of its block, or that holds a missing number, raises with its id.
     """
-    asked = queries.select(query_id, query_vector)
-    head = asked.limit(QUERIES_PER_PASS + 1).collect()
-    if len(head) <= QUERIES_PER_PASS:
-        blocks = [head]
-    else:
-        passes = -(-asked.count() // QUERIES_PER_PASS)
-        in_block = F.pmod(F.xxhash64(query_id), F.lit(passes))
-        blocks = (asked.filter(in_block == i).collect() for i in range(passes))
-    out = union_all([_one_pass(store, asked, block, k, item_id, item_vector) for block in blocks])
-    w = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(item_id))
-    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
-def _one_pass(store: DataFrame, asked: DataFrame, rows: list, k: int, item_id: str, item_vector: str) -> DataFrame:
-    """Best ``k`` per task for the collected (id, vector) rows of one pass."""
-    spark = store.sparkSession
+    asked = queries.select(query_id, query_vector).filter(F.col(query_vector).isNotNull())
+    query_blocks = max(1, -(-asked.count() // QUERIES_PER_BLOCK))
+    item_blocks = int(store.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = T.StructType(
         [
-            T.StructField(asked.columns[0], asked.schema[0].dataType),
+            T.StructField(query_id, asked.schema[0].dataType),
             T.StructField(item_id, store.schema[item_id].dataType),
             T.StructField("score", T.DoubleType()),
         ]
     )
-    if not rows:
-        return spark.createDataFrame([], schema)
-    matrix = np.array([r[1] for r in rows], dtype="float64")
-    if matrix.nbytes > MAX_VECTOR_BYTES:
-        raise ValueError(f"{len(rows)} query vectors of {matrix.shape[1]} numbers are too large for one pass")
-    sent = spark.sparkContext.broadcast((_unit(matrix), [r[0] for r in rows]))
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, ids = sent.value
-        kept: list[list[tuple[float, object]]] = [[] for _ in ids]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = batch.column(0)
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("float64")
-            if flat.size != batch.num_rows * unit.shape[1]:
-                raise ValueError(f"vectors must have {unit.shape[1]} numbers")
-            scores = np.round(_unit(flat.reshape(batch.num_rows, -1)) @ unit.T, SCORE_DIGITS)
-            for q in range(len(ids)):
-                column = scores[:, q]
-                at_least = np.partition(column, -k)[-k] if k < len(column) else -np.inf
-                picks = np.nonzero(column >= at_least)[0]
-                found = [(-column[j], names[int(j)].as_py()) for j in picks]
-                kept[q] = sorted(kept[q] + found)[:k]
-        hits = [(ids[q], item, -score) for q, found in enumerate(kept) for score, item in found]
-        if hits:
-            arrays = [pa.array([h[i] for h in hits], type=f) for i, f in enumerate(fields)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema])
-
-    fields = [_arrow(f.dataType) for f in schema]
-    items = store.filter(F.col(item_vector).isNotNull()).select(item_id, item_vector)
-    return items.mapInArrow(best, schema)
-
-
-def _arrow(t: T.DataType) -> pa.DataType:
-    return {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string(), T.DoubleType: pa.float64()}[
-        type(t)
-    ]
+
+    def dealt(key: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(n)).cast("long")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    none = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields[:2]}
+    vector = "array<double>"
+    items = (
+        store.filter(F.col(item_vector).isNotNull())
+        .select(
+            none[query_id].alias("_query"), F.col(item_id).alias("_item"),
+            F.col(item_vector).cast(vector).alias("_vector"), dealt(item_id, item_blocks).alias("_left"),
+        )
+        .withColumn("_right", every(query_blocks))
+    )
+    sent = (
+        asked.select(
+            F.col(query_id).alias("_query"), none[item_id].alias("_item"),
+            F.col(query_vector).cast(vector).alias("_vector"), dealt(query_id, query_blocks).alias("_right"),
+        )
+        .withColumn("_left", every(item_blocks))
+        .select("_query", "_item", "_vector", "_left", "_right")
+    )
+    cells = items.withColumn("_asks", F.lit(False)).unionByName(sent.withColumn("_asks", F.lit(True)))
+    fields = [(f.name, to_arrow_type(f.dataType)) for f in schema]
+    found = cells.groupBy("_left", "_right").applyInArrow(_best(k, fields), schema)
+    w = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(item_id))
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def _best(k: int, fields: list[tuple[str, pa.DataType]]):
+    """The best ``k`` items of a cell for each of its queries."""
+
+    def best(cell: pa.Table) -> pa.Table:
+        asks = cell.column("_asks")
+        questions, items = cell.filter(asks), cell.filter(pc.invert(asks))
+        out: list[tuple] = []
+        if questions.num_rows and items.num_rows:
+            unit = _unit(_matrix(questions, "_query"))
+            vectors, names = _matrix(items, "_item", unit.shape[1]), items.column("_item").to_pylist()
+            place = np.argsort(np.argsort(np.array(names, dtype=object), kind="stable"), kind="stable")
+            scores = np.empty((len(unit), len(names)))
+            for at in range(0, len(names), ITEMS_PER_SLICE):
+                scores[:, at : at + ITEMS_PER_SLICE] = unit @ _unit(vectors[at : at + ITEMS_PER_SLICE]).T
+            scores = np.round(scores, SCORE_DIGITS)
+            for q, row in zip(questions.column("_query").to_pylist(), scores, strict=True):
+                picks = np.arange(len(row))
+                if k < len(row):
+                    picks = np.flatnonzero(row >= np.partition(row, -k)[-k])
+                picks = picks[np.lexsort((place[picks], -row[picks]))][:k]
+                out += [(q, names[i], row[i]) for i in picks]
+        return pa.table(
+            [pa.array([r[i] for r in out], type=t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields]
+        )
+
+    return best
+
+
+def _matrix(rows: pa.Table, name: str, length: int | None = None) -> np.ndarray:
+    """The vectors as rows; one of another length, or with a missing number, raises."""
+    vectors = rows.column("_vector").combine_chunks()
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    length = lengths[0] if length is None else length
+    odd = np.flatnonzero(lengths != length)
+    if len(odd):
+        raise ValueError(
+            f"vector of {rows.column(name)[int(odd[0])].as_py()!r} has {lengths[odd[0]]} numbers, not {length}"
+        )
+    flat = vectors.flatten()
+    if flat.null_count:
+        at = int(np.flatnonzero(flat.is_null().to_numpy(zero_copy_only=False))[0]) // int(length)
+        raise ValueError(f"vector of {rows.column(name)[at].as_py()!r} holds a missing number")
+    return flat.to_numpy(zero_copy_only=False).reshape(len(lengths), -1)
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
