@@ -119,7 +119,8 @@ def test_batches_are_idempotent_and_logged(spark, tmp_path):
     base = str(tmp_path)
     df = reviews(spark, ["mail me a@b.co", "good", "bad", "late"])
     first = run(spark, base, df, "b1", make_client=echo_client, model_name="m", batch_size=3)
-    assert first == {"batch_id": "b1", "succeeded": 3, "failed": 0, "failure_rate": 0.0, "pii_redacted_count": 1}
+    assert first == {"batch_id": "b1", "succeeded": 3, "failed": 0, "failure_rate": 0.0, "pii_redacted_count": 1,
+                     "left_over": 1}
     enriched = enrich.review_enriched(spark, base).read()
     row = enriched.filter("review_id = 1").first()
     assert (row.key_issue, row.pii_redacted_count) == ("mail me [REDACTED_EMAIL]", 1)

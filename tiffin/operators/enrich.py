@@ -25,7 +25,7 @@ REVIEW_ENRICHED = (
     "model_name string, model_version string, prompt_version string, batch_id string, pii_redacted_count int, "
     "processed_at timestamp"
 )
-BATCH_SIZE = 50
+BATCH_SIZE = None  # all pending reviews; a limit only where a caller asks for one
 MAX_TRIES = 3
 
 # A client takes a comment and returns (JSON reply, model version).
@@ -51,12 +51,16 @@ def pending_reviews(
     reprocess_failed: bool = False,
 ) -> DataFrame:
     """Reviews without a success, lowest ids first. Reviews with a failed attempt
-    are left out unless asked for. ``batch_size=None`` takes all of them."""
+    are left out unless asked for. With a ``batch_size`` the ids are put in order
+    first and only the chosen ones meet their comments."""
     todo = reviews.select("review_id", "comment").join(enriched.select("review_id"), "review_id", "left_anti")
     if not reprocess_failed:
         failed = log.filter("status = 'FAILED'").select("review_id").distinct()
         todo = todo.join(failed, "review_id", "left_anti")
-    return todo if batch_size is None else todo.orderBy("review_id").limit(batch_size)
+    if batch_size is None:
+        return todo
+    chosen = todo.select("review_id").orderBy("review_id").limit(batch_size)
+    return todo.join(chosen, "review_id", "left_semi")
 
 
 def with_attempt_number(pending: DataFrame, log: DataFrame) -> DataFrame:
@@ -254,14 +258,15 @@ def run_batch(
     batch_size: int | None = BATCH_SIZE,
     reprocess_failed: bool = False,
     max_tries: int = MAX_TRIES,
-    parallelism: int | None = 8,
+    parallelism: int | None = None,
     processed_at: datetime | None = None,
 ) -> dict:
     """Classify the pending reviews and record every attempt.
 
     The classified rows are written out once and both tables are filled from
     that copy, log first: a lost executor does not ask the client twice, and a
-    batch that stopped in between is finished from the copy by a rerun.
+    batch that stopped in between is finished from the copy by a rerun. With a
+    ``batch_size`` the result's ``left_over`` counts the reviews still pending.
     """
     log, enriched = enrichment_log(spark, warehouse), review_enriched(spark, warehouse)
     done = LayerTable(spark, f"{warehouse}/ai/batches/{batch_id}")
@@ -272,9 +277,8 @@ def run_batch(
         if make_client is None:
             answered = classify_by_rules(todo, rules=rules)
         else:
-            # A batch with a size limit arrives in one task; a whole backlog is
-            # spread already.
-            spread = parallelism if batch_size is not None else None
+            # The client is the slow part: every core of the cluster gets a share.
+            spread = parallelism or spark.sparkContext.defaultParallelism
             answered = classify(todo, make_client, max_tries=max_tries, parallelism=spread)
         rows = enrichment_rows(
             validate_replies(answered), batch_id, model_name, prompt_version, processed_at or datetime.now(UTC)
@@ -287,5 +291,9 @@ def run_batch(
     enriched.append(success_rows(rows).join(written, "review_id", "left_anti"))
     summary = batch_summary(rows).first()
     if summary is None:
-        return {"batch_id": batch_id, "succeeded": 0, "failed": 0, "failure_rate": 0.0, "pii_redacted_count": 0}
-    return summary.asDict()
+        empty = {"batch_id": batch_id, "succeeded": 0, "failed": 0, "failure_rate": 0.0, "pii_redacted_count": 0}
+        return {**empty, "left_over": 0}
+    left = 0
+    if batch_size is not None:
+        left = pending_reviews(reviews, enriched.read(), log.read(), None, reprocess_failed).count()
+    return {**summary.asDict(), "left_over": left}

@@ -532,7 +532,7 @@ def enrichment_batch(spark, sf_dir):
     reviews = trade.reviews_typed(spark, sf_dir)
     for batch in ("b-1", "b-2"):
         enrich.run_batch(
-            spark, base, reviews, batch, make_client=sample_client, model_name="m", batch_size=None,
+            spark, base, reviews, batch, make_client=sample_client, model_name="m",
             reprocess_failed=True,
         )
     return enrich.enrichment_log(spark, base).read().drop("processed_at")
@@ -607,7 +607,7 @@ def review_retrieval(spark, sf_dir):
     """All reviews indexed, and the context for two questions."""
     base = scratch_dir(spark, "retrieval")
     reviews = trade.reviews_typed(spark, sf_dir)
-    store = retrieve.index_reviews(spark, base, reviews, retrieve.hashing_embedder, sample_size=None)
+    store = retrieve.index_reviews(spark, base, reviews, retrieve.hashing_embedder)
     questions = ["license and permission", "who is it for"]
     return retrieve.context(retrieve.retrieve(spark, store.read(), questions, retrieve.hashing_embedder))
 
@@ -715,7 +715,7 @@ def daily_run(spark, sf_dir):
     """All sources from CSV files to published marts; the summary row of the run."""
     base = scratch_dir(spark, "daily_run")
     export_landing(spark, sf_dir, f"{base}/landing", list(SOURCE_COLUMNS))
-    config = daily.DailyConfig(f"{base}/landing", f"{base}/warehouse", "run-1", batch_size=None, rules=SAMPLE_RULES)
+    config = daily.DailyConfig(f"{base}/landing", f"{base}/warehouse", "run-1", rules=SAMPLE_RULES)
     daily.run(spark, config)
     summary = control.pipeline_runs(spark, config.warehouse).read()
     return summary.select("run_id", "status", "rows_ingested", "dq_status", "ai_success_count", "ai_fail_count")
