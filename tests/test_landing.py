@@ -112,6 +112,59 @@ def test_a_broken_file_fails_alone_and_is_retried(folder):
     assert sorted(r.f_id for r in folder.raw().collect()) == ["a", "b", "c", "late"]
 
 
+TORN = {
+    "first.csv": '1,fd1,"open until the end,veg\n2,fd2,x,veg\n3,fd3,x,veg\n',
+    "later.csv": '1,fd1,"closed, ""q""",veg\n2,fd2,"open\n3,fd3,"again, closed",veg\n',
+    "last.csv": '1,fd1,x,veg\n2,fd2,x,"',
+}
+WHOLE = {
+    "inch.csv": '1,fd1,5" plate,veg\n2,fd2,"",veg\n',
+    "breaks.csv": '1,fd1,"two\n,""lines""",veg\n2,fd2,"""all""",veg\n',
+    "plain.csv": "1,fd1,x\n",
+}
+
+
+@pytest.mark.parametrize("one_line", [False, True])
+def test_torn_files_fail_and_the_others_load(folder, one_line):
+    whole = {n: b for n, b in WHOLE.items() if not (one_line and n == "breaks.csv")}
+    for name, body in (TORN | whole).items():
+        folder.put(name, HEADER + body)
+
+    def load(run_id):
+        sources = ["food"] if one_line else []
+        return landing.load_sources(
+            folder.spark, folder.landing, folder.warehouse, run_id, ["food"], one_line_sources=sources
+        )
+
+    assert load("r1").exit_code == 1
+    got = folder.runs(run_id="r1")
+    assert {f for (_, f), (status, n) in got.items() if (status, n) == ("FAILED", 0)} == {f"food/{n}" for n in TORN}
+    assert {f: n for (_, f), (status, n) in got.items() if status == "SUCCEEDED"} == {
+        f"food/{n}": 1 if n == "plain.csv" else 2 for n in whole
+    }
+    for name in TORN:
+        folder.put(name, HEADER + "7,mended,x,veg\n")
+    assert load("r2").exit_code == 0
+    assert folder.raw().filter("f_id = 'mended'").count() == 3
+
+
+def test_errors_that_are_no_files_fault_are_not_blamed_on_files(folder, monkeypatch):
+    folder.put("a.csv", HEADER + "1,fd1,x,veg\n")
+    folder.put("b.csv", HEADER + "2,fd2,x,veg\n")
+
+    def full(*args, **kw):
+        raise RuntimeError("no space left")
+
+    with monkeypatch.context() as m:
+        m.setattr(landing.LayerTable, "append", full)
+        with pytest.raises(RuntimeError, match="no space left"):
+            landing._write_files(
+                folder.spark, landing.raw_table(folder.spark, folder.warehouse, "food"), "food", "r1", {"food/a.csv": f"{folder.landing}/food/a.csv"}, None, False
+            )
+    folder.load("r2")
+    assert folder.runs() == {("r2", "food/a.csv"): ("SUCCEEDED", 1), ("r2", "food/b.csv"): ("SUCCEEDED", 1)}
+
+
 def test_a_crash_before_the_record_does_not_load_twice(folder, monkeypatch):
     folder.put("a.csv", HEADER + "1,fd1,x,veg\n2,fd2,x,veg\n")
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,9 @@ _FILES = "file_name string, path string, size_bytes bigint, modified_at timestam
 _LOADED = "file_name string, row_count bigint, status string, error_message string"
 
 
+OPEN_QUOTE = "a quoted field is still open at the end of the file"
+
+
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
@@ -160,7 +164,7 @@ def load_sources(
             one_line = source in one_line_sources
             return _load_new(spark, landing, warehouse, source, run_id, before, known, loaded_at, one_line)
         except Exception as exc:  # the source as a whole could not be listed or written
-            return _results(spark, [("<list_files>", 0, control.FAILED, str(exc)[:2000])])
+            return _results(spark, [("<list_files>", 0, control.FAILED, str(exc))])
 
     with ThreadPoolExecutor(at_once) as pool:
         outcomes = dict(zip(sources, pool.map(attempt, sources), strict=True))
@@ -221,7 +225,7 @@ def _load_new(spark, landing, warehouse, source, run_id, runs, known, loaded_at,
                           F.lit(None).cast("string").alias("error_message"))
         )
     if failed:
-        parts.append(_results(spark, [(f, 0, control.FAILED, e[:2000]) for f, e in failed.items()]))
+        parts.append(_results(spark, [(f, 0, control.FAILED, e) for f, e in failed.items()]))
     results = union_all(parts)
     if not todo and not failed and files.isEmpty():
         return _results(spark, [(None, 0, control.SUCCEEDED, None)])
@@ -231,27 +235,60 @@ def _load_new(spark, landing, warehouse, source, run_id, runs, known, loaded_at,
 def _write_files(
     spark, table, source, run_id, todo, loaded_at, one_line
 ) -> tuple[list[Piece], dict[str, str]]:
-    """Write all files in one job. A file counts whole or not at all: when a job
-    fails nothing of it is visible, and its files are tried again in halves
-    until the broken ones stand alone."""
+    """Write all files in one job. A file counts whole or not at all: one whose
+    last quoted field is never closed is left out beforehand, and one that cannot
+    be read fails the job, of which nothing is visible then, and is left out of
+    the next. Any other error is not a file's fault and is raised."""
     written: list[Piece] = []
     failed: dict[str, str] = {}
     groups = [sorted(todo)] if todo else []
     while groups:
         group = groups.pop()
         try:
-            rows = read_landing_csv(spark, [todo[f] for f in group], source, one_line)
-            write = table.append(stamp(rows, source, run_id, loaded_at), part=run_id)
-            written += [p for p in table.pieces() if p.write == write]
+            torn = torn_files(spark, [todo[f] for f in group], source, one_line)
+            failed |= {f: OPEN_QUOTE for f in torn}
+            whole = [f for f in group if f not in failed]
+            if whole:
+                rows = read_landing_csv(spark, [todo[f] for f in whole], source, one_line)
+                write = table.append(stamp(rows, source, run_id, loaded_at), part=run_id)
+                written += [p for p in table.pieces() if p.write == write]
         except Exception as exc:
-            if len(group) == 1:
-                failed[group[0]] = str(exc)
+            message = str(exc)
+            if "FAILED_READ_FILE" not in message:
+                raise
+            named = [f for f in group if f in unquote(message)]
+            if len(group) == 1 or named:
+                bad = max(named or group, key=len)
+                failed[bad] = message
+                rest = [f for f in group if f != bad]
+                groups += [rest] if rest else []
             else:
                 half = len(group) // 2
                 groups += [group[half:], group[:half]]
     return written, failed
 
 
+def torn_files(spark: SparkSession, paths: Sequence[str], source: str, one_line: bool = False) -> set[str]:
+    """Names of the files that end inside a quoted field.
+
+    Read whole, as the load of fields with line breaks does; line by line where
+    fields have none. Closed quoted fields are taken out from the left; what
+    then opens a field and is never closed tears the file.
+    """
+    text = spark.read.option("recursiveFileLookup", True).text(list(paths), wholetext=not one_line)
+    field_start, field_end = r"(?<![^,\r\n])", r"(?![^,\r\n])"
+    bare = F.replace("value", F.lit('""'), F.lit(""))
+    left = F.regexp_replace(bare, field_start + '"[^"]*+"' + field_end, "")
+    return {
+        r["file_name"]
+        for r in text.select(file_key(source).alias("file_name"), left.alias("left"))
+        .filter(F.col("left").rlike(field_start + r'"[^"]*+\z'))
+        .select("file_name")
+        .distinct()
+        .collect()
+    }
+
+
 def _marks(spark, warehouse) -> LayerTable:
     """Writes to raw tables whose files are in the control table."""
     return LayerTable(spark, f"{warehouse}/control/recorded_writes", "source string, write string")
