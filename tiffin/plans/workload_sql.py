@@ -604,6 +604,14 @@ SELECT 'run-1' AS run_id, source, 'SUCCEEDED' AS status, CAST(n AS BIGINT) AS ro
 UNION ALL SELECT 'run-2', source, 'SKIPPED_ALREADY_LOADED', 0 FROM loaded
 """
 
+SQL["torn_load"] = """
+WITH failed AS (SELECT 'a quoted field is still open at the end of the file' AS error_message)
+SELECT 'run-1' AS run_id, 'SUCCEEDED' AS status, count(*) AS row_count, 0 AS failed_files, NULL AS error_message FROM part
+UNION ALL SELECT 'run-2', 'SKIPPED_ALREADY_LOADED', 0, 0, NULL
+UNION ALL SELECT 'run-1', 'FAILED', 0, 1, error_message FROM failed
+UNION ALL SELECT 'run-2', 'FAILED', 0, 1, error_message FROM failed
+"""
+
 SQL["lineage_runs"] = """
 SELECT 'run-1' AS run_id, 'restaurants' AS source, 'raw.restaurants' AS output_table, 'COMPLETE' AS state,
        count(*) AS row_count FROM supplier
