@@ -161,3 +161,14 @@ def hashing_embedder(size: int = 64) -> Embedder:
         return out
 
     return embed
+
+
+def letter_embedder() -> Embedder:
+    """How often each of the letters a to z occurs, in either case: vectors that
+    SQL can state as well."""
+
+    def embed(texts: Sequence[str]) -> list[np.ndarray]:
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        return [np.array([t.count(c) + t.count(c.upper()) for c in letters], dtype="float32") for t in texts]
+
+    return embed

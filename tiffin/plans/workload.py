@@ -578,7 +578,7 @@ def context_assembly(spark, sf_dir):
 
 @query
 def review_sample(spark, sf_dir):
-    return retrieve.documents(trade.reviews_typed(spark, sf_dir), seed=7).select(
+    return retrieve.documents(trade.reviews_typed(spark, sf_dir), sample_size=500, seed=7).select(
         "doc_id", F.element_at("metadata", "review_date").alias("review_date")
     )
 
@@ -597,10 +597,9 @@ def embed_reviews(spark, sf_dir):
     base = scratch_dir(spark, "embed")
     pieces = retrieve.chunks(retrieve.documents(trade.reviews_typed(spark, sf_dir), sample_size=None))
     cache = retrieve.embedding_cache(spark, base)
-    embedded = retrieve.embed_with_cache(pieces, cache, retrieve.hashing_embedder)
-    return embedded.select(
-        "chunk_id", F.size("vector").alias("n_numbers"), content_hash("text").alias("content_hash")
-    )
+    embedded = retrieve.embed_with_cache(pieces, cache, retrieve.letter_embedder)
+    numbers = F.array_join(F.transform("vector", lambda x: x.cast("int").cast("string")), " ")
+    return embedded.select("chunk_id", numbers.alias("numbers"), content_hash("text").alias("content_hash"))
 
 
 @query
@@ -608,21 +607,25 @@ def review_retrieval(spark, sf_dir):
     """All reviews indexed, and the context for two questions."""
     base = scratch_dir(spark, "retrieval")
     reviews = trade.reviews_typed(spark, sf_dir)
-    store = retrieve.index_reviews(spark, base, reviews, retrieve.hashing_embedder)
+    store = retrieve.index_reviews(spark, base, reviews, retrieve.letter_embedder)
     questions = ["license and permission", "who is it for"]
-    return retrieve.context(retrieve.retrieve(spark, store.read(), questions, retrieve.hashing_embedder))
+    return retrieve.context(retrieve.retrieve(spark, store.read(), questions, retrieve.letter_embedder))
 
 
 @query
 def vector_upsert(spark, sf_dir):
-    """Two batches into a vector store: the later one replaces its labels."""
+    """Two batches into a stored table, the first with every chunk twice: of a
+    chunk the last write stays, within a batch and across batches."""
     e = trade.table(spark, sf_dir, "embeddings")
-    row = lambda batch, text: e.select(
+    row = lambda batch, position, text: e.select(
         F.col("vec_id").cast("string").alias("chunk_id"), F.lit(text).alias("text"), "label",
-        F.lit(batch).alias("batch"), F.col("vec_id").alias("position"),
+        F.lit(batch).alias("batch"), F.lit(position).alias("position"),
     )
-    batches = row(0, "first").unionByName(row(1, "second").filter("label >= 5"))
-    return retrieve.last_write_wins(batches)
+    store = LayerTable(spark, f"{scratch_dir(spark, 'vectors')}/store", "chunk_id string, text string, label int")
+    batches = [row(0, 0, "draft").unionByName(row(0, 1, "first")), row(1, 0, "second").filter("label >= 5")]
+    for batch in batches:
+        store.upsert(retrieve.last_write_wins(batch), ["chunk_id"])
+    return store.read().select("chunk_id", "text", "label")
 
 
 # --- loads --------------------------------------------------------------------

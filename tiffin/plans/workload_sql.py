@@ -557,9 +557,38 @@ SELECT sha256(text) AS content_hash, CAST(length(any_value(text)) AS INTEGER) AS
 GROUP BY text HAVING sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE lang = 'en')
 """
 SQL["embed_reviews"] = """
-SELECT CAST(doc_id AS VARCHAR) AS chunk_id, CAST(64 AS INTEGER) AS n_numbers, sha256(text) AS content_hash
+SELECT CAST(doc_id AS VARCHAR) AS chunk_id, sha256(text) AS content_hash,
+       list_aggregate(list_transform(range(26), lambda i: CAST(
+           2 * length(text) - length(replace(text, chr(97 + i::INT), '')) - length(replace(text, chr(65 + i::INT), ''))
+           AS VARCHAR)), 'string_agg', ' ') AS numbers
 FROM documents
 """
+SQL["review_retrieval"] = f"""
+WITH {REVIEWS}, questions(query_id, question) AS (
+  VALUES (0, 'license and permission'), (1, 'who is it for')
+), texts AS (
+  SELECT review_id, comment, city, rating, list_transform(range(26), lambda i: CAST(
+           2 * length(comment) - length(replace(comment, chr(97 + i::INT), ''))
+           - length(replace(comment, chr(65 + i::INT), '')) AS DOUBLE)) AS v
+  FROM reviews WHERE comment IS NOT NULL
+), asked AS (
+  SELECT query_id, list_transform(range(26), lambda i: CAST(
+           2 * length(question) - length(replace(question, chr(97 + i::INT), ''))
+           - length(replace(question, chr(65 + i::INT), '')) AS DOUBLE)) AS w
+  FROM questions
+), scored AS (
+  SELECT query_id, review_id, comment, city, rating,
+         CASE WHEN list_sum(v) = 0 THEN 0
+              ELSE round(list_dot_product(v, w) / sqrt(list_dot_product(v, v)) / sqrt(list_dot_product(w, w)), 12) END AS score
+  FROM texts, asked
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, CAST(review_id AS VARCHAR)) AS rank FROM scored
+)
+SELECT CAST(query_id AS INTEGER) AS query_id, count(*) AS n_sources,
+       string_agg(' (' || coalesce(city, 'None') || ', ' || coalesce(CAST(rating AS VARCHAR), 'None') || ' stars) '
+                  || comment, chr(10) ORDER BY rank) AS context
+FROM best WHERE rank <= 5 GROUP BY query_id
+"""
 SQL["vector_upsert"] = """
 SELECT CAST(vec_id AS VARCHAR) AS chunk_id, CASE WHEN label >= 5 THEN 'second' ELSE 'first' END AS text, label
 FROM embeddings
