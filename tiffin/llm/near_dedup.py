@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -86,7 +86,11 @@ def tokens_of(signatures: np.ndarray) -> np.ndarray:
     return _mixed(signatures.astype(np.uint64) + (place << np.uint64(32)))
 
 
-SKETCH_DDL = "doc_id long, text_hash long, n_shingles long, node binary, signature binary"
+SKETCH_DDL = "doc_id long, text_hash string, n_shingles long, node binary, signature binary"
+
+
+def text_hash() -> Column:
+    return F.md5(whole_text().cast("binary"))
 
 
 def sketch(docs: DataFrame, words: int) -> DataFrame:
@@ -111,7 +115,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                 )
 
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), whole_text().alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), whole_text().alias("text")
     )
     return texts.mapInArrow(run, SKETCH_DDL)
 
@@ -138,8 +142,8 @@ def token_counts(classes: DataFrame) -> np.ndarray:
     return found
 
 
-def postings(classes: DataFrame, matches: int) -> DataFrame:
-    """Every class under its rarest tokens: token, node, n_shingles, central.
+def postings(classes: DataFrame, counts: np.ndarray, matches: int) -> DataFrame:
+    """Every class under its rarest tokens: token, node.
 
     Two signatures with ``matches`` equal coordinates share a token among the
     ``COORDINATES - matches + 1`` that come first in any common order. The
@@ -159,28 +163,42 @@ def postings(classes: DataFrame, matches: int) -> DataFrame:
             chosen = np.take_along_axis(tokens, first, axis=1).ravel().view(np.int64)
             row = pa.array(np.repeat(np.arange(batch.num_rows), prefix))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chosen), batch.column("node").take(row), batch.column("n_shingles").take(row),
-                 pa.array(np.repeat(rarity.sum(axis=1), prefix))],
-                ["token", "node", "n_shingles", "central"],
-            )
+                [pa.array(chosen), batch.column("node").take(row)], ["token", "node"]
+            )
 
-    return classes.select("node", "n_shingles", "signature").mapInArrow(
-        post, "token long, node binary, n_shingles long, central long"
-    )
+    return classes.select("node", "signature").mapInArrow(post, "token long, node binary")
+
+
+def centrality(counts: np.ndarray) -> Callable[[Column], Column]:
+    """How common all of a class's tokens are together.
+
+    The highest in a group of near copies is the copy with the fewest changes of
+    its own.
+    """
+
+    def add_up(signatures: pd.Series) -> pd.Series:
+        if not len(signatures):
+            return pd.Series([], dtype="int64")
+        tokens = tokens_of(np.frombuffer(b"".join(signatures), np.uint32).reshape(-1, COORDINATES))
+        return pd.Series(counts[(tokens % np.uint64(BUCKETS)).astype(np.int64)].sum(axis=1))
+
+    return F.pandas_udf(add_up, "long")
 
 
 def _crowded_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components in crowded lists that can be similar enough, given what they share at most.
 
-    ``members`` has token, node, root, n_shingles, crowd, parts. A list is cut
-    into blocks of about ``BLOCK_MEMBERS``, and each two blocks meet in a task of
-    their own, so a list of any size spreads over many tasks; a task gives only
-    the pairs that pass.
+    ``members`` has token, node, root, n_shingles, crowd, parts, tokens. A list
+    is cut into blocks of about ``BLOCK_MEMBERS``, and each two blocks meet in a
+    task of their own, so a list of any size spreads over many tasks; a task
+    gives only the pairs that pass, each in the first list that it shares.
     """
 
     def compare(cell: pa.Table) -> pa.Table:
         nodes, n = cell.column("node").to_numpy(), cell.column("n_shingles").to_numpy()
-        parts = np.array(cell.column("parts").to_pylist(), dtype=np.int32)
+        parts = cell.column("parts").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, PARTS)
+        tokens = [set(t) for t in cell.column("tokens").to_pylist()]
+        token = cell.column("token")[0].as_py()
         block, low, high = (cell.column(c).to_numpy() for c in ("block", "low", "high"))
         _, root = np.unique(cell.column("root").to_pylist(), return_inverse=True)
         left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
@@ -194,7 +212,8 @@ def _crowded_pairs(members: DataFrame, percent: int) -> DataFrame:
             fits = (100 * most >= percent * (size - most)) & (root[rows][:, None] != root[right][None, :])
             if low[0] == high[0]:
                 fits &= rows[:, None] < right[None, :]
-            found += [(rows[i], right[j]) for i, j in zip(*np.nonzero(fits), strict=True)]
+            near = [(rows[i], right[j]) for i, j in zip(*np.nonzero(fits), strict=True)]
+            found += [(i, j) for i, j in near if min(tokens[i] & tokens[j]) == token]
         pairs = [sorted((nodes[i], nodes[j])) for i, j in found]
         return pa.table({c: pa.array([p[k] for p in pairs], pa.binary()) for k, c in enumerate("ab")})
 
@@ -205,7 +224,7 @@ def _crowded_pairs(members: DataFrame, percent: int) -> DataFrame:
     return (
         placed.withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .select("token", "low", "high", "block", "node", "root", "n_shingles", "parts")
+        .select("token", "low", "high", "block", "node", "root", "n_shingles", "parts", "tokens")
         .groupBy("token", "low", "high")
         .applyInArrow(compare, "a binary, b binary")
     )
@@ -240,12 +259,11 @@ def _matching(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
 
 def _texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """node, text: the text of one document of each class in ``nodes``."""
-    wanted = classes.join(nodes, "node", "left_semi").select("node", "doc_id", "text_hash")
-    read = docs.select(
-        F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"), whole_text().alias("text")
-    )
-    same = (F.col("_hash") == F.col("text_hash")) & F.col("_id").eqNullSafe(F.col("doc_id"))
-    return stored(read.join(wanted, same).groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+    wanted = classes.join(nodes, "node", "left_semi").select("node", "text_hash")
+    read = docs.select(text_hash().alias("text_hash"), whole_text().alias("text"))
+    # Copies of a text share its hash, so they are combined where the join has put them.
+    found = read.join(wanted, "text_hash").groupBy("text_hash", "node").agg(F.first("text").alias("text"))
+    return stored(found.select("node", "text"), "near-texts")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -293,15 +311,19 @@ def _open_shingles(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
                     ["shingle", "node"],
                 )
 
-    spelled = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(spell, "shingle long, node binary")
+    # Two nodes with one hash would only count as sharing more.
+    named = texts.join(nodes, "node", "left_semi").select(F.xxhash64("node").alias("node"), "text")
+    spelled = named.mapInArrow(spell, "shingle long, node long")
     alone = spelled.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
     signed = spelled.select("node", "shingle", F.lit(1).alias("one")).unionByName(
         alone.select("node", "shingle", F.lit(-1).alias("one"))
     )
     part = F.pmod("shingle", F.lit(PARTS))
-    return signed.groupBy("node").agg(
-        F.array(*[F.sum(F.when(part == i, F.col("one")).otherwise(0)) for i in range(PARTS)]).alias("parts")
-    )
+    sums = [F.sum(F.when(part == i, F.col("one")).otherwise(0)) for i in range(PARTS)]
+    found = signed.groupBy("node").agg(F.array(*sums).cast("array<int>").alias("parts"))
+    return nodes.withColumn("hashed", F.xxhash64("node")).join(
+        found.withColumnRenamed("node", "hashed"), "hashed"
+    ).select("node", "parts")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -376,16 +398,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .select("node", "n_shingles", "signature", "one.doc_id", "one.text_hash"),
         "near-classes",
     )
-    posted = stored(postings(classes, matches), "near-postings")
-    lists = posted.groupBy("token").agg(
-        F.count("*").alias("crowd"), F.max(F.struct("central", "node", "n_shingles")).alias("hub")
-    )
-    shared = stored(posted.join(lists.filter("crowd > 1"), "token"), "near-shared")
+    counts = token_counts(classes)
+    posted = stored(postings(classes, counts, matches), "near-postings")
+    lists = posted.groupBy("token").agg(F.count("*").alias("crowd")).filter("crowd > 1")
+    sized = classes.select("node", "n_shingles", centrality(counts)("signature").alias("central"))
+    shared = stored(posted.join(lists, "token").join(sized, "node"), "near-shared")
+    hubs = shared.groupBy("token").agg(F.max(F.struct("central", "node", "n_shingles")).alias("hub"))
     texts = _texts_of(shared.select("node").distinct(), classes, docs)
 
     # Pass 1: the most central member of each list.
     met = (
-        shared.select(
+        shared.join(hubs, "token")
+        .select(
             F.col("node").alias("a"), "n_shingles", F.col("hub.node").alias("b"), F.col("hub.n_shingles").alias("nb")
         )
         .filter(F.col("a") != F.col("b"))
@@ -412,7 +436,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     mixed = stored(placed.join(several, "token", "left_semi"), "near-mixed")
     crowded = mixed.filter(F.col("crowd") > CROWD).select("node").distinct()
     parts = stored(_open_shingles(crowded, texts, words), "near-parts")
-    close = _crowded_pairs(mixed.filter(F.col("crowd") > CROWD).join(parts, "node"), percent)
+    dense = mixed.filter(F.col("crowd") > CROWD)
+    tokens = dense.groupBy("node").agg(F.collect_list("token").alias("tokens"))  # at most one per coordinate
+    close = _crowded_pairs(dense.join(parts.join(tokens, "node"), "node"), percent)
     few = mixed.filter(F.col("crowd") <= CROWD)
     a, b = (few.select("token", *[F.col(c).alias(c + side) for c in ("node", "root", "n_shingles")]) for side in "ab")
     apart = (F.col("roota") < F.col("rootb")) & _sizes_fit(F.col("n_shinglesa"), F.col("n_shinglesb"), percent)
@@ -446,5 +472,5 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80)
         .select(F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_hash"))
         .distinct()
     )
-    own = (F.xxhash64("text") == F.col("_near_hash")) & F.col("doc_id").eqNullSafe(F.col("_near_id"))
+    own = (text_hash() == F.col("_near_hash")) & F.col("doc_id").eqNullSafe(F.col("_near_id"))
     return docs.join(kept, own, "left_semi")
