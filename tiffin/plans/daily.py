@@ -21,6 +21,12 @@ from tiffin.sources.landing import SOURCE_COLUMNS, load_sources, raw_table
 from tiffin.sources.tables import LayerTable, incremental_rows
 
 
+MARTS = [
+    "dim_customer", "dim_restaurants", "dim_food", "dim_date", "fact_orders", "fact_order_items",
+    "mart_daily_city_revenue", "mart_restaurant_performance", "mart_delivery_sla",
+]
+
+
 @dataclass
 class DailyConfig:
     landing: str
@@ -75,9 +81,19 @@ def run(spark: SparkSession, config: DailyConfig) -> dict:
         "ai_fail_count": state.enrichment["failed"],
     }
     control.record_pipeline_run(summary, run_id=config.run_id, started_at=started, finished_at=config.now, **result)
+    tidy(spark, config)
     return result
 
 
+def tidy(spark: SparkSession, config: DailyConfig) -> None:
+    """Delete what only snapshots before the last two use, so that tables do not
+    grow by the number of runs. Readers of the run before still find their files."""
+    names = {"staging": [f"stg_{s}" for s in SOURCE_COLUMNS], "marts": [*MARTS, "mart_review_insights"]}
+    for layer, tables in names.items():
+        for name in tables:
+            table(spark, config, layer, name).expire(keep=2)
+
+
 def table(spark: SparkSession, config: DailyConfig, layer: str, name: str) -> LayerTable:
     return LayerTable(spark, f"{config.warehouse}/{layer}/{name}")
 
@@ -120,7 +136,8 @@ def check_staging(spark: SparkSession, config: DailyConfig, staged: dict[str, Da
         raw = raw_table(spark, config.warehouse, source)
         if raw.exists():
             state.note(quality.freshness_gate(quality.freshness(raw.read(), source, "_ingested_at", now)))
-    state.note(quality.gate(quality.run_checks(staged, quality.STAGING_CHECKS)))
+    declared = dict.fromkeys([*quality.STAGING_CHECKS, *quality.CONTRACTS["stg_reviews"].checks()])
+    state.note(quality.gate(quality.run_checks(staged, declared)))
 
 
 def merge_fact(
@@ -168,11 +185,7 @@ def build_marts(
             lambda: gold("mart_delivery_sla").replace(marts.mart_delivery_sla(facts, late)),
         ],
     )
-    names = [
-        "dim_customer", "dim_restaurants", "dim_food", "dim_date", "fact_orders", "fact_order_items",
-        "mart_daily_city_revenue", "mart_restaurant_performance", "mart_delivery_sla",
-    ]
-    built = {n: gold(n).read() for n in names}
+    built = {n: gold(n).read() for n in MARTS}
     contracts = [quality.CONTRACTS[n].checks() for n in ("fact_orders", "dim_customer")]
     declared = dict.fromkeys([*quality.MART_CHECKS, *[c for group in contracts for c in group]])
     state.note(quality.gate(quality.run_checks(built, declared)))

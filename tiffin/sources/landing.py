@@ -178,7 +178,7 @@ def load_sources(
         "status",
         "error_message",
     )
-    control.record_results(runs, results)
+    control.record_results(runs, results, run_id)
     _mark_recorded(spark, warehouse, sources, known)
 
     after = runs.read().filter((F.col("run_id") == run_id) & F.col("source").isin(sources))

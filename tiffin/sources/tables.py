@@ -3,13 +3,17 @@
 A table is a folder of write directories plus numbered snapshot files. A
 snapshot lists the directories that make up the table and their schema, and is
 written last, so a reader sees all of a write or none of it. A write lands in a
-new directory and never touches the files a job is reading. One writer at a
-time is assumed per table; a second one fails on the snapshot number.
+new directory and never touches the files a job is reading. A snapshot is
+written under another name and renamed, which HDFS and local file systems do in
+one step; on a store without such a rename a reader may meet half a snapshot.
+One writer at a time is assumed per table; on HDFS a second one fails on the
+snapshot number, elsewhere the callers have to see to it.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
@@ -70,12 +74,17 @@ class LayerTable:
 
     def _commit(self, pieces: list[Piece], schema: T.StructType) -> None:
         body = json.dumps({"pieces": [asdict(p) for p in pieces], "schema": schema.jsonValue()})
-        path = self._path(f"{self.root}/snapshots/{self._version() + 1:08d}")
-        stream = self._fs().create(path, False)
+        fs, path = self._fs(), self._path(f"{self.root}/snapshots/{self._version() + 1:08d}")
+        # Readers see numbered files only, and a file gets its number when it is whole.
+        draft = self._path(f"{self.root}/snapshots/draft-{uuid.uuid4().hex}")
+        stream = fs.create(draft, False)
         try:
             stream.write(bytearray(body, "utf-8"))
         finally:
             stream.close()
+        if fs.exists(path) or not fs.rename(draft, path):
+            fs.delete(draft, False)
+            raise FileExistsError(f"another writer has committed {path}")
 
     # --- reading ------------------------------------------------------------
 
@@ -105,12 +114,18 @@ class LayerTable:
 
     # --- writing ------------------------------------------------------------
 
+    @staticmethod
+    def label(value: str) -> str:
+        """The partition label of a text value."""
+        return re.sub("[^A-Za-z0-9.-]", "_", value)
+
     def _write(self, df: DataFrame, part: str, part_by: Column | None) -> list[Piece]:
         write = uuid.uuid4().hex
         base = f"data/{write}"
         if part_by is None:
             df.write.parquet(f"{self.root}/{base}")
             return [Piece(part, base, write)]
+        # As label() does.
         labels = F.coalesce(F.regexp_replace(part_by.cast("string"), "[^A-Za-z0-9.-]", "_"), F.lit("none"))
         # Rebalancing gathers a label's rows into few files and splits a label
         # that holds much of the data over several tasks.
