@@ -22,6 +22,7 @@ ROWS = 512  # documents worked on together
 BLOCK = 4_096  # shingles hashed together
 CROWD = 16  # members of a list above which the shingles they may share are counted
 PARTS = 32  # counts per class for that
+PACKED_ROWS = 1_000_000  # shingles that a task packs at a time
 BLOCK_MEMBERS = 1_024  # members of a crowded list that one task compares with as many
 
 _rng = np.random.default_rng(SEED)
@@ -296,34 +297,90 @@ def _open_shingles(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """node, parts: shingles of each class in ``nodes`` that another one in ``nodes`` has too, counted by part.
 
     A shingle's part is its hash modulo ``PARTS``. Two classes share at most the
-    smaller count of each part.
+    smaller count of each part. Shingles travel as packed arrays: first by
+    range of the hash, where those that only one class has are found, then
+    these by range of the class. Classes go by a hash here; two with the same
+    one would only count as sharing more.
     """
+    conf = nodes.sparkSession.conf
+    ranges = 1 << max(2, int(conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    chosen = texts.join(nodes, "node", "left_semi").select("node", F.xxhash64("node").alias("hashed"), "text")
 
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
         hashes = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                sets = [shingle_set(t, words, hashes) for t in part.column("text").to_pylist()]
-                row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sets).view(np.int64)), part.column("node").take(pa.array(row))],
-                    ["shingle", "node"],
-                )
-
-    # Two nodes with one hash would only count as sharing more.
-    named = texts.join(nodes, "node", "left_semi").select(F.xxhash64("node").alias("node"), "text")
-    spelled = named.mapInArrow(spell, "shingle long, node long")
-    alone = spelled.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
-    signed = spelled.select("node", "shingle", F.lit(1).alias("one")).unionByName(
-        alone.select("node", "shingle", F.lit(-1).alias("one"))
+                yield part, [shingle_set(t, words, hashes) for t in part.column("text").to_pylist()]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sets in sets_of(batches):
+            counts = [np.bincount((s % np.uint64(PARTS)).astype(np.int64), minlength=PARTS).tolist() for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("node"), part.column("hashed"), pa.array(counts, pa.list_(pa.int32()))],
+                ["node", "hashed", "parts"],
+            )
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for part, sets in sets_of(batches):
+            owner = np.repeat(part.column("hashed").to_numpy(zero_copy_only=False), [len(s) for s in sets])
+            held.append((np.concatenate(sets), owner))
+            if sum(len(h[0]) for h in held) >= PACKED_ROWS:
+                yield _packed(held, lambda shingle, _: shingle, ranges)
+                held = []
+        if held:
+            yield _packed(held, lambda shingle, _: shingle, ranges)
+
+    def single(rows: pa.Table) -> pa.Table:
+        shingle, owner = _unpacked(rows)
+        _, first, times = np.unique(shingle, return_index=True, return_counts=True)
+        alone = first[times == 1]
+        return pa.Table.from_batches([_packed([(shingle[alone], owner[alone])], lambda _, owner: owner, ranges)])
+
+    def per_class(rows: pa.Table) -> pa.Table:
+        shingle, owner = _unpacked(rows)
+        owners, place = np.unique(owner, return_inverse=True)
+        slot = place * PARTS + (shingle % np.uint64(PARTS)).astype(np.int64)
+        counts = np.bincount(slot, minlength=len(owners) * PARTS).reshape(-1, PARTS)
+        return pa.table([pa.array(owners), pa.array(counts.tolist(), pa.list_(pa.int32()))], ["hashed", "alone"])
+
+    dealt = "range long, shingles binary, owners binary"
+    alone = (
+        chosen.mapInArrow(deal, dealt)
+        .groupBy("range")
+        .applyInArrow(single, dealt)
+        .groupBy("range")
+        .applyInArrow(per_class, "hashed long, alone array<int>")
+    )
+    counted = chosen.mapInArrow(count, "node binary, hashed long, parts array<int>").join(alone, "hashed", "left")
+    left = F.zip_with("parts", "alone", lambda p, o: p - o)
+    return counted.select("node", F.when(F.col("alone").isNull(), F.col("parts")).otherwise(left).alias("parts"))
+
+
+def _packed(
+    held: list[tuple[np.ndarray, np.ndarray]], key: Callable[[np.ndarray, np.ndarray], np.ndarray], ranges: int
+) -> pa.RecordBatch:
+    """Shingles and their owners as one row per range of the key."""
+    shingle, owner = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+    at = (_mixed(key(shingle, owner).view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    names, starts = np.unique(at[order], return_index=True)
+    cuts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(at)], strict=True)) if len(at) else []
+    shingle, owner = shingle[order], owner[order]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(names, pa.int64()),
+            pa.array([shingle[a:b].tobytes() for a, b in cuts], pa.binary()),
+            pa.array([owner[a:b].tobytes() for a, b in cuts], pa.binary()),
+        ],
+        ["range", "shingles", "owners"],
     )
-    part = F.pmod("shingle", F.lit(PARTS))
-    sums = [F.sum(F.when(part == i, F.col("one")).otherwise(0)) for i in range(PARTS)]
-    found = signed.groupBy("node").agg(F.array(*sums).cast("array<int>").alias("parts"))
-    return nodes.withColumn("hashed", F.xxhash64("node")).join(
-        found.withColumnRenamed("node", "hashed"), "hashed"
-    ).select("node", "parts")
+
+
+def _unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    shingle = np.frombuffer(b"".join(rows.column("shingles").to_pylist()), np.uint64)
+    return shingle, np.frombuffer(b"".join(rows.column("owners").to_pylist()), np.int64)
 
 
 def components(links: DataFrame) -> DataFrame:
