@@ -5,8 +5,10 @@ import struct
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tiffin.llm import packing
 from tiffin.llm.encoding import tokenizer_path
 from tiffin.llm.packing import best_fit, pack, pieces_of
 
@@ -58,6 +60,31 @@ def test_levels_of_the_tree(spark):
     assert sequences <= 1.05 * -(-total // 64)
 
 
+def unlike_lengths(spark, tasks):
+    """3000 documents of 600 tokens, then 3000 of 400: only together they fill 3000 sequences."""
+    words = F.when(F.col("id") < 3000, 599).otherwise(399).cast("int")
+    return spark.range(0, 6000, numPartitions=tasks).select(
+        F.col("id").alias("doc_id"), F.trim(F.repeat(F.lit("word "), words)).alias("text")
+    )
+
+
+def test_tasks_of_unlike_lengths(spark):
+    """Bins of both tasks meet, thousands each: within 0.5 % of best fit over all, in one group equal to it."""
+    for options, most in (({}, 3015), ({"group_pieces": 6_000}, 3000)):
+        got = pack(unlike_lengths(spark, 2), PATH, **options).collect()
+        assert {r["length"] for r in got} == {400, 600}
+        assert sorted(r["doc_id"] for r in got) == list(range(6000))
+        assert check_sequences(got, 1024) <= most
+
+
+def test_blocks_of_one_task_meet(spark, monkeypatch):
+    """Each flush of a task is a block of its own; its underfull bins meet those of the others."""
+    monkeypatch.setattr(packing, "BLOCK_PIECES", 1000)
+    got = pack(unlike_lengths(spark, 1), PATH).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(6000))
+    assert check_sequences(got, 1024) <= 3015
+
+
 def test_empty_table(no_docs):
     assert pack(no_docs, PATH).count() == 0
 

@@ -1,7 +1,8 @@
-"""Best-fit packing of token sequences, first in each task, then up a tree of underfull bins."""
+"""Best-fit packing of token sequences, first in each task, then round by round of all underfull bins."""
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -18,17 +19,18 @@ CAPACITY = 1024
 END_ID = 2
 BLOCK_PIECES = 200_000  # pieces packed together in a task
 SLACK = 1 / 128  # a bin with less room than this share is full
-GO_UP = 64  # underfull bins of a group that the next level packs anew
-FAN_IN = 16  # groups whose underfull bins meet in one group of the next level
+GROUP_PIECES = 2_000  # pieces whose underfull bins are packed anew together
 SLICE = 256  # texts encoded together
 
 SLOT = pa.struct(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
      ("ids_crc32", pa.int64()), ("offset", pa.int64())]
 )
-BINS = pa.schema([("block", pa.int64()), ("fill", pa.int64()), ("open", pa.bool_()), ("slots", pa.list_(SLOT))])
+BINS = pa.schema(
+    [("block", pa.int64()), ("number", pa.int64()), ("fill", pa.int64()), ("open", pa.bool_()), ("slots", pa.list_(SLOT))]
+)
 BINS_DDL = (
-    "block long, fill long, open boolean, slots array<struct<doc_id:long,piece:int,start:long,length:long,"
+    "block long, number long, fill long, open boolean, slots array<struct<doc_id:long,piece:int,start:long,length:long,"
     "ids_crc32:long,offset:long>>"
 )
 
@@ -91,28 +93,28 @@ def _merged(items: list[tuple[int, list[tuple]]], capacity: int) -> Iterator[tup
         yield at, slots
 
 
-def _rows(block: int, bins: list[tuple[int, list[tuple]]], capacity: int, last: bool) -> list[tuple]:
-    """(block, fill, open, slots), open if the next level may add to the bin.
-
-    After a best fit no two bins fit together: what goes up are the emptiest
-    ``GO_UP`` bins of a group, all others stand.
-    """
-    room = sorted(((capacity - fill, i) for i, (fill, _) in enumerate(bins)), reverse=True)[:GO_UP]
-    up = set() if last else {i for r, i in room if r > capacity * SLACK}
-    return [(block, fill, i in up, slots) for i, (fill, slots) in enumerate(bins)]
+def _rows(block: int, bins: list[tuple[int, list[tuple]]], capacity: int) -> list[tuple]:
+    """(block, number, fill, open, slots); every bin that is not full is open to the next round."""
+    return [(block, i, fill, capacity - fill > capacity * SLACK, slots) for i, (fill, slots) in enumerate(bins)]
 
 
 def pack(
-    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, keeps_space: bool = True
+    docs: DataFrame,
+    path: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    keeps_space: bool = True,
+    group_pieces: int = GROUP_PIECES,
 ) -> DataFrame:
     """Sequences of at most ``capacity`` tokens: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its token ids and ``end_id``. Only documents longer than a
     sequence are cut: into full pieces, before them one with the rest. Each
-    task encodes and packs its own documents (full sequences are done at once);
-    then the emptiest bins of ``FAN_IN`` groups meet as items of a new best fit,
-    level by level, until one group is left. What goes up is bounded per group
-    by ``GO_UP`` bins, whatever the input.
+    task encodes and packs its own documents; full sequences are done at once.
+    All others are dealt by a hash into groups of about ``group_pieces`` pieces,
+    so bins of all tasks meet, and each group is packed anew by best fit. Such
+    rounds, each dealt differently, go on with what is not full until one group
+    held it all or a round saved no sequence.
 
     A missing text is empty: a piece of one token. A missing id is kept;
     repeated rows are packed each for itself; an empty table gives no rows.
@@ -122,12 +124,11 @@ def pack(
     def encode_and_pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path, keeps_space)
         ending = end_id.to_bytes(4, "little")
-        part = TaskContext.get().partitionId()
+        block = TaskContext.get().partitionId() << 32  # and the flushes of the task counted
         items: list[tuple[int, list[tuple]]] = []
 
         def flush() -> pa.RecordBatch:
-            rows = _rows(part, list(_merged(items, capacity)), capacity, last=False)
-            return _batch(rows)
+            return _batch(_rows(block, list(_merged(items, capacity)), capacity))
 
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
@@ -138,20 +139,25 @@ def pack(
                     items += [(p[3], [p]) for p in pieces_of(doc_id, ids + ending, capacity)]
                 if len(items) >= BLOCK_PIECES:
                     yield flush()
-                    items = []
+                    block, items = block + 1, []
         if items:
             yield flush()
 
     first = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     level = stored(first.mapInArrow(encode_and_pack, BINS_DDL), "pack-level")
-    done = [level.filter("not open")]
-    groups = (level.agg(F.max("block")).first()[0] or 0) + 1
-    while groups > 1:
-        groups = -(-groups // FAN_IN)
-        above = level.filter("open").withColumn("group", F.expr(f"block div {FAN_IN}"))
-        level = stored(above.groupBy("group").applyInArrow(_refit(capacity, groups == 1), BINS_DDL), "pack-level")
+    done = []
+    for turn in itertools.count():
+        left = level.filter("open").agg(F.count("*").alias("bins"), F.sum(F.size("slots")).alias("pieces")).first()
+        if not left["bins"]:
+            break
         done.append(level.filter("not open"))
-    done.append(level.filter("open"))
+        groups = -(-left["pieces"] // group_pieces)
+        dealt = F.pmod(F.xxhash64("block", "number", F.lit(turn)), F.lit(groups))
+        again = level.filter("open").groupBy(dealt.alias("group"))
+        level = stored(again.applyInArrow(_refit(capacity), BINS_DDL), "pack-level")
+        if groups == 1 or level.count() == left["bins"]:
+            break
+    done.append(level)
     whole = done[0]
     for more in done[1:]:
         whole = whole.unionByName(more)
@@ -164,16 +170,15 @@ def pack(
     )
 
 
-def _refit(capacity: int, last: bool):
+def _refit(capacity: int):
     """The next level's bins of one group's underfull bins."""
 
-    def refit(rows: pa.Table) -> pa.Table:
+    def refit(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         items = [
             (fill, [tuple(slot.values()) for slot in slots])
             for fill, slots in zip(rows.column("fill").to_pylist(), rows.column("slots").to_pylist(), strict=True)
         ]
-        block = rows.column("group")[0].as_py()
-        return pa.Table.from_batches([_batch(_rows(block, list(_merged(items, capacity)), capacity, last))])
+        return pa.Table.from_batches([_batch(_rows(key[0].as_py(), list(_merged(items, capacity)), capacity))])
 
     return refit
 
@@ -181,6 +186,6 @@ def _refit(capacity: int, last: bool):
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     names = [f.name for f in SLOT]
     columns = list(zip(*rows, strict=True))
-    slots = [[dict(zip(names, s, strict=True)) for s in bin_slots] for bin_slots in columns[3]]
-    arrays = [pa.array(c, type=f.type) for c, f in zip((*columns[:3], slots), BINS, strict=True)]
+    slots = [[dict(zip(names, s, strict=True)) for s in bin_slots] for bin_slots in columns[4]]
+    arrays = [pa.array(c, type=f.type) for c, f in zip((*columns[:4], slots), BINS, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=BINS)
