@@ -63,6 +63,18 @@ def test_few_rows_ties_and_unusable_vectors(spark):
     assert {i for i, _ in got[20]} == {0, 1, 2, 3}
 
 
+def test_repeated_queries_keep_their_neighbours(spark):
+    """Copies of a query row ask once; two vectors under one id give each candidate's larger score."""
+    v = np.random.default_rng(7).normal(size=(60, 8))
+    ids = [*range(60), *[0] * 24, 20]
+    vectors = np.concatenate([v, np.repeat(v[:1], 24, axis=0), v[40:41]])
+    got = found(spark, ids, vectors, 5)
+    for q, asking in ((0, v[[0]]), (20, v[[20, 40]])):
+        scores = (vectors[:, None, :] * asking).sum(axis=2).max(axis=1)
+        want = sorted((-s, i) for s, i in zip(scores, ids, strict=True) if i != q)[:5]
+        assert got[q] == [(i, pytest.approx(-s)) for s, i in want]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert nearest_vectors(df, F.col("vec_id") % 20 == 0).count() == 0

@@ -136,8 +136,10 @@ def nearest_vectors(
     ``is_query`` picks the queries among the rows; a query's candidates are the
     rows with another id. Ties go to the smaller id. Rows without an id, and
     vectors that are null, zero, of another length than most, or that hold null
-    or non-finite components take no part; repeated rows are found repeatedly;
-    an empty table gives no rows; other columns are ignored.
+    or non-finite components take no part; repeated rows are found repeatedly
+    but ask once. Where rows of one id ask with several vectors, a candidate row
+    counts once, with its largest score. An empty table gives no rows; other
+    columns are ignored.
 
     Codes and radius come from a bounded sample, the index holds every row. Rows
     and queries are cut into blocks of bounded size and each block of rows meets
@@ -162,14 +164,15 @@ def nearest_vectors(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.filter(F.size("vector") == most["length"])
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    total = rows.agg(F.max(norm).alias("longest"), F.sum(F.col("asks").cast("long")).alias("queries")).first()
+    longest = rows.agg(F.max(norm).alias("longest")).first()["longest"]
+    asked = stored(rows.filter("asks").select("id", "vector").distinct(), "nearest-queries")
     draw = rows.select("vector", F.xxhash64(F.lit(SEED), "id").alias("draw"), "id")
     sample = np.array([r["vector"] for r in draw.orderBy("draw", "id").limit(SAMPLE_ROWS).collect()], dtype=float)
-    codes = learn_codes(sample, float(total["longest"]), k)
+    codes = learn_codes(sample, float(longest), k)
 
     cores = spark.sparkContext.defaultParallelism
     row_blocks = max(cores * BLOCKS_PER_CORE, -(-most["n"] // BLOCK_ROWS))
-    query_blocks = max(1, -(-(total["queries"] or 0) // BLOCK_QUERIES))
+    query_blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     place = F.xxhash64("id", "vector")
 
     def block(n: int, salt: int) -> Column:
@@ -178,21 +181,21 @@ def nearest_vectors(
     def spread(over: int) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(over - 1).cast("long")))
 
-    items = rows.withColumn("row_block", block(row_blocks, 1)).withColumn("query_block", spread(query_blocks))
-    asked = rows.filter("asks").withColumn("query_block", block(query_blocks, 2)).withColumn(
-        "row_block", spread(row_blocks)
-    )
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    items = numbered.withColumn("row_block", block(row_blocks, 1)).withColumn("query_block", spread(query_blocks))
+    asked = asked.withColumn("query_block", block(query_blocks, 2)).withColumn("row_block", spread(row_blocks))
     cell = F.col("row_block") * query_blocks + F.col("query_block")
-    cells = items.select(cell.alias("cell"), F.lit(False).alias("query"), "id", "vector").unionByName(
-        asked.select(cell.alias("cell"), F.lit(True).alias("query"), "id", "vector")
+    cells = items.select(cell.alias("cell"), F.lit(False).alias("query"), "id", "vector", "row").unionByName(
+        asked.select(cell.alias("cell"), F.lit(True).alias("query"), "id", "vector", F.lit(-1).cast("long").alias("row"))
     )
     schema = T.StructType(
-        [T.StructField(n, T.LongType()) for n in ("query_id", "vec_id")] + [T.StructField("score", T.DoubleType())]
+        [T.StructField(n, T.LongType()) for n in ("query_id", "vec_id", "row")] + [T.StructField("score", T.DoubleType())]
     )
     found = cells.groupBy("cell").applyInArrow(_search(codes, k), schema)
+    best = found.groupBy("query_id", "vec_id", "row").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        found.withColumn("rank", F.row_number().over(order).cast("int"))
+        best.withColumn("rank", F.row_number().over(order).cast("int"))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
@@ -203,12 +206,12 @@ def _search(codes: Codes, k: int):
 
     def search(cell: pa.Table) -> pa.Table:
         asks = cell.column("query").to_numpy()
-        ids = cell.column("id").to_numpy()
+        ids, rows = cell.column("id").to_numpy(), cell.column("row").to_numpy()
         flat = cell.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         vectors = flat.reshape(len(ids), -1)
-        items, item_ids = vectors[~asks], ids[~asks]
+        items, item_ids, item_rows = vectors[~asks], ids[~asks], rows[~asks]
         queries, query_ids = vectors[asks], ids[asks]
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[list[np.ndarray]] = [[], [], [], []]
         if len(items) and len(queries):
             index = MultiIndex(codes.encode(items, as_query=False), codes.radius)
             for query, query_id, code in zip(queries, query_ids, codes.encode(queries, as_query=True), strict=True):
@@ -223,10 +226,11 @@ def _search(codes: Codes, k: int):
                 best = np.lexsort((item_ids[picked], -scores))[:k]
                 out[0].append(np.full(len(best), query_id))
                 out[1].append(item_ids[picked][best])
-                out[2].append(scores[best])
+                out[2].append(item_rows[picked][best])
+                out[3].append(scores[best])
         columns = [np.concatenate(c) if c else np.zeros(0) for c in out]
-        types = (pa.int64(), pa.int64(), pa.float64())
-        names = ["query_id", "vec_id", "score"]
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        names = ["query_id", "vec_id", "row", "score"]
         return pa.table([pa.array(c.astype(t.to_pandas_dtype())) for c, t in zip(columns, types, strict=True)], names)
 
     return search
