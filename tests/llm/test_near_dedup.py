@@ -113,3 +113,15 @@ def test_a_third_of_all_rows_are_copies(spark):
     got = near_duplicates(docs)
     assert got.filter("kept").count() == 601
     assert got.filter("component_id = 0").count() == 300
+
+
+def test_one_row_of_a_group_stays(spark):
+    """Near copies without ids, near copies under one id, and rows alike in id and text."""
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(None, text), (None, text + " a"), (None, text + " b")]
+    rows += [(5, text.upper().replace("WORD", "x") + end) for end in ("", " a")] + [(6, text.replace("word", "x"))]
+    rows += [(9, text.replace("word", "y"))] * 3 + [(None, ""), (None, ""), (7, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = without_near_duplicates(docs).collect()
+    assert sorted((r["doc_id"] for r in got if r["text"].strip()), key=str) == [5, 9, None]
+    assert sum(not r["text"].strip() for r in got) == 3

@@ -442,6 +442,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     are confirmed on the whole sets; at the similarity limit about one pair in
     a million has too few matching coordinates to be looked at.
     """
+    grouped = _grouped(docs, words, percent)
+    smallest = stored(
+        grouped.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")), "near-ids"
+    )
+    return (
+        grouped.join(smallest, "root", "left")
+        .withColumn("component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+        .select(
+            "doc_id", "n_shingles", "component_id",
+            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash",
+        )
+    )
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, node and root of every row; rows of a group share the root, without words it is null."""
     matches = match_threshold(percent)
     sketches = stored(sketch(docs, words), "near-sketch")
     classes = stored(
@@ -507,27 +523,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     roots = components(links)
 
     sized = sketches.select("doc_id", "text_hash", "n_shingles", "node").join(roots, "node", "left")
-    grouped = sized.withColumn("root", F.coalesce("root", "node"))
-    smallest = stored(
-        grouped.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")), "near-ids"
-    )
-    return (
-        grouped.join(smallest, "root", "left")
-        .withColumn("component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-        .select(
-            "doc_id", "n_shingles", "component_id",
-            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash",
-        )
-    )
+    return sized.withColumn("root", F.coalesce("root", "node"))
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group, all columns kept."""
-    kept = (
-        near_duplicates(docs, words, percent)
-        .filter("kept")
-        .select(F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_hash"))
-        .distinct()
+    """``docs`` with one row of each group, all columns kept; documents without words all stay.
+
+    It is the row of the smallest id, a missing id being the largest, then of
+    the smallest text hash. Of rows alike in id and text any one stays.
+    """
+    grouped = stored(_grouped(docs, words, percent), "near-grouped")
+    key = (F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_hash"))
+    best = (
+        grouped.filter("root is not null")
+        .groupBy("root", "doc_id", "text_hash")
+        .agg(F.count("*").alias("rows"))
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "rows")).alias("one"))
+        .select("one.doc_id", "one.text_hash", "one.rows")
+        .select(*key, F.col("rows").alias("_near_rows"))
     )
+    wordless = grouped.filter("root is null").select(*key, F.lit(1).cast("long").alias("_near_rows")).distinct()
     own = (text_hash() == F.col("_near_hash")) & F.col("doc_id").eqNullSafe(F.col("_near_id"))
-    return docs.join(kept, own, "left_semi")
+    rows = docs.join(best.unionByName(wordless), own)
+    alike = (
+        rows.filter("_near_rows > 1").groupBy("_near_id", "_near_hash").agg(F.first(F.struct(*docs.columns)).alias("row"))
+    )
+    return rows.filter("_near_rows = 1").select(*docs.columns).unionByName(alike.select("row.*"))
