@@ -15,8 +15,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text scores at least the threshold; a missing text is scored as an empty one."""
+    """Documents whose text scores at least the threshold; a missing text is scored as an empty one.
+
+    Where there was no labelled text to learn from, all documents are kept.
+    """
     model = quality.learn_from(docs, table(spark, sf_dir, "labels"))
+    if not model.learned:
+        return docs
     return docs.filter(quality.quality_of(model, whole_text()) >= F.lit(quality.THRESHOLD))
 
 

@@ -66,3 +66,9 @@ def test_mix_and_packing_hold_together(outputs):
     for s in spans.values():
         s.sort()
         assert s[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(s, s[1:], strict=False)) and sum(s[-1]) <= 1024
+
+
+def test_without_labels_all_documents_stay(spark, sf_dir, tmp_path):
+    table(spark, sf_dir, "labels").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    docs = table(spark, sf_dir, "documents").limit(20)
+    assert corpus_pipeline.keep_good(spark, docs, str(tmp_path)).count() == 20

@@ -31,6 +31,7 @@ class QualityModel:
     mean: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
+    learned: bool = True  # False if there was no labelled text
 
     def features(self, texts: list[str]) -> np.ndarray:
         """Normalised size difference (bad minus good), then the plain compression rate and its square."""
@@ -129,7 +130,7 @@ def learn(docs: DataFrame, known: DataFrame, docs_per_label: int = DOCS_PER_LABE
     if len(set(y)) < 2:
         share = totals.get(1, 0) + 0.5
         odds = np.log(share / (totals.get(0, 0) + 0.5))
-        return QualityModel(bare.bad, bare.good, bare.mean, bare.spread, np.array([odds, 0, 0, 0]))
+        return QualityModel(bare.bad, bare.good, bare.mean, bare.spread, np.array([odds, 0, 0, 0]), bool(rows))
     x = bare.features([r["text"] for r in calibrated])
     mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-6
     share = {q: totals[q] / sum(totals.values()) / np.mean(y == q) for q in (0, 1)}
