@@ -56,3 +56,18 @@ def test_edge_rows(edge_docs, no_docs):
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in identify(docs).collect()] == ["und"]
+
+
+def test_languages_with_long_texts_only(spark):
+    rows = [(i, "the house and the garden with a tree " * 2000, "en") for i in range(6)]
+    rows += [(i, "das haus und der garten mit einem baum " * 2000, "de") for i in range(6, 12)]
+    got = identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert [r["lang_pred"] for r in sorted(got)] == ["en"] * 6 + ["de"] * 6
+
+
+def test_the_sample_is_bounded(spark):
+    """Of a language with many rows no more than the sample counts, of a rare one all do."""
+    rows = [(i, "abc abd abe", "x") for i in range(3000)] + [(-1, "uvw uvx uvy", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.learn(docs, docs_per_language=10)
+    assert got.languages == ("x", "y")

@@ -1,4 +1,4 @@
-"""Token ids of whole texts by a tokenizer file; a worker encodes each distinct word once."""
+"""Token ids of whole texts by a tokenizer file; a task encodes each distinct word once."""
 
 from __future__ import annotations
 
@@ -7,9 +7,14 @@ import os
 import re
 import sys
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 from types import SimpleNamespace
 
-MEMO_WORDS = 1_200_000  # words a worker remembers before it starts afresh
+from tiffin.llm.common import task_memory
+
+MEMO_BYTES = 48 << 20  # of words that a task remembers before it starts afresh
+ENTRY_BYTES = 250  # what an entry takes beside its characters and ids
 MEMO_CHARS = 64  # longer words are not remembered
 # Letters below U+0250, written as ranges; texts with later characters, with the
 # one letter whose lower case is more than letters, or with control characters
@@ -37,13 +42,19 @@ def file_digest(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
-def word_encoder(path: str, keeps_space: bool) -> WordEncoder:
-    """The worker's encoder for this file: its words outlive a task, as Spark reuses Python workers."""
+@contextmanager
+def word_encoder(path: str, keeps_space: bool) -> Iterator[WordEncoder]:
+    """The worker's encoder for this file; the tokenizer outlives a task, its words do not."""
     held = sys.modules.setdefault("tiffin_worker_encoders", SimpleNamespace(by_file={}))
     key = (path, keeps_space)
     if key not in held.by_file:
         held.by_file[key] = WordEncoder(path, keeps_space)
-    return held.by_file[key]
+    encoder = held.by_file[key]
+    with task_memory():
+        try:
+            yield encoder
+        finally:
+            encoder.forget()
 
 
 class WordEncoder:
@@ -65,19 +76,24 @@ class WordEncoder:
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([UNSAFE, *added]))
         self.words = re.compile(WORDS[keeps_space]).findall
+        self.forget()
+
+    def forget(self) -> None:
         self.memo: dict[str, bytes] = {}
+        self.memo_bytes = 0
 
     def _by_library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+        if self.memo_bytes > MEMO_BYTES:
+            self.forget()
         parts = [None if self.whole.search(t) else self.words(t) for t in texts]
         new = [w for w in set().union(*(p for p in parts if p)) if w not in self.memo]
         found = dict(zip(new, self._by_library(new), strict=True))
         self.memo.update(found)
+        self.memo_bytes += sum(ENTRY_BYTES + len(w) + len(ids) for w, ids in found.items())
         get = self.memo.__getitem__
         out = [
             self._by_library([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)

@@ -11,14 +11,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import bucket_of_id, whole_text
+from tiffin.llm.common import bucket_of_id, drawn, task_memory, whole_text
 
 DIMENSIONS = 1024
 SEED = 20
 UNKNOWN = "und"
-# Bounds of the learning sample.
-DOCS_PER_LANGUAGE = 1_000
-MAX_SAMPLE_BYTES = 32_768  # longer texts are not learned from
+DOCS_PER_LANGUAGE = 1_000  # bound of the learning sample
+ROWS = 256  # texts worked on together
 SEGMENT_CHARS = 1_000_000  # characters counted at a time
 GRAM_BLOCK = 8_192  # n-gram vectors held at a time
 BLANK = 0  # code of everything that is not a letter
@@ -124,26 +123,28 @@ def learn(
     """Prototypes from a bounded sample of ``labelled`` (doc_id, text, lang).
 
     Of every language the ``docs_per_language`` documents with the smallest hash
-    are used, texts of at most ``MAX_SAMPLE_BYTES`` only. Tasks bundle their
+    are used, whole texts of any length. Rows are counted per language first, so
+    only about twice that many of each are put in order. Tasks bundle their
     documents; one vector per task and language reaches the driver.
     """
-    usable = labelled.filter("lang is not null and text is not null").filter(
-        F.octet_length("text") <= MAX_SAMPLE_BYTES
-    )
-    picked = (
-        usable.select("doc_id", "lang", F.xxhash64("doc_id", "text").alias("draw"))
+    usable = labelled.filter("lang is not null and text is not null")
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n_lang"))
+    drawing = usable.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("draw")).join(counts, "lang")
+    sample = (
+        drawing.filter(drawn(F.col("draw"), docs_per_language, F.col("n_lang")))
         .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id")))
         .filter(F.col("place") <= docs_per_language)
-        .select("doc_id", "lang", "draw")
-        .distinct()
     )
-    sample = usable.withColumn("draw", F.xxhash64("doc_id", "text")).join(picked, ["doc_id", "lang", "draw"], "left_semi")
 
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            vectors = document_vectors(rows["text"].tolist(), dimensions)
-            for lang, places in rows.groupby("lang").indices.items():
-                yield pd.DataFrame({"lang": [lang], "vector": [vectors[places].sum(axis=0).astype(float).tolist()]})
+        with task_memory():
+            for batch in batches:
+                for at in range(0, len(batch), ROWS):
+                    rows = batch.iloc[at : at + ROWS]
+                    vectors = document_vectors(rows["text"].tolist(), dimensions)
+                    for lang, places in rows.groupby("lang").indices.items():
+                        total = vectors[places].sum(axis=0).astype(float).tolist()
+                        yield pd.DataFrame({"lang": [lang], "vector": [total]})
 
     sums: dict[str, np.ndarray] = {}
     for row in sample.select("lang", "text").mapInPandas(bundle, "lang string, vector array<double>").toLocalIterator():

@@ -11,13 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import stored, whole_text
+from tiffin.llm.common import stored, task_memory, whole_text
 
 COORDINATES = 64
 SEED = 7
 SPREAD = 5.0  # standard deviations that the match threshold lies below the expected matches
 BUCKETS = 1 << 16  # counters of the token histogram, whatever the input
-MEMO_WORDS = 500_000
+MEMO_WORDS = 120_000
 ROWS = 512  # documents worked on together
 BLOCK = 4_096  # shingles hashed together
 CROWD = 16  # members of a list above which the shingles they may share are counted
@@ -99,21 +99,25 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                sizes, nodes, signatures = [], [], []
-                for text in part.column("text").to_pylist():
-                    found = shingle_set(text, words, hashes)
-                    sizes.append(len(found))
-                    some = len(found) > 0
-                    nodes.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if some else None)
-                    signatures.append(signature(found).tobytes() if some else None)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text_hash"), pa.array(sizes, pa.int64()),
-                     pa.array(nodes, pa.binary()), pa.array(signatures, pa.binary())],
-                    ["doc_id", "text_hash", "n_shingles", "node", "signature"],
-                )
+        with task_memory():
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS):
+                    yield sketched(batch.slice(at, ROWS), hashes)
+            del hashes
+
+    def sketched(part: pa.RecordBatch, hashes: WordHashes) -> pa.RecordBatch:
+        sizes, nodes, signatures = [], [], []
+        for text in part.column("text").to_pylist():
+            found = shingle_set(text, words, hashes)
+            sizes.append(len(found))
+            some = len(found) > 0
+            nodes.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if some else None)
+            signatures.append(signature(found).tobytes() if some else None)
+        return pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), part.column("text_hash"), pa.array(sizes, pa.int64()),
+             pa.array(nodes, pa.binary()), pa.array(signatures, pa.binary())],
+            ["doc_id", "text_hash", "n_shingles", "node", "signature"],
+        )
 
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), whole_text().alias("text")
@@ -151,7 +155,6 @@ def postings(classes: DataFrame, counts: np.ndarray, matches: int) -> DataFrame:
     order here puts rare buckets first, so passages that many documents share
     are not posted where a document has enough of its own.
     """
-    counts = token_counts(classes)
     prefix = COORDINATES - matches + 1
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +273,7 @@ def _texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
 
-    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held = WordHashes(), {}
 
         def shingles(text: str) -> np.ndarray:
@@ -280,17 +283,22 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
                 held[text] = shingle_set(text, words, hashes)
             return held[text]
 
-        out = []
-        for x, y in zip(a, b, strict=True):
-            x, y = shingles(x), shingles(y)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * both >= percent * (len(x) + len(y) - both))
-        return pd.Series(out, dtype="bool")
+        with task_memory():
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS):
+                    part, near = batch.slice(at, ROWS), []
+                    for x, y in zip(part.column("ta").to_pylist(), part.column("tb").to_pylist(), strict=True):
+                        x, y = shingles(x), shingles(y)
+                        both = len(np.intersect1d(x, y, assume_unique=True))
+                        near.append(100 * both >= percent * (len(x) + len(y) - both))
+                    yield part.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+            held.clear()
+            del hashes
 
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"
     )
-    return joined.filter(F.pandas_udf(similar, "boolean")("ta", "tb")).select("a", "b")
+    return joined.select("a", "b", "ta", "tb").mapInArrow(confirm, "a binary, b binary")
 
 
 def _open_shingles(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:

@@ -17,7 +17,7 @@ from tiffin.llm.encoding import word_encoder
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 2
-BLOCK_PIECES = 200_000  # pieces packed together in a task
+BLOCK_PIECES = 50_000  # pieces packed together in a task
 SLACK = 1 / 128  # a bin with less room than this share is full
 GROUP_PIECES = 2_000  # pieces whose underfull bins are packed anew together
 SLICE = 256  # texts encoded together
@@ -122,7 +122,6 @@ def pack(
     """
 
     def encode_and_pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(path, keeps_space)
         ending = end_id.to_bytes(4, "little")
         block = TaskContext.get().partitionId() << 32  # and the flushes of the task counted
         items: list[tuple[int, list[tuple]]] = []
@@ -130,18 +129,18 @@ def pack(
         def flush() -> pa.RecordBatch:
             return _batch(_rows(block, list(_merged(items, capacity)), capacity))
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                texts = batch.slice(at, SLICE)
-                for doc_id, ids in zip(
-                    texts.column("doc_id").to_pylist(), encoder.encode(texts.column("text").to_pylist()), strict=True
-                ):
-                    items += [(p[3], [p]) for p in pieces_of(doc_id, ids + ending, capacity)]
-                if len(items) >= BLOCK_PIECES:
-                    yield flush()
-                    block, items = block + 1, []
-        if items:
-            yield flush()
+        with word_encoder(path, keeps_space) as encoder:
+            for batch in batches:
+                for at in range(0, batch.num_rows, SLICE):
+                    texts = batch.slice(at, SLICE)
+                    found = encoder.encode(texts.column("text").to_pylist())
+                    for doc_id, ids in zip(texts.column("doc_id").to_pylist(), found, strict=True):
+                        items += [(p[3], [p]) for p in pieces_of(doc_id, ids + ending, capacity)]
+                    if len(items) >= BLOCK_PIECES:
+                        yield flush()
+                        block, items = block + 1, []
+            if items:
+                yield flush()
 
     first = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     level = stored(first.mapInArrow(encode_and_pack, BINS_DDL), "pack-level")
@@ -184,8 +183,10 @@ def _refit(capacity: int):
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = [f.name for f in SLOT]
-    columns = list(zip(*rows, strict=True))
-    slots = [[dict(zip(names, s, strict=True)) for s in bin_slots] for bin_slots in columns[4]]
-    arrays = [pa.array(c, type=f.type) for c, f in zip((*columns[:4], slots), BINS, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, schema=BINS)
+    """Arrow columns built from flat lists, one per field of a slot."""
+    blocks, numbers, fills, opens, slots = zip(*rows, strict=True)
+    fields = list(zip(*itertools.chain.from_iterable(slots), strict=True))
+    flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(fields, SLOT, strict=True)], fields=list(SLOT))
+    ends = pa.array([0, *itertools.accumulate(map(len, slots))], pa.int32())
+    arrays = [pa.array(c, f.type) for c, f in zip((blocks, numbers, fills, opens), BINS, strict=False)]
+    return pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(ends, flat)], schema=BINS)

@@ -73,13 +73,13 @@ def token_counts(
 
 def _counter(path: str, keeps_space: bool):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(path, keeps_space)
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
-                sizes = [len(ids) // 4 for ids in encoder.encode(part.column("text").to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("digest"), pa.array(sizes, pa.int64())], ["digest", "n_tokens"]
-                )
+        with word_encoder(path, keeps_space) as encoder:
+            for batch in batches:
+                for start in range(0, batch.num_rows, SLICE):
+                    part = batch.slice(start, SLICE)
+                    sizes = [len(ids) // 4 for ids in encoder.encode(part.column("text").to_pylist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("digest"), pa.array(sizes, pa.int64())], ["digest", "n_tokens"]
+                    )
 
     return count
