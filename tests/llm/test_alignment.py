@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import bisect
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from tiffin.llm import alignment
+from tiffin.llm.alignment import Aligner, align, composed, finished, fragment
+from tiffin.llm.encoding import tokenizer_path
+
+A, B = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+ODD = [
+    "two  blanks", " leading", "trailing ", "trailing\n", "\n", "\n\n a \nb", "a\tb\r\nc", "▁ a", "a　b c", "a\xa0b c\xadd e",
+    "don't can't 's 'll", "Ünï cödé größe", "emoji 😀 x 👩‍👩‍👧 y", "<|endoftext|> and <s> </s> <unk>", "\x00 nul", "12 3 4567 x9",
+    "x" * 300, " " * 40, "a " * 30, "日本語 テキスト です", "İstanbul ǆ", "é ä x", "don 't", "a\n's b", "ﬁ ① Å",
+]
+
+
+@pytest.fixture(scope="module")
+def by():
+    return Aligner(A, B)
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    t = Tokenizer.from_file(A)
+    t.encode_special_tokens = True
+    return t, alignment.bytes_of_first(t), sentencepiece.SentencePieceProcessor(model_file=B)
+
+
+def brute(text, libraries):
+    """Groups of the whole text as lists of ids, from the libraries' own output."""
+    t, letters, sp = libraries
+    if not text:
+        return []
+    a = [(i, letters[i]) for i in t.encode(" " + text, add_special_tokens=False).ids]
+    b = []
+    for i in sp.encode(text):
+        p = sp.id_to_piece(i)
+        b.append((i, bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode()))
+    data = (" " + text).encode()
+    if b"".join(x for _, x in a) != data or b"".join(x for _, x in b) != data:
+        return []
+    ends = []
+    for tokens in (a, b):
+        at, found = 0, []
+        for _, x in tokens:
+            at += len(x)
+            found.append(at)
+        ends.append(found)
+    common = sorted(set(ends[0]) & set(ends[1]))
+    groups = [([], []) for _ in common]
+    for side, (tokens, es) in enumerate(zip((a, b), ends)):
+        for (i, _), end in zip(tokens, es):
+            groups[bisect.bisect_left(common, end)][side].append(i)
+    return groups
+
+
+def digest(groups):
+    text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+    return hashlib.sha256(text.encode()).hexdigest() if groups else ""
+
+
+def brute_rows(rows, libraries):
+    every = [(i, brute(t, libraries)) for i, t in rows]
+    links = [Counter((a, b) for ga, gb in g for a in ga for b in gb) for _, g in every]
+    count = Counter(p for c in links for p in c)
+    best = {}
+    for (a, _), n in count.items():
+        best[a] = max(best.get(a, 0), n)
+    return sorted(
+        (
+            (i, sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g), sum(c.values()),
+             sum(n for p, n in c.items() if count[p] == best[p[0]]), sum(n * count[p] for p, n in c.items()), digest(g))
+            for (i, g), c in zip(every, links)
+        ),
+        key=repr,
+    )
+
+
+def test_parts_equal_the_whole_text(by, libraries):
+    rng = random.Random(1)
+    texts = ODD + ["".join(rng.choices("ab é\n '.,1x😀▁\t", k=rng.randrange(1, 40))) for _ in range(500)]
+    for text, part in zip(texts, by.parts([" " + t for t in texts]), strict=True):
+        groups = brute(text, libraries)
+        want = (len(groups), digest(groups))
+        assert (part.n_groups if not part.bad else 0, hashlib.sha256(part.text.encode()).hexdigest() if not part.bad else "") == want, text
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_fragments_compose_in_any_order(by, libraries, seed):
+    rng = random.Random(seed)
+    text = " ".join(rng.choices(["foo", "größe", "don't", "x\ny", " ", "日本", "a1", "\n", "bar."], k=rng.randrange(1, 30)))
+    whole, pieces, at = " " + text, [], 0
+    while at < len(whole):
+        size = rng.choice([1, 2, 3, 7, 20])
+        pieces.append(fragment(whole[at : at + size], by))
+        at += size
+    while len(pieces) > 1:
+        i = rng.randrange(len(pieces) - 1)
+        pieces[i : i + 2] = [composed(pieces[i], pieces[i + 1], by)]
+    found, groups = finished(pieces[0], by), brute(text, libraries)
+    assert (found.n_groups, found.n_links) == (len(groups), sum(len(a) * len(b) for a, b in groups))
+    assert (hashlib.sha256(found.text.encode()).hexdigest() if groups else "") == digest(groups)
+
+
+@pytest.mark.parametrize("chunk_bytes, fan_in", [(1 << 16, 8), (256, 4)])
+def test_rows_equal_brute_force(edge_docs, libraries, chunk_bytes, fan_in):
+    rows = [tuple(r) for r in edge_docs.select("doc_id", "text").collect()]
+    if chunk_bytes == 256:  # the long ones would only repeat the same steps
+        edge_docs = edge_docs.filter("coalesce(length(text), 0) < 6000")
+        rows = [r for r in rows if len(r[1] or "") < 6000]
+    got = sorted((tuple(r) for r in align(edge_docs, A, B, chunk_bytes, fan_in).collect()), key=repr)
+    assert got == brute_rows(rows, libraries)
+
+
+def test_odd_texts_over_small_ranges(spark, libraries):
+    docs = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string").repartition(3)
+    got = sorted((tuple(r) for r in align(docs, A, B, 32, 4).collect()), key=repr)
+    assert got == brute_rows(list(enumerate(ODD)), libraries)
+
+
+def test_documents_equal_brute_force(spark, sf_dir, libraries):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = sorted((tuple(r) for r in align(docs, A, B).collect()), key=repr)
+    assert got == brute_rows([tuple(r) for r in docs.select("doc_id", "text").collect()], libraries)
+
+
+def test_empty_table(no_docs):
+    assert align(no_docs, A, B).count() == 0
