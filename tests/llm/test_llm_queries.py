@@ -16,7 +16,7 @@ def con(sf_dir):
 
 def test_every_operator_is_registered():
     names = entry_module.queries()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(names)
     assert set(SQL) <= set(entry_module.oracle_sql())
 

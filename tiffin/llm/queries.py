@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import exact_dedup, language, mixing, near_dedup, nearest, packing, quality, tokens, url_filter, warc
+from tiffin.llm import (
+    alignment,
+    exact_dedup,
+    language,
+    mixing,
+    near_dedup,
+    nearest,
+    packing,
+    partenum,
+    prefix_trie,
+    quality,
+    tokens,
+    url_filter,
+    warc,
+)
 from tiffin.llm.common import table
 from tiffin.llm.encoding import tokenizer_path
 
@@ -194,3 +208,90 @@ def op9_quality(spark, sf_dir):
 @query
 def op10_nearest(spark, sf_dir):
     return nearest.nearest_vectors(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0)
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("last_conv_place")
+
+
+# The checksum of the decimal id is spelled out: eight steps for each of its characters.
+SQL["op11_prefix_trie"] = r"""
+with own as materialized (
+    select conv_id, length(coalesce(text, '')) as chars,
+           sha256(octet_length(encode(coalesce(role, '')))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as digest,
+           row_number() over (partition by conv_id order by turn nulls first, digest) as place
+    from conversations where conv_id is not null
+), ids as materialized (
+    select conv_id, conv_id - conv_id % 100 as family,
+           xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, length(conv_id::varchar) + 1),
+               lambda p: ascii(substr(conv_id::varchar, p, 1))::bigint)),
+               lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                   lambda x, k: case when x % 2 = 1 then xor(x // 2, 3988292384::bigint) else x // 2 end)),
+               4294967295::bigint) % 6 as taken
+    from (select distinct conv_id from own)
+), whole as materialized (
+    select conv_id, list(digest order by part, place) as turns, list(chars order by part, place) as sizes
+    from (
+        select i.conv_id, 1 as part, place, digest, chars from ids i join own o on o.conv_id = i.family and place <= taken
+        union all
+        select conv_id, 2, place, digest, chars from own join ids using (conv_id) where place > taken
+    ) group by conv_id
+), rebuilt as materialized (
+    select conv_id, coalesce(turns, []) as turns, coalesce(sizes, []) as sizes from ids left join whole using (conv_id)
+), prefix as materialized (
+    select conv_id, d as depth, turns[1:d] as key, turns[1:d - 1] as above, sizes[d] as chars, d = len(turns) as ends
+    from (select *, unnest(range(0, len(turns) + 1)) as d from rebuilt)
+), node as materialized (
+    select key, any_value(above) as above, depth, min(conv_id) as conv_id, count(*) as n_convs,
+           coalesce(any_value(chars), 0) as chars,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+    from prefix group by key, depth
+), child as materialized (select above as key, count(*) as n_children from node where depth > 0 group by above),
+subtree as (
+    select key[1:d] as key, sum((n_convs - 1) * chars) as saved_tokens, count(*) filter (where n_children is null) as n_leaves
+    from (select *, unnest(range(0, depth + 1)) as d from node left join child using (key)) group by 1
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children,
+       n_leaves, saved_tokens::bigint as saved_tokens, n.ends_sha256
+from node n join subtree using (key) left join child using (key)
+left join node p on n.depth > 0 and p.key = n.above and p.depth = n.depth - 1
+"""
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    first, second = tokenizer_path(alignment.FIRST), tokenizer_path(alignment.SECOND)
+    return alignment.align(table(spark, sf_dir, "documents"), first, second)
+
+
+@query
+def op13_ngram_join(spark, sf_dir):
+    return partenum.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_ngram_join"] = r"""
+with recursive w as materialized (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+    from documents
+), s as materialized (
+    select distinct doc_id, unnest(case when len(words) < 5 then [array_to_string(words, ' ')] else
+        list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end) as shingle
+    from w where len(words) > 0
+), n as materialized (select doc_id, count(*) as n_shingles from s group by doc_id),
+i as (
+    select a.doc_id as a, b.doc_id as b, count(*) as shared
+    from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+), l as materialized (
+    select a, b from i join n na on na.doc_id = a join n nb on nb.doc_id = b
+    where 100 * shared >= 80 * (na.n_shingles + nb.n_shingles - shared)
+), e as materialized (select a, b from l union all select b, a from l),
+reach(doc_id, other) as (
+    select doc_id, doc_id from n
+    union
+    select doc_id, b from reach join e on a = other
+), c as (select doc_id, min(other) as component_id from reach group by doc_id)
+select doc_id, coalesce(n_shingles, 0) as n_shingles, coalesce(component_id, doc_id) as component_id
+from documents left join n using (doc_id) left join c using (doc_id)
+"""
