@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from test_near_dedup import brute as near_brute
 
-from tiffin.llm import near_dedup, partenum
+from tiffin.llm import partenum
 from tiffin.llm.partenum import band, bands_of, differences, jaccard_join, signatures
 
 
@@ -57,8 +57,7 @@ def test_edge_rows(edge_docs, words, percent):
 
 def test_near_copies_and_crowds(spark, monkeypatch):
     """Chains of changes, groups of copies, and a passage that many otherwise different texts share."""
-    monkeypatch.setattr(partenum, "CROWD", 3)
-    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 4)
+    monkeypatch.setattr(partenum, "BLOCK_MEMBERS", 5)
     rng = random.Random(9)
     word = lambda: "".join(rng.choices("abcdefgh", k=5))
     passage, rows = [word() for _ in range(40)], []

@@ -22,14 +22,11 @@ from pyspark.sql import functions as F
 
 from tiffin.llm.common import stored, task_memory, whole_text
 from tiffin.llm.near_dedup import (
-    CROWD,
     PACKED_ROWS,
     ROWS,
     WordHashes,
     _confirmed,
-    _crowded_pairs,
     _mixed,
-    _open_shingles,
     _packed,
     _sizes_fit,
     _texts_of,
@@ -43,6 +40,7 @@ WIDTH = 2  # largest size of a band over its smallest
 PAIRS_UP_TO = 8  # differences up to which one group has all partitions, and pairs of them are signatures
 THIRDS_UP_TO = 40  # up to which groups have three partitions; beyond, two
 SPARE = 1.06  # groups beyond what the pigeonhole needs, for those with too few elements
+BLOCK_MEMBERS = 512  # classes of a cell that one task compares with as many
 RANGE_SHINGLES = 2_000_000  # shingles whose signatures one task sorts
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -127,6 +125,105 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def _cells(placed: DataFrame) -> DataFrame:
+    """cell, node, root, n_shingles, crowd: groups of classes such that two in one list and of different components share a cell.
+
+    Lists that overlap make a cluster. Comparing a cluster once costs the square
+    of its members, its lists one by one the sum of their squares; the cheaper
+    way is taken for each cluster.
+    """
+    mixed = (
+        placed.groupBy("token")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("crowd"))
+        .filter("low < high")
+        .select("token", "crowd")
+    )
+    lists = stored(placed.join(mixed, "token"), "join-mixed")
+    hub = lists.groupBy("token").agg(F.min("node").alias("hub"))
+    edges = lists.join(hub, "token").select(F.col("node").alias("a"), F.col("hub").alias("b")).filter("a != b").distinct()
+    clusters = stored(components(edges).withColumnRenamed("root", "cluster"), "join-clusters")
+    members = lists.select("node", "root", "n_shingles").distinct().join(clusters, "node")
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
+    costs = (
+        hub.join(clusters, hub["hub"] == clusters["node"])
+        .join(mixed, "token")
+        .groupBy("cluster")
+        .agg(F.sum(F.col("crowd").cast("double") * F.col("crowd")).alias("by_list"))
+    )
+    once = F.col("size").cast("double") * F.col("size") <= F.col("by_list")
+    chosen = stored(sizes.join(costs, "cluster").select("cluster", "size", once.alias("once")), "join-chosen")
+    columns = ["cell", "node", "root", "n_shingles", "crowd"]
+    together = members.join(chosen.filter("once"), "cluster").select(
+        F.xxhash64("cluster").alias("cell"), "node", "root", "n_shingles", F.col("size").alias("crowd")
+    )
+    apart = chosen.filter("not once").join(clusters, "cluster").select("node")
+    one_by_one = lists.join(apart, "node", "left_semi").withColumnRenamed("token", "cell").select(*columns)
+    return stored(together.unionByName(one_by_one), "join-cells")
+
+
+def _linked_in_cells(cells: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that join different components of a cell, each two blocks of its members compared in a task of their own."""
+
+    def compare(cell: pa.Table) -> pa.Table:
+        hashes = WordHashes()
+        node, n = cell.column("node").to_pylist(), cell.column("n_shingles").to_numpy()
+        sets = [shingle_set(t, words, hashes) for t in cell.column("text").to_pylist()]
+        block, low, high = (cell.column(c).to_numpy() for c in ("block", "low", "high"))
+        _, root = np.unique(cell.column("root").to_pylist(), return_inverse=True)
+        left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
+        a, b = _links(sets, n, root, left, right, percent)
+        return pa.table({"a": pa.array([node[i] for i in a], pa.binary()), "b": pa.array([node[j] for j in b], pa.binary())})
+
+    blocks = F.ceil(F.col("crowd") / BLOCK_MEMBERS).cast("long")
+    placed = cells.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    )
+    dealt = placed.select(
+        "cell", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root", "n_shingles"
+    )
+    return dealt.join(texts, "node").groupBy("cell", "low", "high").applyInArrow(compare, "a binary, b binary").distinct()
+
+
+def _links(
+    sets: list[np.ndarray], n: np.ndarray, root: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int
+) -> tuple[list[int], list[int]]:
+    """Similar pairs of a left and a right member, as few as join what is linked.
+
+    The elements of the right sets in order give, for each left set, how often
+    each right member shares one.
+    """
+    parent = list(range(int(root.max()) + 1))
+
+    def top(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    values = np.concatenate([sets[j] for j in right])
+    owners = np.repeat(np.arange(len(right)), [len(sets[j]) for j in right])
+    order = np.argsort(values, kind="stable")
+    values, owners = values[order], owners[order]
+    a, b = [], []
+    for i in left:
+        now = np.array([top(r) for r in root[right]]) if len(a) else root[right]
+        other = now != top(int(root[i]))
+        fits = other & (100 * np.minimum(n[i], n[right]) >= percent * np.maximum(n[i], n[right]))
+        if not fits.any():
+            continue
+        start, end = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
+        size = end - start
+        places = np.repeat(start - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+        both = np.bincount(owners[places], minlength=len(right))
+        for j in np.flatnonzero(fits & (100 * both >= percent * (n[i] + n[right] - both))):
+            x, y = top(int(root[i])), top(int(root[right[j]]))
+            if x != y:
+                parent[x] = y
+                a.append(int(i))
+                b.append(int(right[j]))
+    return a, b
+
+
 SKETCH_DDL = "doc_id long, text_hash string, n_shingles long, node binary"
 
 
@@ -218,10 +315,11 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     Equal sets are one class from the start. Classes with a signature in common
     are candidates, and every link is confirmed on the whole sets. In each list
     of a signature all classes first meet one member, and the member that a
-    class meets in most lists is confirmed; then only classes of lists that
-    still hold several components are paired, in crowded lists after the
-    n-grams they can share have been counted. No pair is left out for the size
-    of a list.
+    class meets in most lists is confirmed. Then only lists that still hold
+    several components matter: near copies share hundreds of lists, so their
+    members are compared once for all these lists together, or list by list
+    where that is less work. Cells of members are cut into blocks, two blocks
+    meet in a task, and no pair is left out for the size of a list.
     """
     sketches = stored(sketch(docs, words), "join-sketch")
     classes = stored(
@@ -248,24 +346,9 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     first = stored(_confirmed(stored(best, "join-pairs"), texts, words, percent), "join-links")
     roots = stored(components(first), "join-roots")
 
-    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = (
-        placed.groupBy("token")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("crowd"))
-        .filter("low < high")
-        .select("token", "crowd")
-    )
-    mixed = stored(placed.join(several, "token"), "join-mixed")
-    dense = mixed.filter(F.col("crowd") > CROWD)
-    parts = stored(_open_shingles(dense.select("node").distinct(), texts, words), "join-parts")
-    own_tokens = dense.groupBy("node").agg(F.collect_list("token").alias("tokens"))  # no more than the set has signatures
-    close = _crowded_pairs(dense.join(parts.join(own_tokens, "node"), "node"), percent)
-    few = mixed.filter(F.col("crowd") <= CROWD)
-    a, b = (few.select("token", *[F.col(c).alias(c + side) for c in ("node", "root", "n_shingles")]) for side in "ab")
-    apart = (F.col("roota") < F.col("rootb")) & _sizes_fit(F.col("n_shinglesa"), F.col("n_shinglesb"), percent)
-    ends = (F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
-    pairs = stored(a.join(b, "token").filter(apart).select(*ends).unionByName(close).distinct(), "join-pairs")
-    links = stored(first.unionByName(_confirmed(pairs, texts, words, percent)), "join-links")
+    placed = stored(shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "join-placed")
+    second = _linked_in_cells(_cells(placed), texts, words, percent)
+    links = stored(first.unionByName(second), "join-links")
 
     grouped = stored(
         sketches.select("doc_id", "n_shingles", "node")
