@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import csv
 import gzip
+import io
+import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from tiffin.sources import control, landing
+from tiffin.sources import control, landing, records
 from tiffin.sources.control import LoadGateFailed
 from tiffin.streaming.landing_stream import file_counts, stream_source
 
@@ -55,19 +59,65 @@ def test_dialect(folder):
     }
 
 
-def test_large_files_of_one_line_sources_are_split(folder, spark):
-    body = HEADER + "".join(f'{i},fd{i},"item, {i}",\n' for i in range(60_000))
-    path = str(folder.put("a.csv", body))
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "200KB")
-    try:
-        whole, split = (landing.read_landing_csv(spark, path, "food", one) for one in (False, True))
-        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 4
-        assert whole.exceptAll(split).count() == 0 and split.count() == 60_000
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    out = landing.load_sources(spark, folder.landing, folder.warehouse, "r1", ["food"], one_line_sources=["food"])
-    assert out.total_rows == 60_000
+@pytest.fixture
+def small_blocks(spark):
+    """Files are split into blocks of 400 bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {n: spark.conf.get(n) for n in names}
+    spark.conf.set(names[0], "400")
+    spark.conf.set(names[1], "0")
+    yield
+    for n in names:
+        spark.conf.set(n, old[n])
+
+
+def test_files_with_line_breaks_are_split(folder, spark, small_blocks):
+    """Records over many blocks, compared with a reader of whole files."""
+    rng = random.Random(2)
+    texts = ["", "plain", 'a "quoted" word', "two\nlines", "\n", ",\n,", '"\n"', "one,\ntwo\n\nthree", "x" * 900, 'y\n' * 400]
+    for number, end in enumerate(["\n", "\r\n"]):
+        with io.StringIO(newline="") as out:
+            writer = csv.writer(out, lineterminator=end)
+            writer.writerow(["_idx", "f_id", "item", "veg_or_non_veg"])
+            for i in range(400):
+                writer.writerow([i, f"fd{number}_{i}", rng.choice(texts), rng.choice(['5" pipe', "veg", "a\nb", ""])])
+            folder.put(f"{number}.csv", out.getvalue())
+    folder.put("plain.csv", HEADER + "".join(f"{i},p{i},x,veg\n" for i in range(200)))
+    files = [str(folder.base / "landing" / "food" / n) for n in ("0.csv", "1.csv")]
+    found = records.lines(spark, files, landing.file_key("food"))
+    assert found.select("file_name", "block").distinct().count() > 40
+    assert folder.load("r1").total_rows == 1000
+    whole = landing.text_reader(spark.read, landing.SOURCE_COLUMNS["food"]).csv(files)
+    want = [tuple(r) for r in landing.null_tokens(whole, landing.SOURCE_COLUMNS["food"]).collect()]
+    got = folder.raw().filter("f_id like 'fd%'").select(*landing.SOURCE_COLUMNS["food"]).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_states_by_hand(spark):
+    """The maps of single lines, composed over blocks of any cut, against a walk over the whole file."""
+    rng = random.Random(5)
+    for _ in range(6):
+        values = ["".join(rng.choices(',"a', k=rng.randrange(0, 7))) for _ in range(60)]
+        df = spark.createDataFrame(list(enumerate(values)), "i long, value string").select(
+            "value", records.state_after(F.col("value"), False).alias("o"), records.state_after(F.col("value"), True).alias("n"), "i"
+        )
+        maps = {r["i"]: (r["o"], r["n"]) for r in df.collect()}
+        rows = [("f", (i // 7) * 10, v) for i, v in enumerate(values)]
+        placed, ends = records.with_states(spark.createDataFrame(rows, "file_name string, block long, value string").coalesce(1))
+        state, want = False, []
+        for i in range(len(values)):
+            want.append((state, maps[i][state]))
+            state = maps[i][state]
+        got = placed.orderBy("block", "at").collect()
+        assert [(r["opened"], r["open"]) for r in got] == want and ends.first()["open"] == state
+
+
+def test_one_line_sources(folder):
+    """Where fields have no line breaks, an open line tears the file."""
+    folder.put("a.csv", HEADER + '1,fd1,"item, 1",\n')
+    folder.put("b.csv", HEADER + '1,fd2,"two\nlines",\n')
+    out = landing.load_sources(folder.spark, folder.landing, folder.warehouse, "r1", ["food"], one_line_sources=["food"])
+    assert (out.total_rows, out.failed_sources) == (1, ["food"])
 
 
 def test_rows_are_stamped(folder):

@@ -19,7 +19,7 @@ from tiffin.operators import enrich, quality, retrieve
 from tiffin.operators.percentiles import exact_percentiles, null_safe_left_join
 from tiffin.operators.topk import cosine_topk
 from tiffin.plans import catalog, daily, governed, marts, semantic, staging, trade
-from tiffin.session import scratch_dir
+from tiffin.session import scratch_dir, settings
 from tiffin.sources import control
 from tiffin.sources.landing import SOURCE_COLUMNS, load_sources, raw_table
 from tiffin.sources.tables import LayerTable, merged, newer_than, newest_time
@@ -631,11 +631,12 @@ def vector_upsert(spark, sf_dir):
 # --- loads --------------------------------------------------------------------
 
 
-def export_landing(spark, sf_dir, landing: str, sources: list[str]) -> None:
-    """Write the text tables of the sources as landing files."""
+def export_landing(spark, sf_dir, landing: str, sources: list[str], files: int | None = None) -> None:
+    """Write the text tables of the sources as landing files, of a given number or as many as Spark likes."""
     raw = trade.raw_tables(spark, sf_dir)
     for source in sources:
         rows = raw[source].select(*SOURCE_COLUMNS[source])
+        rows = rows.repartition(files) if files else rows
         writer = rows.write.option("header", True).option("escape", '"').option("nullValue", "")
         writer.option("emptyValue", '""').csv(f"{landing}/{source}")
 
@@ -682,6 +683,18 @@ def csv_load(spark, sf_dir):
     )
 
 
+@query
+def csv_split_load(spark, sf_dir):
+    """The same load from few files in many blocks, so that fields run over the ends of blocks."""
+    base = scratch_dir(spark, "csv_split_load")
+    export_landing(spark, sf_dir, f"{base}/landing", ["reviews"], files=2)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "64KB", "spark.sql.files.openCostInBytes": "0"}):
+        load_sources(spark, f"{base}/landing", f"{base}/warehouse", "run-1", ["reviews"])
+    return raw_table(spark, f"{base}/warehouse", "reviews").read().select(
+        "review_id", "rating", "review_date", F.md5("comment").alias("comment_md5"), "_batch_id", "_record_hash"
+    )
+
+
 @query
 def ingestion_runs(spark, sf_dir):
     """Three sources loaded by two runs: the second one finds nothing new."""
@@ -694,14 +707,17 @@ def ingestion_runs(spark, sf_dir):
     return runs.groupBy("run_id", "source", "status").agg(F.sum("row_count").alias("row_count"))
 
 
+TORN_FILES = 4
+
+
 @query
 def torn_load(spark, sf_dir):
-    """Whole files beside one whose quoted fields are never closed, loaded twice:
-    the torn file fails with no rows, both times, and the others load once."""
+    """Whole files beside files whose quoted fields are never closed, loaded twice:
+    the torn files fail with no rows, both times, and the others load once."""
     base = scratch_dir(spark, "torn_load")
     export_landing(spark, sf_dir, f"{base}/landing", ["food"])
-    torn = trade.table(spark, sf_dir, "part").select(F.format_string('0,fd%d,"%s,veg', "p_partkey", "p_name"))
-    torn.coalesce(1).write.mode("append").text(f"{base}/landing/food")
+    torn = trade.table(spark, sf_dir, "part").select(F.format_string('0,fd%d,"%s,veg', "p_partkey", "p_name").alias("value"))
+    torn.repartition(TORN_FILES, "value").write.mode("append").text(f"{base}/landing/food")
     for run in ("run-1", "run-2"):
         load_sources(spark, f"{base}/landing", f"{base}/warehouse", run, ["food"])
     runs = control.ingestion_runs(spark, f"{base}/warehouse").read()

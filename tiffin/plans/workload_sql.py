@@ -623,6 +623,8 @@ SELECT CAST(doc_id AS VARCHAR) AS review_id, rating, CAST(review_date AS VARCHAR
 FROM dated
 """
 
+SQL["csv_split_load"] = SQL["csv_load"]
+
 SQL["ingestion_runs"] = """
 WITH loaded AS (
   SELECT 'food' AS source, count(*) AS n FROM part
@@ -637,8 +639,8 @@ SQL["torn_load"] = """
 WITH failed AS (SELECT 'a quoted field is still open at the end of the file' AS error_message)
 SELECT 'run-1' AS run_id, 'SUCCEEDED' AS status, count(*) AS row_count, 0 AS failed_files, NULL AS error_message FROM part
 UNION ALL SELECT 'run-2', 'SKIPPED_ALREADY_LOADED', 0, 0, NULL
-UNION ALL SELECT 'run-1', 'FAILED', 0, 1, error_message FROM failed
-UNION ALL SELECT 'run-2', 'FAILED', 0, 1, error_message FROM failed
+UNION ALL SELECT 'run-1', 'FAILED', 0, 4, error_message FROM failed
+UNION ALL SELECT 'run-2', 'FAILED', 0, 4, error_message FROM failed
 """
 
 SQL["lineage_runs"] = """

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiffin.functions.cleaning import record_hash
-from tiffin.sources import control
+from tiffin.sources import control, records
 from tiffin.sources.tables import LayerTable, Piece, union_all
 
 # Sources and the column order of their files.
@@ -46,23 +46,21 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+# Fields go by position: missing trailing fields are NULL and extra ones dropped.
+# ``""`` is an empty text and a bare empty field is NULL, which the null marker
+# keeps apart.
+DIALECT = {
+    "escape": '"', "nullValue": "\u0001", "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false", "maxCharsPerColumn": "-1",
+}
+
+
 def text_reader(reader, columns: Sequence[str], one_line: bool = False):
-    """The landing dialect. Fields go by position: the header is skipped, missing
-    trailing fields are NULL and extra ones dropped. ``""`` is an empty text and
-    a bare empty field is NULL, which the null marker keeps apart.
+    """The landing dialect; the header is skipped.
 
-    Fields may hold line breaks, so a file is read by one task; ``one_line`` is
-    for sources known to have none, whose large files can then be split."""
-    return (
-        reader.schema(text_schema(columns))
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", not one_line)
-        .option("nullValue", "\u0001")
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
+    Without ``one_line`` fields may hold line breaks, and a file is read by one
+    task; ``read_landing_csv`` and the stream use it where that is stated."""
+    return reader.schema(text_schema(columns)).options(**DIALECT, header=True, multiLine=not one_line)
 
 
 def file_key(source: str):
@@ -75,16 +73,23 @@ def null_tokens(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)) for c in columns})
 
 
-def read_landing_csv(
-    spark: SparkSession, paths: str | Sequence[str], source: str, one_line: bool = False
-) -> DataFrame:
-    """Text columns of a source plus ``_source_file``."""
+def read_landing_csv(spark: SparkSession, paths: str | Sequence[str], source: str) -> DataFrame:
+    """Text columns of a source plus ``_source_file``, from files whose every line is a record."""
     columns = SOURCE_COLUMNS[source]
-    reader = text_reader(spark.read, columns, one_line).option("recursiveFileLookup", True)
+    reader = text_reader(spark.read, columns, one_line=True).option("recursiveFileLookup", True)
     rows = reader.csv(paths if isinstance(paths, str) else list(paths))
     return null_tokens(rows.withColumn("_source_file", file_key(source)), columns)
 
 
+def parsed_records(found: DataFrame, source: str) -> DataFrame:
+    """Text columns of a source plus ``_source_file`` from (file_name, record)."""
+    columns = SOURCE_COLUMNS[source]
+    ddl = ", ".join(f"`{c}` string" for c in columns)
+    fields = F.from_csv("record", ddl, DIALECT).alias("fields")
+    rows = found.select(F.col("file_name").alias("_source_file"), fields).select("fields.*", "_source_file")
+    return null_tokens(rows, columns)
+
+
 def stamp(rows: DataFrame, source: str, batch_id: str, loaded_at: datetime | None = None, compat: bool = False):
     """Add load time, batch and row hash to the text columns."""
     columns = SOURCE_COLUMNS[source]
@@ -245,11 +250,9 @@ def _write_files(
     while groups:
         group = groups.pop()
         try:
-            torn = torn_files(spark, [todo[f] for f in group], source, one_line)
+            rows, torn = _whole_rows(spark, {f: todo[f] for f in group}, source, one_line)
             failed |= {f: OPEN_QUOTE for f in torn}
-            whole = [f for f in group if f not in failed]
-            if whole:
-                rows = read_landing_csv(spark, [todo[f] for f in whole], source, one_line)
+            if rows is not None:
                 write = table.append(stamp(rows, source, run_id, loaded_at), part=run_id)
                 written += [p for p in table.pieces() if p.write == write]
         except Exception as exc:
@@ -268,25 +271,27 @@ def _write_files(
     return written, failed
 
 
-def torn_files(spark: SparkSession, paths: Sequence[str], source: str, one_line: bool = False) -> set[str]:
-    """Names of the files that end inside a quoted field.
+def _whole_rows(spark, todo: dict[str, str], source: str, one_line: bool) -> tuple[DataFrame | None, set[str]]:
+    """Rows of the files (name: path) that are whole, and the names of those that end inside a quoted field.
 
-    Read whole, as the load of fields with line breaks does; line by line where
-    fields have none. Closed quoted fields are taken out from the left; what
-    then opens a field and is never closed tears the file.
+    Files without an open line are read line by line. In the others the state
+    before each line is found block by block and lines are put together to
+    records; where fields are known to have no line breaks, an open line tears
+    the file.
     """
-    text = spark.read.option("recursiveFileLookup", True).text(list(paths), wholetext=not one_line)
-    field_start, field_end = r"(?<![^,\r\n])", r"(?![^,\r\n])"
-    bare = F.replace("value", F.lit('""'), F.lit(""))
-    left = F.regexp_replace(bare, field_start + '"[^"]*+"' + field_end, "")
-    return {
-        r["file_name"]
-        for r in text.select(file_key(source).alias("file_name"), left.alias("left"))
-        .filter(F.col("left").rlike(field_start + r'"[^"]*+\z'))
-        .select("file_name")
-        .distinct()
-        .collect()
-    }
+    spanning = records.files_with_open_lines(spark, list(todo.values()), file_key(source))
+    plain = [p for f, p in todo.items() if f not in spanning]
+    rows = read_landing_csv(spark, plain, source) if plain else None
+    if one_line or not spanning:
+        return rows, spanning
+    found = records.lines(spark, [p for f, p in todo.items() if f in spanning], file_key(source))
+    placed, ends = records.with_states(found)
+    torn = {r["file_name"] for r in ends.filter("torn").select("file_name").collect()}
+    if torn != spanning:
+        kept = placed.join(ends.filter("not torn").select("file_name"), "file_name", "left_semi")
+        joined = parsed_records(records.records(kept), source)
+        rows = joined if rows is None else rows.unionByName(joined)
+    return rows, torn
 
 
 def _marks(spark, warehouse) -> LayerTable:
