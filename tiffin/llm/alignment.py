@@ -35,12 +35,13 @@ FAN_IN = 8  # fragments composed at a time
 BLOCK_LINKS = 1_500_000  # id pairs of the documents that are held together
 BLOCK_DOCS = 4_096
 MEMO_BYTES = 64 << 20
-ENTRY_BYTES = 420  # what a remembered part takes beside its text and ids
-FEW_LINKS = 64  # above, the ids of a group are counted first
+ENTRY_BYTES = 280  # what a remembered stretch takes beside its text and ids
+MANY_LINKS = 4_096  # above, the ids of a group are counted before they are paired
 ROWS = 256  # texts worked on together
 
 VISIBLE = r"[!-~\xa1-\xac\xae-ɏ]"
 CUT = re.compile(rf"(?<={VISIBLE})(?=[ \n]{VISIBLE})")
+PLAIN = re.compile(rf"[ \n]{VISIBLE}+")
 # Texts without these have a safe cut before every blank and line feed.
 ODD = re.compile(r"  | \n|\n |\n\n|[\x00-\x09\x0b-\x1f\x7f-\xa0\xad]|[^\x00-ɏ]")
 
@@ -96,37 +97,8 @@ def summed(parts: list[Part]) -> Part:
     )
 
 
-def aligned(a: list[int], b: list[int], length_a: list[int], length_b: list[int]) -> Part:
-    """Groups of two id sequences over the same bytes."""
-    groups, codes, times, n_links = [], [], [], 0
-    at_a = at_b = end_a = end_b = from_a = from_b = 0
-    while at_a < len(a) or at_b < len(b):
-        if end_a <= end_b and at_a < len(a):
-            end_a += length_a[a[at_a]]
-            at_a += 1
-        else:
-            end_b += length_b[b[at_b]]
-            at_b += 1
-        if end_a == end_b:
-            ga, gb = a[from_a:at_a], b[from_b:at_b]
-            from_a, from_b = at_a, at_b
-            groups.append(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)))
-            n_links += len(ga) * len(gb)
-            if len(ga) * len(gb) <= FEW_LINKS:
-                codes += [x << 32 | y for x in ga for y in gb]
-            else:
-                (ua, na), (ub, nb) = (np.unique(np.array(g, np.int64), return_counts=True) for g in (ga, gb))
-                times += [(int(x << 32 | y), int(i * j)) for x, i in zip(ua, na) for y, j in zip(ub, nb)]
-    occ = [1] * len(codes) + [t for _, t in times]
-    codes += [c for c, _ in times]
-    return Part(
-        len(a), len(b), len(groups), n_links, ";".join(groups),
-        np.array(codes, np.int64).tobytes(), np.array(occ, np.int64).tobytes(),
-    )
-
-
 class Aligner:
-    """Both tokenizers of a worker, and what the task has aligned so far."""
+    """Both tokenizers of a worker, and the ids of the stretches between cuts that the task has met."""
 
     def __init__(self, first: str, second: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -139,7 +111,11 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=second)
         self.bytes_a, self.bytes_b = bytes_of_first(self.a), bytes_of_second(self.b)
-        self.length_a, self.length_b = (list(map(len, x)) for x in (self.bytes_a, self.bytes_b))
+        self.length_a, self.length_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        # How an id is written: in a group's first half, as its last of that half, in the second half, as its last.
+        spelled = [f"{i}{end}" for i in range(len(self.bytes_a)) for end in ",|"]
+        spelled += [f"{i}{end}" for i in range(len(self.bytes_b)) for end in ",;"]
+        self.spelled = np.array(spelled, dtype=object)
         pieces = [x.decode("utf-8", "replace") for i, x in enumerate(self.bytes_b) if not self.b.is_byte(i)]
         # A piece with a blank inside or a line feed could reach over a cut.
         self.cuts = not any(re.search(r"[^ ] |\n", p) for p in pieces)
@@ -147,53 +123,129 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        self.memo: dict[str, Part] = {}
+        self.memo: dict[str, tuple[bytes, bytes] | None] = {}
         self.memo_bytes = 0
 
     def units(self, text: str) -> list[str]:
         """``text`` between its safe cuts."""
         if not self.cuts:
             return [text]
-        if ODD.search(text) or not text:
-            return CUT.split(text)
-        pieces = text.replace("\n", " \n").split(" ")
-        head = pieces[0]
-        rest = [p if p[:1] == "\n" else " " + p for p in pieces[1:]]
-        if not rest[-1:] or len(rest[-1]) == 1:  # a blank or line feed at the end has no visible character after it
+        if ODD.search(text) or text[-1] in " \n":
             return CUT.split(text)
+        head, *rest = text.replace("\n", " \n").split(" ")
+        rest = [p if p[:1] == "\n" else " " + p for p in rest]
         return [head, *rest] if head else rest
 
     def learn(self, units: set[str]) -> None:
-        """Align the units that the task has not met."""
+        """Encode the units that the task has not met: plain ones in a row, which is a text with just these cuts."""
         if self.memo_bytes > MEMO_BYTES:
             self.forget()
         new = [u for u in units if u not in self.memo]
-        if not new:
-            return
-        ids_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
-        # The library puts a blank before every text; a line feed keeps it off as a piece of its own.
-        ids_b = self.b.encode([u[1:] if u[0] == " " else u for u in new], num_threads=1)
-        for u, a, b in zip(new, ids_a, ids_b, strict=True):
-            if u[0] != " ":
-                b = b[1:] if b[:1] == self.lead[:1] else [-1]
-            data = u.encode("utf-8", "surrogatepass")
-            good = -1 not in b and b"".join([self.bytes_a[i] for i in a]) == data
-            good = good and b"".join([self.bytes_b[i] for i in b]) == data
-            part = aligned(a, b, self.length_a, self.length_b) if good else Part(bad=True)
-            self.memo[u] = part
-            self.memo_bytes += ENTRY_BYTES + 2 * len(u) + len(part.text) + len(part.codes) + len(part.occ)
+        plain = [u for u in new if PLAIN.fullmatch(u)] if self.cuts else []
+        found = self._in_a_row(plain) if plain else {}
+        left = [u for u in new if u not in found]
+        if left:
+            ids_a = [e.ids for e in self.a.encode_batch_fast(left, add_special_tokens=False)]
+            # The library puts a blank before every text; a line feed keeps it off as a piece of its own.
+            ids_b = self.b.encode([u[1:] if u[0] == " " else u for u in left], num_threads=1)
+            for u, a, b in zip(left, ids_a, ids_b, strict=True):
+                if u[0] != " ":
+                    b = b[1:] if b[:1] == self.lead[:1] else []
+                data = u.encode("utf-8", "surrogatepass")
+                same = b"".join([self.bytes_a[i] for i in a]) == data == b"".join([self.bytes_b[i] for i in b])
+                found[u] = (np.array(a, np.uint32).tobytes(), np.array(b, np.uint32).tobytes()) if same else None
+        self.memo.update(found)
+        self.memo_bytes += sum(ENTRY_BYTES + 2 * len(u) + 12 * len(u) // 3 for u in found)
+
+    def _in_a_row(self, plain: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        """Ids of the units, encoded as one text and taken apart at their ends; none if these are no ends of tokens."""
+        text = " x" + "".join(plain)
+        a = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        b = np.array(self.b.encode(text[1:]), np.uint32)
+        data = text.encode("utf-8", "surrogatepass")
+        if b"".join([self.bytes_a[i] for i in a]) != data or b"".join([self.bytes_b[i] for i in b]) != data:
+            return {}
+        ends = np.cumsum([2, *[len(u.encode()) for u in plain]])
+        cut = []
+        for ids, length in ((a, self.length_a), (b, self.length_b)):
+            reached = np.cumsum(length[ids])
+            at = np.searchsorted(reached, ends)
+            if not np.array_equal(reached[at], ends):
+                return {}
+            cut.append((at + 1).tolist())
+        return {
+            u: (a[i:j].tobytes(), b[k:m].tobytes())
+            for u, i, j, k, m in zip(plain, cut[0], cut[0][1:], cut[1], cut[1][1:], strict=False)
+        }
 
     def parts(self, texts: list[str]) -> list[Part]:
         """What each text, from a cut to a cut, aligns to; an empty one to nothing."""
-        split = [self.units(t) if t else [] for t in texts]
-        out = []
-        for at in range(0, len(split), ROWS):
-            rows = split[at : at + ROWS]
-            self.learn(set().union(*rows))
-            get = self.memo.__getitem__
-            out += [summed([get(u) for u in units]) if units else Part() for units in rows]
+        out: list[Part] = []
+        for at in range(0, len(texts), ROWS):
+            split = [self.units(t) if t else [] for t in texts[at : at + ROWS]]
+            self.learn(set().union(*split))
+            held = [list(map(self.memo.__getitem__, units)) for units in split]
+            good = [None not in ids for ids in held]
+            rows = [ids if ok else [] for ids, ok in zip(held, good, strict=True)]
+            found = self.aligned([b"".join([a for a, _ in ids]) for ids in rows], [b"".join([b for _, b in ids]) for ids in rows])
+            out += [part if ok else Part(bad=True) for part, ok in zip(found, good, strict=True)]
         return out
 
+    def aligned(self, ids_a: list[bytes], ids_b: list[bytes]) -> list[Part]:
+        """Groups and links of texts, each by the ids of both tokenizers over the same bytes.
+
+        The texts are laid in a row; tokens of both that end at the same byte
+        end a group.
+        """
+        n_a, n_b = (np.array([len(x) // 4 for x in ids], np.int64) for ids in (ids_a, ids_b))
+        a, b = (np.frombuffer(b"".join(ids), np.uint32).astype(np.int64) for ids in (ids_a, ids_b))
+        if not len(a):
+            return [Part() for _ in ids_a]
+        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        common = end_a[end_b[np.minimum(np.searchsorted(end_b, end_a), len(b) - 1)] == end_a]
+        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
+        of_a, of_b = (np.bincount(g, minlength=len(common)) for g in (group_a, group_b))
+        first_b, stop_a = np.cumsum(of_b) - of_b, np.cumsum(of_a)
+        spelled = np.empty(len(a) + len(b), np.int64)
+        spelled[np.arange(len(a)) + first_b[group_a]] = 2 * a + (end_a == common[group_a])
+        spelled[np.arange(len(b)) + stop_a[group_b]] = 2 * len(self.bytes_a) + 2 * b + (end_b == common[group_b])
+        pieces = self.spelled[spelled]
+        doc_a = np.repeat(np.arange(len(n_a)), n_a)
+        doc_group = doc_a[stop_a - 1]
+        links = of_a * of_b
+        codes, occ, owner = self._links(a, b, group_a, of_a, of_b, first_b, stop_a, doc_a, doc_group)
+        n_groups = np.bincount(doc_group, minlength=len(n_a))
+        total = np.r_[0, np.cumsum(links)][np.r_[0, np.cumsum(n_groups)]]
+        ends, cuts = np.cumsum(n_a + n_b).tolist(), np.searchsorted(owner, np.arange(len(n_a) + 1)).tolist()
+        return [
+            Part(
+                int(n_a[i]), int(n_b[i]), int(n_groups[i]), int(total[i + 1] - total[i]),
+                "".join(pieces[ends[i] - n_a[i] - n_b[i] : ends[i]].tolist())[:-1],
+                codes[cuts[i] : cuts[i + 1]].tobytes(), occ[cuts[i] : cuts[i + 1]].tobytes(),
+            )
+            for i in range(len(n_a))
+        ]
+
+    def _links(self, a, b, group_a, of_a, of_b, first_b, stop_a, doc_a, doc_group) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct id pairs of each text (a << 32 | b), how often each is linked, and the text; sorted by text and pair."""
+        size, every = len(self.bytes_b), len(self.bytes_a) * len(self.bytes_b)
+        large = of_a * of_b > MANY_LINKS
+        spread = np.where(large[group_a], 0, of_b[group_a])
+        place = np.repeat(first_b[group_a] - np.cumsum(spread) + spread, spread) + np.arange(spread.sum())
+        keys = [np.repeat(doc_a * every + a * size, spread) + b[place]]
+        times = [np.ones(len(keys[0]), np.int64)]
+        for g in np.flatnonzero(large):  # ids of such a group are counted first
+            ua, na = np.unique(a[stop_a[g] - of_a[g] : stop_a[g]], return_counts=True)
+            ub, nb = np.unique(b[first_b[g] : first_b[g] + of_b[g]], return_counts=True)
+            keys.append((doc_group[g] * every + ua[:, None] * size + ub[None, :]).ravel())
+            times.append((na[:, None] * nb[None, :]).ravel())
+        key, weight = np.concatenate(keys), np.concatenate(times)
+        order = np.argsort(key, kind="stable")
+        key, weight = key[order], weight[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        pair = key[first] % every
+        return (pair // size) << 32 | (pair % size), np.add.reduceat(weight, first), key[first] // every
+
 
 def aligner(first: str, second: str) -> Aligner:
     held = sys.modules.setdefault("tiffin_worker_aligners", SimpleNamespace(by_file={}))
