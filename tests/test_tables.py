@@ -56,6 +56,41 @@ def test_only_touched_partitions_are_rewritten(spark, table):
     assert rows(table.read(["c"])) == [(4, "c4"), (6, "c6")]
 
 
+def test_an_upsert_reads_only_directories_that_may_hold_its_keys(spark, tmp_path):
+    """Ranges of keys first, then the Bloom filters; what is left out surely holds none of the keys."""
+    month = F.floor(F.col("k") / 1000)
+    table = LayerTable(spark, str(tmp_path / "t"), "k bigint, v string", keys=["k"])
+    # The even keys of a thousand in one directory, some odd ones of all thousands in the last.
+    old = spark.range(0, 20_000, 2).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    table.replace(old, part_by=month)
+    assert all(p.rows == 500 and int(p.high) - int(p.low) == 998 for p in table.pieces())
+    asked = lambda *keys: sorted(int(p.part) for p in table.candidates(table.pieces(), frame(spark, [(k,) for k in keys], "k bigint"), ["k"]))
+    assert asked(3000, 3998) == [3]
+    assert asked(2500, 7500) == [2, 7]  # the ranges of 3 to 6 lie between
+    assert asked(3001) == [] and asked(50_000) == []
+    for piece in table.pieces():
+        low = int(piece.low)
+        assert int(piece.part) in asked(low, low + 1)
+    table.upsert(frame(spark, [(2500, "new"), (2501, "new"), (99_000, "new")]), ["k"], part_by=month)
+    got = {r.k: r.v for r in table.read().collect()}
+    assert len(got) == 10_002 and got[2500] == got[2501] == got[99_000] == "new" and got[2502] == "old"
+    assert asked(99_000) == [99] and asked(2501) == [2]
+    assert len(spark.read.parquet(*[f"{table.root}/keys/{w}" for w in {p.write for p in table.pieces()}]).select("path").distinct().collect()) >= 20
+    table.expire()
+    assert asked(2500) == [2]
+
+
+def test_directories_without_statistics_are_read(spark, tmp_path):
+    plain = LayerTable(spark, str(tmp_path / "t"), "k bigint, v string")
+    plain.replace(frame(spark, [(1, "a"), (2, "b")]), part_by=F.col("v"))
+    table = LayerTable(spark, plain.root, "k bigint, v string", keys=["k"])
+    table.append(frame(spark, [(3, "c")]), part="c")
+    found = table.candidates(table.pieces(), frame(spark, [(9,)], "k bigint"), ["k"])
+    assert sorted(p.part for p in found) == ["a", "b"]
+    table.upsert(frame(spark, [(2, "B")]), ["k"], part_by=F.col("v"))
+    assert rows(table.read()) == [(1, "a"), (2, "B"), (3, "c")]
+
+
 def test_a_row_may_move_to_another_partition(spark, table):
     by = F.left("v", F.lit(1))
     table.replace(frame(spark, [(1, "a1"), (2, "b2")]), part_by=by)

@@ -6,7 +6,7 @@ summary row is written. Tables are Parquet, one folder per layer.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.operators import enrich, quality
-from tiffin.plans import catalog, marts, semantic, staging
+from tiffin.plans import catalog, changes, marts, semantic, staging
 from tiffin.sources import control
 from tiffin.sources.landing import SOURCE_COLUMNS, load_sources, raw_table
-from tiffin.sources.tables import LayerTable, incremental_rows
+from tiffin.sources.tables import Change, LayerTable, incremental_rows
 
 
 MARTS = [
@@ -89,13 +89,17 @@ def tidy(spark: SparkSession, config: DailyConfig) -> None:
     """Delete what only snapshots before the last two use, so that tables do not
     grow by the number of runs. Readers of the run before still find their files."""
     names = {"staging": [f"stg_{s}" for s in SOURCE_COLUMNS], "marts": [*MARTS, "mart_review_insights"]}
+    names["marts"].append("sums_daily_city_revenue")
+    names["raw"] = list(SOURCE_COLUMNS)
+    names["control"] = [f"staged_{s}" for s in SOURCE_COLUMNS]
+    names["control"] += ["views_applied", "ingestion_runs", "lineage_runs", "recorded_writes", "pipeline_runs"]
     for layer, tables in names.items():
         for name in tables:
             table(spark, config, layer, name).expire(keep=2)
 
 
-def table(spark: SparkSession, config: DailyConfig, layer: str, name: str) -> LayerTable:
-    return LayerTable(spark, f"{config.warehouse}/{layer}/{name}")
+def table(spark: SparkSession, config: DailyConfig, layer: str, name: str, keys: Sequence[str] = ()) -> LayerTable:
+    return LayerTable(spark, f"{config.warehouse}/{layer}/{name}", keys=keys)
 
 
 def _write_all(config: DailyConfig, jobs: list[Callable[[], None]]) -> None:
@@ -119,15 +123,18 @@ def load(spark: SparkSession, config: DailyConfig, state: RunState) -> None:
 
 
 def stage(spark: SparkSession, config: DailyConfig) -> dict[str, DataFrame]:
-    """Staging tables, each computed once and written: checks, marts and the
+    """Staging tables, brought up to date from the raw rows of this run and written: checks, marts and the
     enrichment all read them."""
-    raw = {s: raw_table(spark, config.warehouse, s).read() for s in SOURCE_COLUMNS}
-    tables = {n: table(spark, config, "staging", n) for n in [f"stg_{s}" for s in SOURCE_COLUMNS]}
-    first = {f"stg_{s}": model(raw[s]) for s, model in staging.STAGING.items()}
-    _write_all(config, [lambda n=n, df=df: tables[n].replace(df) for n, df in first.items()])
-    # Reviews look up the city of their restaurant in the written table.
-    tables["stg_reviews"].replace(staging.stg_reviews(raw["reviews"], tables["stg_restaurants"].read()))
-    return {n: t.read() for n, t in tables.items()}
+    first = [s for s in SOURCE_COLUMNS if s not in ("restaurants", "reviews")]
+    found: dict[str, Change | None] = {}
+
+    def restaurants_then_reviews() -> None:  # reviews look up the city of their restaurant in the written table
+        found["restaurants"] = changes.stage_source(spark, config.warehouse, "restaurants")
+        changes.stage_source(spark, config.warehouse, "reviews", found["restaurants"])
+
+    one = [lambda s=s: changes.stage_source(spark, config.warehouse, s) for s in first]
+    _write_all(config, [restaurants_then_reviews, *one])
+    return {f"stg_{s}": changes.staging_table(spark, config.warehouse, s).read() for s in SOURCE_COLUMNS}
 
 
 def check_staging(spark: SparkSession, config: DailyConfig, staged: dict[str, DataFrame], state: RunState) -> None:
@@ -142,23 +149,31 @@ def check_staging(spark: SparkSession, config: DailyConfig, staged: dict[str, Da
 
 def merge_fact(
     target: LayerTable, rows: DataFrame, key: str, time_column: str, lookback: str | None = None
-) -> None:
-    """First run: everything. Later runs: rows newer than the target, by key.
+) -> Change | None:
+    """First run: everything, and None. Later runs: rows newer than the target, by key, and what they changed.
     Facts are kept by month, so a merge rewrites only months it has to."""
     month = F.date_format(time_column, "yyyy-MM")
     if not target.exists():
         target.replace(rows, part_by=month)
-        return
-    target.upsert(incremental_rows(rows, target, time_column, lookback), [key], part_by=month)
+        return None
+    return target.upsert(incremental_rows(rows, target, time_column, lookback), [key], part_by=month)
 
 
 def build_marts(
     spark: SparkSession, config: DailyConfig, staged: dict[str, DataFrame], state: RunState
 ) -> dict[str, DataFrame]:
-    def gold(name: str) -> LayerTable:
-        return table(spark, config, "marts", name)
+    def gold(name: str, keys: Sequence[str] = ()) -> LayerTable:
+        return table(spark, config, "marts", name, keys)
 
     orders, items = staged["stg_orders"], staged["stg_order_items"]
+    order_facts = gold("fact_orders", ["order_id"])
+    version = order_facts.version()
+    merged: dict[str, Change | None] = {}
+
+    def merge_orders() -> None:
+        rows = marts.fact_orders(orders)
+        merged["orders"] = merge_fact(order_facts, rows, "order_id", "order_timestamp", config.lookback)
+
     _write_all(
         config,
         [
@@ -166,12 +181,10 @@ def build_marts(
             lambda: gold("dim_restaurants").replace(marts.dim_restaurants(staged["stg_restaurants"])),
             lambda: gold("dim_food").replace(marts.dim_food(staged["stg_food"])),
             lambda: gold("dim_date").replace(marts.dim_date(spark)),
+            merge_orders,
             lambda: merge_fact(
-                gold("fact_orders"), marts.fact_orders(orders), "order_id", "order_timestamp", config.lookback
-            ),
-            lambda: merge_fact(
-                gold("fact_order_items"), marts.fact_order_items(items, orders), "order_item_id", "order_ts",
-                config.lookback,
+                gold("fact_order_items", ["order_item_id"]), marts.fact_order_items(items, orders), "order_item_id",
+                "order_ts", config.lookback,
             ),
         ],
     )
@@ -180,7 +193,7 @@ def build_marts(
     _write_all(
         config,
         [
-            lambda: gold("mart_daily_city_revenue").replace(marts.mart_daily_city_revenue(facts)),
+            lambda: changes.refresh_revenue(spark, config.warehouse, order_facts, merged["orders"], version),
             lambda: gold("mart_restaurant_performance").replace(marts.mart_restaurant_performance(facts, restaurants)),
             lambda: gold("mart_delivery_sla").replace(marts.mart_delivery_sla(facts, late)),
         ],

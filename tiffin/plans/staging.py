@@ -81,6 +81,11 @@ def stg_menu(raw: DataFrame) -> DataFrame:
     )
 
 
+def latest_good_orders(raw: DataFrame) -> DataFrame:
+    """The raw row that staging takes of each order."""
+    return _latest_by_number(raw, "order_id").drop("_key")
+
+
 def stg_orders(raw: DataFrame) -> DataFrame:
     return _latest_by_number(raw, "order_id").select(
         F.col("_key").alias("order_id"),

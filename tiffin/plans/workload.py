@@ -242,6 +242,18 @@ def fact_orders_lookback(spark, sf_dir):
     return target.read()
 
 
+@query
+def fact_orders_skipping(spark, sf_dir):
+    """The lookback merge into a table that keeps statistics of its keys: months
+    whose directories cannot hold an order of the batch are not read."""
+    heads = trade.order_heads(spark, sf_dir)
+    target = LayerTable(spark, scratch_dir(spark, "fact_orders"), keys=["order_id"])
+    base = _first_drop(heads).withColumn("order_status", F.lit("Placed")).select(*FACT_COLUMNS)
+    daily.merge_fact(target, base, "order_id", "order_timestamp")
+    daily.merge_fact(target, heads.select(*FACT_COLUMNS), "order_id", "order_timestamp", "365 days")
+    return target.read()
+
+
 # --- metrics and governed SQL -----------------------------------------------
 
 
@@ -757,3 +769,36 @@ def daily_run(spark, sf_dir):
     daily.run(spark, config)
     summary = control.pipeline_runs(spark, config.warehouse).read()
     return summary.select("run_id", "status", "rows_ingested", "dq_status", "ai_success_count", "ai_fail_count")
+
+
+def _two_days(spark, sf_dir, base: str) -> daily.DailyConfig:
+    """Two days of files: most orders with their first status, then all that changed and the rest."""
+    raw = trade.raw_tables(spark, sf_dir)
+    first = F.pmod(F.xxhash64("order_id"), F.lit(10)) < 8
+    again = first & (F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0)
+    orders = staging.latest_good_orders(raw["orders"])
+    placed = orders.filter(first).withColumn("order_status", F.when(again, F.lit("Cancelled")).otherwise(F.col("order_status")))
+    days = [placed, orders.filter(~first | again)]
+    config = daily.DailyConfig(f"{base}/landing", f"{base}/warehouse", "day-1", lookback="36500 days")
+    export_landing(spark, sf_dir, config.landing, [s for s in SOURCE_COLUMNS if s != "orders"])
+    for number, rows in enumerate(days, 1):
+        rows.select(*SOURCE_COLUMNS["orders"]).write.mode("append").option("header", True).option("escape", '"').option(
+            "nullValue", ""
+        ).option("emptyValue", '""').csv(f"{config.landing}/orders")
+        config.run_id = f"day-{number}"
+        state = daily.RunState()
+        daily.load(spark, config, state)
+        daily.build_marts(spark, config, daily.stage(spark, config), state)
+    return config
+
+
+@query
+def daily_two_days(spark, sf_dir):
+    """Staging, facts and the revenue mart after a second day that was merged in: what the mart says of each day and
+    city, and what the facts hold of it."""
+    config = _two_days(spark, sf_dir, scratch_dir(spark, "two_days"))
+    mart, facts = (daily.table(spark, config, "marts", n).read() for n in ("mart_daily_city_revenue", "fact_orders"))
+    held = facts.groupBy("order_date", "city").agg(
+        F.count("*").alias("fact_rows"), F.count_if("is_delivered").alias("fact_delivered")
+    )
+    return mart.join(held, ["order_date", "city"], "left")

@@ -692,3 +692,10 @@ FROM embeddings e JOIN centroids ON query_id = label
 SQL["title_case_texts"] = f"""
 SELECT doc_id, md5(replace({title_case("text")}, chr(7838), 'SS')) AS fingerprint FROM documents
 """
+
+SQL["fact_orders_skipping"] = SQL["fact_orders_lookback"]
+
+SQL["daily_two_days"] = f"""
+WITH {HEADS}, mart AS ({REVENUE})
+SELECT *, orders AS fact_rows, delivered_orders AS fact_delivered FROM mart
+"""

@@ -16,13 +16,15 @@ import json
 import re
 import uuid
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiffin.sources import keystats
+
 _PART = "_part"
 
 
@@ -37,11 +39,33 @@ class Piece:
     part: str
     path: str
     write: str
+    # Of a table that keeps statistics of its keys: rows, and least and greatest first key.
+    rows: int | None = None
+    low: str | None = None
+    high: str | None = None
+
+
+@dataclass(frozen=True)
+class Change:
+    """What an upsert did: the old versions of the rows it replaced, and its rows. Readable until ``expire``."""
+
+    before: DataFrame
+    after: DataFrame
+
+    @staticmethod
+    def none(like: DataFrame) -> Change:
+        return Change(like.limit(0), like.limit(0))
 
 
 class LayerTable:
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | str | None = None) -> None:
+    """``keys``: keep statistics of these columns beside the snapshot, so that an upsert reads only directories
+    that may hold its keys (``keystats``); directories written without them are always read."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, schema: T.StructType | str | None = None, keys: Sequence[str] = ()
+    ) -> None:
         self.spark = spark
+        self.keys = list(keys)
         self.root = root.rstrip("/")
         self._declared = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
 
@@ -60,6 +84,10 @@ class LayerTable:
     def _version(self) -> int:
         return max((int(n) for n in self._names(f"{self.root}/snapshots") if n.isdigit()), default=0)
 
+    def version(self) -> int:
+        """Number of the newest snapshot."""
+        return self._version()
+
     def _snapshot(self) -> tuple[list[Piece], T.StructType | None]:
         version = self._version()
         return self._load(version) if version else ([], self._declared)
@@ -133,6 +161,26 @@ class LayerTable:
         names = [n for n in self._names(f"{self.root}/{base}") if n.startswith(f"{_PART}=")]
         return [Piece(n[len(_PART) + 1 :], f"{base}/{n}", write) for n in sorted(names)]
 
+    def _described(self, written: list[Piece], schema: T.StructType) -> list[Piece]:
+        """The directories just written, with the statistics of their keys."""
+        if not self.keys or not written:
+            return written
+        held = self._frame(written, schema).select(*self.keys, self._directory().alias("path"))
+        spans = {r["path"]: r for r in keystats.spans(held, self.keys).collect()}  # a row per directory
+        sizes = [(path, keystats.bits_for(r["rows"])) for path, r in spans.items()]
+        if sizes:
+            bits = self.spark.createDataFrame(sizes, "path string, bits bigint")
+            keystats.filters(held, bits, self.keys).write.parquet(f"{self.root}/keys/{written[0].write}")
+        found = [spans.get(p.path) for p in written]
+        return [
+            replace(p, rows=r["rows"], low=r["low"], high=r["high"]) if r else replace(p, rows=0)
+            for p, r in zip(written, found, strict=True)
+        ]
+
+    @staticmethod
+    def _directory() -> Column:
+        return F.regexp_extract(F.col("_metadata.file_path"), r"(data/[0-9a-f]{32}(?:/_part=[^/]+)?)/[^/]+$", 1)
+
     def _merged_schema(self, new: T.StructType) -> T.StructType:
         old = self._snapshot()[1]
         if old is None:
@@ -148,17 +196,23 @@ class LayerTable:
     def replace(self, df: DataFrame, part: str = "all", part_by: Column | None = None) -> None:
         """Make ``df`` the whole content."""
         written = self._write(df, part, part_by)
-        self._commit(written, df.schema)
+        self._commit(self._described(written, df.schema), df.schema)
 
     def append(self, df: DataFrame, part: str = "all", part_by: Column | None = None) -> str:
         """Add rows; returns the id of the write."""
         schema = self._merged_schema(df.schema)
         written = self._write(df, part, part_by)
-        self._commit(self.pieces() + written, schema)
+        self._commit(self.pieces() + self._described(written, schema), schema)
         return written[0].write if written else ""
 
-    def upsert(self, df: DataFrame, keys: Sequence[str], part_by: Column | None = None) -> None:
-        """Update the rows whose keys match, insert the others.
+    def replace_parts(self, df: DataFrame, parts: Sequence[str], part_by: Column | None = None) -> None:
+        """Make ``df`` the whole content of the partitions ``parts``; the others stay."""
+        schema = self._merged_schema(df.schema)
+        kept = [p for p in self.pieces() if p.part not in set(parts)]
+        self._commit(kept + self._described(self._write(df, "all", part_by), schema), schema)
+
+    def upsert(self, df: DataFrame, keys: Sequence[str], part_by: Column | None = None) -> Change:
+        """Update the rows whose keys match (a missing key is a key like any other), insert the others.
 
         ``part_by`` must give the same partition label each time for a row.
         Only partitions that hold a matched key are rewritten; new rows go to
@@ -177,23 +231,52 @@ class LayerTable:
         touched = self._parts_with(pieces, batch.select(*keys), keys)
         kept = [p for p in pieces if p.part not in touched]
         result = batch
+        before = self._frame([], schema)
         if touched:
-            old = self.read(touched).join(batch.select(*keys), keys, "left_anti")
-            result = old.unionByName(batch, allowMissingColumns=True)
-        self._commit(kept + self._write(result, "all", part_by), schema)
+            stored = self.read(touched)
+            result = _matched(stored, batch, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
+            before = _matched(stored, batch, keys, "left_semi")
+        self._commit(kept + self._described(self._write(result, "all", part_by), schema), schema)
+        return Change(before, batch)
+
+    def candidates(self, pieces: list[Piece], keys_df: DataFrame, keys: list[str]) -> list[Piece]:
+        """The directories that may hold any of the keys, without reading one: first those whose range of keys meets
+        that of the new rows, then of these the ones whose filter passes some key."""
+        known = [p for p in pieces if p.rows is not None] if keys[: len(self.keys)] == self.keys else []
+        if known and not keys_df.filter(" OR ".join(f"`{k}` IS NULL" for k in self.keys)).isEmpty():
+            return pieces
+        keys = self.keys
+        if not known:
+            return pieces
+        kind = keys_df.schema[keys[0]].dataType
+        low, high = keys_df.agg(*[f(keys[0]).cast("string") for f in (F.min, F.max)]).first()
+        ranges = [(p.path, p.low, p.high) for p in known if p.rows]
+        met = set()
+        if ranges and low is not None:
+            stored = self.spark.createDataFrame(ranges, "path string, low string, high string")
+            meets = (F.col("high").cast(kind) >= F.lit(low).cast(kind)) & (F.col("low").cast(kind) <= F.lit(high).cast(kind))
+            met = {r["path"] for r in stored.filter(meets).collect()}
+        near = [p for p in known if p.path in met]
+        passed: set[str] = set()
+        if near:
+            folders = sorted({f"{self.root}/keys/{p.write}" for p in near})
+            held = self.spark.read.schema(keystats.FILTER_SCHEMA).parquet(*folders).filter(F.col("path").isin(sorted(met)))
+            sizes = sorted({keystats.bits_for(p.rows) for p in near})
+            passed = {r["path"] for r in keystats.may_hold(held, keys_df, keys, sizes).collect()}
+        return [p for p in pieces if p.rows is None or p not in known or p.path in passed]
 
     def _parts_with(self, pieces: list[Piece], keys_df: DataFrame, keys: list[str]) -> list[str]:
-        """Labels of the partitions that hold any of the keys, from one scan of
-        the key columns. Their number is that of the labels, not of the rows."""
-        labels = sorted({p.part for p in pieces})
-        if len(labels) < 2:
-            return labels
-        stored = self.read().select(*keys, F.col("_metadata.file_path").alias("_file"))
-        files = stored.join(keys_df, keys, "left_semi").select(
-            F.regexp_extract("_file", r"(data/[0-9a-f]{32}(?:/_part=[^/]+)?)/[^/]+$", 1).alias("_dir")
-        )
+        """Labels of the partitions that hold any of the keys, from one scan of the key columns of the directories
+        that may. Their number is that of the labels, not of the rows."""
+        if len({p.part for p in pieces}) < 2:
+            return sorted({p.part for p in pieces})
+        asked = self.candidates(pieces, keys_df, keys)
+        if not asked:
+            return []
+        stored = self.read_pieces(asked).select(*keys, self._directory().alias("_dir"))
+        found = _matched(stored, keys_df, keys, "left_semi").select("_dir")
         by_dir = {p.path: p.part for p in pieces}
-        return sorted({by_dir[r["_dir"]] for r in files.distinct().collect()})
+        return sorted({by_dir[r["_dir"]] for r in found.distinct().collect()})
 
     def expire(self, keep: int = 1) -> int:
         """Forget all but the newest ``keep`` snapshots and delete the write
@@ -205,13 +288,20 @@ class LayerTable:
             used |= {p.write for p in self._load(int(name))[0]}
         for name in versions[:-keep]:
             fs.delete(self._path(f"{self.root}/snapshots/{name}"), False)
-        gone = [f"data/{w}" for w in self._names(f"{self.root}/data") if w not in used]
+        gone = [f"{kind}/{w}" for kind in ("data", "keys") for w in self._names(f"{self.root}/{kind}") if w not in used]
         gone += [f"incoming/{w}" for w in self._names(f"{self.root}/incoming")]
         for folder in gone:
             fs.delete(self._path(f"{self.root}/{folder}"), True)
         return len(gone)
 
 
+def _matched(stored: DataFrame, batch: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Rows of ``stored`` with (or without) a partner in ``batch``; missing keys are equal."""
+    asked = batch.select(*[F.col(k).alias(f"_asked_{i}") for i, k in enumerate(keys)])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_asked_{i}")) for i, k in enumerate(keys)])
+    return stored.join(asked, same, how)
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
