@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiffin.functions.vectors import cosine
+from tiffin.operators import ivf
 from tiffin.operators import retrieve as r
 from tiffin.operators import topk
 from tiffin.sources.tables import LayerTable
@@ -47,6 +48,53 @@ def test_topk_against_brute_force(spark, data):
     assert found(topk.cosine_topk(s, q, 1000)) == brute(store, queries, 1000)
 
 
+def test_a_hot_id_spreads_over_blocks(spark, monkeypatch):
+    """One id with many vectors: its items are in several blocks, and the answer is that of one block."""
+    rng = np.random.default_rng(2)
+    store = [(7, rng.normal(size=4).tolist()) for _ in range(300)] + [(i, rng.normal(size=4).tolist()) for i in range(8, 40)]
+    s = spark.createDataFrame(store, VECTORS)
+    q = spark.createDataFrame([(0, [1.0, 2.0, 3.0, 4.0])], "query_id int, vector array<double>")
+    rows = lambda: sorted((r.chunk_id, r.score) for r in topk.cosine_topk(s, q, 20).collect())
+    whole = rows()
+    monkeypatch.setattr(topk, "ITEMS_PER_BLOCK", 16)
+    assert rows() == whole
+
+
+def test_cells(spark, data, monkeypatch):
+    """All cells give the exact answer, in blocks of any size; the nearest cells most of it."""
+    store, queries = data
+    s = spark.createDataFrame(store, VECTORS).repartition(6)
+    q = spark.createDataFrame(queries, "query_id int, vector array<double>")
+    for size in (ivf.ITEMS_PER_BLOCK, 7):
+        monkeypatch.setattr(ivf, "ITEMS_PER_BLOCK", size)
+        monkeypatch.setattr(ivf, "QUERIES_PER_BLOCK", min(size, 3))
+        index = ivf.build_index(s, cells=9)
+        assert found(ivf.search(index, q, 5, probes=9)) == brute(store, queries, 5)
+    placed = {(r.chunk_id, r.cell) for r in index.items.collect()}
+    assert len(placed) == len(store) and len({c for _, c in placed}) > 4
+
+
+def test_clustered_vectors_are_found_in_few_cells(spark):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(40, 16))
+    store = [(i, (centers[i % 40] + 0.15 * rng.normal(size=16)).tolist()) for i in range(2000)]
+    s = spark.createDataFrame(store, VECTORS)
+    q = s.filter("chunk_id % 50 = 0").select(F.col("chunk_id").alias("query_id"), "vector")
+    index = ivf.build_index(s, sample=500)
+    near = ivf.search(index, q, 10, probes=8)
+    assert len(index.centroids) > 30
+    assert ivf.recall(near, topk.cosine_topk(s, q, 10)) >= 0.9
+
+
+def test_cell_edges(spark):
+    empty = spark.createDataFrame([], VECTORS)
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, vector array<double>")
+    assert ivf.search(ivf.build_index(empty), q, 3, probes=1).count() == 0
+    flat = spark.createDataFrame([(1, [0.0, 0.0]), (2, None)], VECTORS)
+    got = ivf.search(ivf.build_index(flat), q, 3, probes=1).collect()
+    assert [(r.chunk_id, r.score) for r in got] == [(1, 0.0)]
+
+
 def test_topk_in_several_blocks(spark, data, monkeypatch):
     store, queries = data
     monkeypatch.setattr(topk, "QUERIES_PER_BLOCK", 3)

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 QUERIES_PER_BLOCK = 4_096  # queries that meet a block of items at a time
-ITEMS_PER_SLICE = 1_024  # items scored at a time
+ITEMS_PER_BLOCK = 65_536  # items of a block
+QUERIES_PER_SLICE = 64  # queries scored at a time
 SCORE_DIGITS = 12  # equal vectors must tie, whatever block they are scored in
 
 
@@ -27,7 +28,8 @@ def cosine_topk(
     """The ``k`` best items of every query: query id, item id, score, rank.
 
     The store is scanned once for any number of queries. Items and queries are
-    dealt into blocks; each block of items meets each block of queries in one
+    dealt into blocks by their numbers and by the hash of id and vector, so an id
+    with many vectors spreads too; each block of items meets each block of queries in one
     task, which keeps the best ``k`` per query, and only those are ranked
     together. Ties go to the smaller id; a vector without length scores 0. A
     missing vector takes no part; one that is of another length than the rest
@@ -35,7 +37,7 @@ def cosine_topk(
     """
     asked = queries.select(query_id, query_vector).filter(F.col(query_vector).isNotNull())
     query_blocks = max(1, -(-asked.count() // QUERIES_PER_BLOCK))
-    item_blocks = int(store.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    item_blocks = max(1, -(-store.count() // ITEMS_PER_BLOCK))
     schema = T.StructType(
         [
             T.StructField(query_id, asked.schema[0].dataType),
@@ -44,8 +46,8 @@ def cosine_topk(
         ]
     )
 
-    def dealt(key: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("long")
+    def dealt(n: int, *keys: str) -> Column:
+        return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("long")
 
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
@@ -56,14 +58,14 @@ def cosine_topk(
         store.filter(F.col(item_vector).isNotNull())
         .select(
             none[query_id].alias("_query"), F.col(item_id).alias("_item"),
-            F.col(item_vector).cast(vector).alias("_vector"), dealt(item_id, item_blocks).alias("_left"),
+            F.col(item_vector).cast(vector).alias("_vector"), dealt(item_blocks, item_id, item_vector).alias("_left"),
         )
         .withColumn("_right", every(query_blocks))
     )
     sent = (
         asked.select(
             F.col(query_id).alias("_query"), none[item_id].alias("_item"),
-            F.col(query_vector).cast(vector).alias("_vector"), dealt(query_id, query_blocks).alias("_right"),
+            F.col(query_vector).cast(vector).alias("_vector"), dealt(query_blocks, query_id, query_vector).alias("_right"),
         )
         .withColumn("_left", every(item_blocks))
         .select("_query", "_item", "_vector", "_left", "_right")
@@ -86,16 +88,15 @@ def _best(k: int, fields: list[tuple[str, pa.DataType]]):
             unit = _unit(_matrix(questions, "_query"))
             vectors, names = _matrix(items, "_item", unit.shape[1]), items.column("_item").to_pylist()
             place = np.argsort(np.argsort(np.array(names, dtype=object), kind="stable"), kind="stable")
-            scores = np.empty((len(unit), len(names)))
-            for at in range(0, len(names), ITEMS_PER_SLICE):
-                scores[:, at : at + ITEMS_PER_SLICE] = unit @ _unit(vectors[at : at + ITEMS_PER_SLICE]).T
-            scores = np.round(scores, SCORE_DIGITS)
-            for q, row in zip(questions.column("_query").to_pylist(), scores, strict=True):
-                picks = np.arange(len(row))
-                if k < len(row):
-                    picks = np.flatnonzero(row >= np.partition(row, -k)[-k])
-                picks = picks[np.lexsort((place[picks], -row[picks]))][:k]
-                out += [(q, names[i], row[i]) for i in picks]
+            vectors, asked = _unit(vectors), questions.column("_query").to_pylist()
+            for at in range(0, len(unit), QUERIES_PER_SLICE):
+                scores = np.round(unit[at : at + QUERIES_PER_SLICE] @ vectors.T, SCORE_DIGITS)
+                for q, row in zip(asked[at : at + QUERIES_PER_SLICE], scores, strict=True):
+                    picks = np.arange(len(row))
+                    if k < len(row):
+                        picks = np.flatnonzero(row >= np.partition(row, -k)[-k])
+                    picks = picks[np.lexsort((place[picks], -row[picks]))][:k]
+                    out += [(q, names[i], row[i]) for i in picks]
         return pa.table(
             [pa.array([r[i] for r in out], type=t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields]
         )

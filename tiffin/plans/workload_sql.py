@@ -699,3 +699,14 @@ SQL["daily_two_days"] = f"""
 WITH {HEADS}, mart AS ({REVENUE})
 SELECT *, orders AS fact_rows, delivered_orders AS fact_delivered FROM mart
 """
+
+SQL["embedding_ivf"] = """
+WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings WHERE vec_id % 50 = 0),
+scored AS (
+  SELECT query_id, vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), vector), 12) AS score
+  FROM embeddings, q
+)
+SELECT query_id, vec_id, round(score, 6) AS score,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, true AS recall_reached
+FROM scored QUALIFY rank <= 5
+"""
