@@ -35,6 +35,7 @@ from tiffin.llm.near_dedup import (
     shingle_set,
     text_hash,
 )
+from tiffin.session import scratch_dir
 
 WIDTH = 2  # largest size of a band over its smallest
 PAIRS_UP_TO = 8  # differences up to which one group has all partitions, and pairs of them are signatures
@@ -125,63 +126,62 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _cells(placed: DataFrame) -> DataFrame:
-    """cell, node, root, n_shingles, crowd: groups of classes such that two in one list and of different components share a cell.
+def _cells(members: DataFrame, lists: DataFrame) -> DataFrame:
+    """cell, node, root, n_shingles: groups of classes such that two in one list and of different components share a cell.
 
-    Lists that overlap make a cluster. Comparing a cluster once costs the square
-    of its members, its lists one by one the sum of their squares; the cheaper
-    way is taken for each cluster.
+    ``members`` has cluster, node, owner, root, n_shingles; lists that overlap
+    make a cluster. Comparing the members of a cluster outside its largest
+    component with all of it costs the product of their numbers, its lists one
+    by one the sum of their squares; the cheaper way is taken for each cluster.
     """
-    mixed = (
-        placed.groupBy("token")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("crowd"))
-        .filter("low < high")
-        .select("token", "crowd")
-    )
-    lists = stored(placed.join(mixed, "token"), "join-mixed")
-    hub = lists.groupBy("token").agg(F.min("node").alias("hub"))
-    edges = lists.join(hub, "token").select(F.col("node").alias("a"), F.col("hub").alias("b")).filter("a != b").distinct()
-    clusters = stored(components(edges).withColumnRenamed("root", "cluster"), "join-clusters")
-    members = lists.select("node", "root", "n_shingles").distinct().join(clusters, "node")
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
-    costs = (
-        hub.join(clusters, hub["hub"] == clusters["node"])
-        .join(mixed, "token")
-        .groupBy("cluster")
-        .agg(F.sum(F.col("crowd").cast("double") * F.col("crowd")).alias("by_list"))
-    )
-    once = F.col("size").cast("double") * F.col("size") <= F.col("by_list")
-    chosen = stored(sizes.join(costs, "cluster").select("cluster", "size", once.alias("once")), "join-chosen")
-    columns = ["cell", "node", "root", "n_shingles", "crowd"]
+    by_root = members.groupBy("cluster", "root").agg(F.count("*").alias("n"))
+    sizes = by_root.groupBy("cluster").agg(F.sum("n").alias("size"), F.max("n").alias("largest")).filter("size > largest")
+    squares = lists.filter(F.col("kind") == COST).groupBy(F.col("a").alias("owner")).agg(F.sum("n").alias("squares"))
+    costs = members.select("cluster", "owner").join(squares, "owner").groupBy("cluster").agg(F.sum("squares").alias("by_list"))
+    once = F.col("size").cast("double") * (F.col("size") - F.col("largest")) <= F.col("by_list")
+    chosen = stored(sizes.join(costs, "cluster").select("cluster", once.alias("once")), "join-chosen")
     together = members.join(chosen.filter("once"), "cluster").select(
-        F.xxhash64("cluster").alias("cell"), "node", "root", "n_shingles", F.col("size").alias("crowd")
+        F.xxhash64("cluster").alias("cell"), "node", "root", "n_shingles"
     )
-    apart = chosen.filter("not once").join(clusters, "cluster").select("node")
-    one_by_one = lists.join(apart, "node", "left_semi").withColumnRenamed("token", "cell").select(*columns)
+    apart = members.join(chosen.filter("not once"), "cluster").select("owner", "node", "root", "n_shingles")
+    postings = lists.filter(F.col("kind") == POSTING).select(F.col("a").alias("cell"), F.col("b").alias("owner"))
+    one_by_one = postings.join(apart, "owner").select("cell", "node", "root", "n_shingles")
     return stored(together.unionByName(one_by_one), "join-cells")
 
 
 def _linked_in_cells(cells: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) that join different components of a cell, each two blocks of its members compared in a task of their own."""
+    """Links (a, b) that join different components of a cell, each two blocks of its members compared on their own."""
 
     def compare(cell: pa.Table) -> pa.Table:
         hashes = WordHashes()
         node, n = cell.column("node").to_pylist(), cell.column("n_shingles").to_numpy()
         sets = [shingle_set(t, words, hashes) for t in cell.column("text").to_pylist()]
-        block, low, high = (cell.column(c).to_numpy() for c in ("block", "low", "high"))
         _, root = np.unique(cell.column("root").to_pylist(), return_inverse=True)
-        left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
+        is_left = cell.column("is_left").to_numpy(zero_copy_only=False)
+        left, right = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+        if not len(left) or not len(right):
+            return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
         a, b = _links(sets, n, root, left, right, percent)
         return pa.table({"a": pa.array([node[i] for i in a], pa.binary()), "b": pa.array([node[j] for j in b], pa.binary())})
 
-    blocks = F.ceil(F.col("crowd") / BLOCK_MEMBERS).cast("long")
-    placed = cells.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    # Members outside the largest component of a cell, in blocks, meet all members, in blocks.
+    by_root = cells.groupBy("cell", "root").agg(F.count("*").alias("n"))
+    sizes = by_root.groupBy("cell").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("major"))
+    blocks = lambda n: F.ceil(n / BLOCK_MEMBERS).cast("long")
+    sizes = sizes.filter(F.col("size") > F.col("major.n")).select(
+        "cell", F.col("major.root").alias("major"), blocks(F.col("size")).alias("rights"),
+        blocks(F.col("size") - F.col("major.n")).alias("lefts"),
+    )
+    placed = cells.join(sizes, "cell")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    columns = ["cell", "node", "root", "n_shingles"]
+    minor = placed.filter(F.col("root") != F.col("major")).select(
+        *columns, block("lefts").alias("l"), every("rights").alias("r"), F.lit(True).alias("is_left")
     )
-    dealt = placed.select(
-        "cell", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root", "n_shingles"
-    )
-    return dealt.join(texts, "node").groupBy("cell", "low", "high").applyInArrow(compare, "a binary, b binary").distinct()
+    whole = placed.select(*columns, every("lefts").alias("l"), block("rights").alias("r"), F.lit(False).alias("is_left"))
+    dealt = minor.unionByName(whole).join(texts, "node")
+    return dealt.groupBy("cell", "l", "r").applyInArrow(compare, "a binary, b binary").distinct()
 
 
 def _links(
@@ -258,9 +258,16 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, SKETCH_DDL)
 
 
+LISTS_DDL = "kind int, a long, b long, n long"
+POSTING, MEETING, COST = 0, 1, 2
+
+
 def shared_signatures(docs: DataFrame, words: int, percent: int, ranges: int) -> DataFrame:
-    """token, owner: signatures that more than one set has, with the first 64 bits of these sets' digests.
+    """Lists of the signatures that more than one set has: kind, a, b, n, sets by the first 64 bits of their digests.
 
+    A POSTING is a signature (a) and a set (b); a MEETING is a set (a), the
+    smallest set of a list (b) and the number of lists in which it is that; a
+    COST is the smallest set (a) of lists whose squared sizes add up to n.
     Signatures travel as packed arrays, one row per range of values and flush
     of a task; a task posts each set once.
     """
@@ -294,12 +301,26 @@ def shared_signatures(docs: DataFrame, words: int, percent: int, ranges: int) ->
         new_token = np.r_[True, token[1:] != token[:-1]] if len(token) else np.zeros(0, bool)
         distinct = new_token | np.r_[True, owner[1:] != owner[:-1]] if len(token) else new_token
         token, owner = token[distinct], owner[distinct]
-        _, place, times = np.unique(token, return_inverse=True, return_counts=True)
+        _, first, place, times = np.unique(token, return_index=True, return_inverse=True, return_counts=True)
         several = times[place] > 1
-        return pa.table([pa.array(token[several].view(np.int64)), pa.array(owner[several])], ["token", "owner"])
+        hub = owner[first][place]
+        meets = several & (owner != hub)
+        met, n_met = np.unique(np.c_[owner[meets], hub[meets]], axis=0, return_counts=True)
+        lists = times > 1
+        hubs, at = np.unique(owner[first][lists], return_inverse=True)
+        cost = np.bincount(at, weights=times[lists].astype(float) ** 2, minlength=len(hubs)).astype(np.int64)
+        nothing = np.zeros(int(several.sum()), np.int64)
+        columns = [
+            np.repeat([POSTING, MEETING, COST], [len(nothing), len(met), len(hubs)]).astype(np.int32),
+            np.r_[token[several].view(np.int64), met[:, 0], hubs], np.r_[owner[several], met[:, 1], np.zeros_like(hubs)],
+            np.r_[nothing, n_met, cost],
+        ]
+        return pa.table([pa.array(c) for c in columns], ["kind", "a", "b", "n"])
 
     dealt = docs.select(whole_text().alias("text")).mapInArrow(deal, "range long, shingles binary, owners binary")
-    return dealt.groupBy("range").applyInArrow(collide, "token long, owner long")
+    path = scratch_dir(docs.sparkSession, "join-lists")
+    dealt.groupBy("range").applyInArrow(collide, LISTS_DDL).write.partitionBy("kind").parquet(path)
+    return docs.sparkSession.read.schema(LISTS_DDL).parquet(path)
 
 
 def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -330,25 +351,31 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
         "join-classes",
     )
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
-    tokens = stored(shared_signatures(docs, words, percent, max(4, -(-total // RANGE_SHINGLES))), "join-tokens")
-    shared = stored(tokens.join(classes.select("owner", "node", "n_shingles"), "owner").drop("owner"), "join-shared")
-    texts = _texts_of(shared.select("node").distinct(), classes, docs)
-
-    # The member with the smallest digest of each list, met most often.
-    hubs = shared.groupBy("token").agg(F.min(F.struct("node", "n_shingles")).alias("hub"), F.count("*").alias("crowd"))
-    met = (
-        shared.join(hubs, "token")
-        .filter((F.col("node") != F.col("hub.node")) & _sizes_fit(F.col("n_shingles"), F.col("hub.n_shingles"), percent))
-        .groupBy(F.col("node").alias("a"), F.col("hub.node").alias("b"))
-        .agg(F.count("*").alias("times"))
+    lists = shared_signatures(docs, words, percent, max(4, -(-total // RANGE_SHINGLES)))
+    met = lists.filter(F.col("kind") == MEETING).groupBy("a", "b").agg(F.sum("n").alias("times"))
+    for side in "ab":
+        named = classes.select(F.col("owner").alias(side), F.col("node").alias(f"node_{side}"), F.col("n_shingles").alias(f"n_{side}"))
+        met = met.join(named, side)
+    met = stored(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "times", "n_a", "n_b"), "join-met")
+    clusters = stored(components(met.select("a", "b")).withColumnRenamed("root", "cluster"), "join-clusters")
+    texts = _texts_of(clusters.select("node"), classes, docs)
+
+    # The smallest member of a list, the one that a set meets most often.
+    best = (
+        met.filter(_sizes_fit(F.col("n_a"), F.col("n_b"), percent))
+        .groupBy("a")
+        .agg(F.max(F.struct("times", "b")).alias("best"))
+        .select("a", F.col("best.b").alias("b"))
     )
-    best = met.groupBy("a").agg(F.max(F.struct("times", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     first = stored(_confirmed(stored(best, "join-pairs"), texts, words, percent), "join-links")
-    roots = stored(components(first), "join-roots")
-
-    placed = stored(shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "join-placed")
-    second = _linked_in_cells(_cells(placed), texts, words, percent)
-    links = stored(first.unionByName(second), "join-links")
+    roots = components(first)
+    members = (
+        clusters.join(roots, "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
+        .join(classes.select("node", "owner", "n_shingles"), "node")
+    )
+    cells = _cells(stored(members, "join-members"), lists)
+    links = stored(first.unionByName(_linked_in_cells(cells, texts, words, percent)), "join-links")
 
     grouped = stored(
         sketches.select("doc_id", "n_shingles", "node")
