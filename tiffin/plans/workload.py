@@ -15,7 +15,7 @@ from tiffin.functions import metrics as m
 from tiffin.functions.cleaning import title_case
 from tiffin.functions.text import content_hash, scrub_pii
 from tiffin.functions.vectors import cosine
-from tiffin.operators import enrich, ivf, quality, retrieve
+from tiffin.operators import enrich, ivf, quality, retrieve, sketches
 from tiffin.operators.percentiles import exact_percentiles, null_safe_left_join
 from tiffin.operators.topk import cosine_topk
 from tiffin.plans import catalog, daily, governed, marts, semantic, staging, trade
@@ -254,6 +254,44 @@ def fact_orders_skipping(spark, sf_dir):
     return target.read()
 
 
+@query
+def sla_sketch(spark, sf_dir):
+    """Delivery minutes sketched per day and city and merged per city: whether the true ranks of the median and of the
+    90th percentile found lie within the stated error."""
+    orders = trade.orders_typed(spark, sf_dir).select("order_date", "city", F.col("delivery_time_min").cast("double").alias("minutes"))
+    daily_sketches = sketches.quantile_sketches(orders, ["order_date", "city"], "minutes")
+    found = sketches.merged_quantiles(daily_sketches, ["city"], {"p50": 0.5, "p90": 0.9})
+    rows = orders.filter("minutes is not null").join(found, "city")
+    checks = {}
+    for name, rank in (("p50", 0.5), ("p90", 0.9)):
+        low, high = (F.count_if(condition) / F.count("*") for condition in (F.col("minutes") < F.col(name), F.col("minutes") <= F.col(name)))
+        checks[f"{name}_within"] = (low <= rank + sketches.RANK_ERROR) & (high >= rank - sketches.RANK_ERROR)
+    return rows.groupBy("city").agg(F.max("n").alias("n"), *[c.alias(name) for name, c in checks.items()])
+
+
+@query
+def customers_rolling(spark, sf_dir):
+    """Distinct customers of the 30 days up to each day, and of each quarter those who came in the one before, by
+    sketches; whether each is within the stated error of the exact count."""
+    heads = trade.order_heads(spark, sf_dir).select("order_date", "customer_id")
+    quarter = (F.year("order_date") * 4 + F.quarter("order_date")).alias("quarter")
+    by_day = sketches.rolling_distinct(sketches.distinct_sketches(heads, ["order_date"], "customer_id"), "order_date", 30)
+    windows = heads.distinct().select(F.explode(F.sequence("order_date", F.date_add("order_date", 29))).alias("order_date"), "customer_id")
+    exact = windows.groupBy("order_date").agg(F.count_distinct("customer_id").alias("exact"))
+    near = lambda c: F.abs(F.col(c) - F.col("exact")) <= 2 + sketches.COUNT_ERROR * F.col("exact")
+    rolling = by_day.join(exact, "order_date").select(
+        F.lit("rolling").alias("kind"), F.col("order_date").cast("string").alias("period"), "exact", near("distinct").alias("within")
+    )
+    quarters = heads.select(quarter, "customer_id").distinct()
+    before = quarters.select((F.col("quarter") + 1).alias("quarter"), "customer_id")
+    back = quarters.join(before, ["quarter", "customer_id"]).groupBy("quarter").agg(F.count("*").alias("exact"))
+    found = sketches.returning(sketches.period_sketches(quarters, ["quarter"], "customer_id"), "quarter")
+    returned = found.join(back, "quarter", "left").withColumn("exact", F.coalesce("exact", F.lit(0))).select(
+        F.lit("returning").alias("kind"), F.col("quarter").cast("string").alias("period"), "exact", near("returning").alias("within")
+    )
+    return rolling.unionByName(returned)
+
+
 # --- metrics and governed SQL -----------------------------------------------
 
 

