@@ -64,3 +64,11 @@ def test_empty_table_and_native_plan(spark):
     assert out.count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_control_characters_in_hosts(spark):
+    """The characters that separate keys are letters like any other in a host."""
+    rows = [(1, "http://net\x00x/a"), (2, "http://net\x01/a"), (3, "http://a\x00.net/a"), (4, "http://net\x02\x03x/"), (5, "http://net/a")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r["page_id"]: r["rule"] for r in filter_urls(pages, rule_table(spark, RULES)).collect()}
+    assert got == {1: None, 2: None, 3: "net/", 4: None, 5: "net/"}

@@ -26,13 +26,20 @@ def _lower_ascii(c: Column) -> Column:
 
 
 def host_key(host: Column) -> Column:
-    """Labels in reverse, each ended by a zero character: a host's key is a prefix of its subdomains' keys only."""
+    """Labels in reverse, each ended by a zero character: a host's key is a prefix of its subdomains' keys only.
+
+    The characters that end keys (zero, and one for the end of an interval) are
+    spelled with a leading two where a host holds them.
+    """
+    for plain, spelled in (("\x02", "\x02\x05"), ("\x00", "\x02\x03"), ("\x01", "\x02\x04")):
+        host = F.replace(host, F.lit(plain), F.lit(spelled))
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "\x00"), F.lit("\x00"))
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
     """Host and path; both empty without ``://``."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring(url, instr(url, '://') + 3)")).otherwise("")
+    start = F.instr(url, "://")
+    rest = F.when(start > 0, F.substring(url, start + 3, F.length(url))).otherwise("")
     rest = F.coalesce(rest, F.lit(""))
     host = F.regexp_extract(rest, r"^([^/?#]*)", 1)
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
