@@ -35,22 +35,83 @@ WRAPPERS = {"GlobalLimit", "LocalLimit", "Offset", "Sort", "WithWindowDefinition
 
 # Built-in functions that reach outside the data.
 REFUSED_FUNCTIONS = {
-    "assert_true", "current_catalog", "current_database", "current_schema", "current_user", "input_file_block_length",
+    "assert_true", "from_avro", "from_protobuf", "schema_of_avro", "to_avro", "to_protobuf", "current_catalog", "current_database", "current_schema", "current_user", "input_file_block_length",
     "input_file_block_start", "input_file_name", "java_method", "raise_error", "reflect", "session_user",
     "try_reflect", "user", "version",
 }
 
+# Expressions that make arrays or texts of any length from nothing.
+UNBOUNDED = {"ArrayRepeat", "Sequence", "StringRepeat", "StringSpace"}
+# Joins that return no more rows than their left side.
+FILTERING_JOINS = {"LeftSemi", "LeftAnti"}
+
 
 class RefusedQuery(Exception):
     """The statement is not an allowed query; the message says why."""
 
 
 def governed_sql(
-    spark: SparkSession, sql: str, views: Iterable[str] = tuple(VIEWS), row_limit: int = ROW_LIMIT
+    spark: SparkSession,
+    sql: str,
+    views: Iterable[str] = tuple(VIEWS),
+    row_limit: int = ROW_LIMIT,
+    max_scan_bytes: int | None = None,
 ) -> DataFrame:
     """Check a statement and return it as a lazy, row-capped DataFrame. A smaller
     limit in the statement keeps its effect under the outer one."""
-    return spark.sql(runnable(spark, sql, views)).limit(row_limit)
+    return _resolved(spark, runnable(spark, sql, views), max_scan_bytes).limit(row_limit)
+
+
+def _resolved(spark: SparkSession, executed: str, max_scan_bytes: int | None) -> DataFrame:
+    """The checked statement with names resolved, refused if it could do work without a bound or costs too much.
+
+    The same rows must come out each time, nothing but the views may make rows,
+    joins need a condition (after the optimizer has moved filters into them),
+    and the tables to be read may not be larger than ``max_scan_bytes``.
+    """
+    df = spark.sql(executed)
+    execution = df._jdf.queryExecution()
+    _check_expressions(execution.analyzed())
+    optimized = execution.optimizedPlan()
+    for node in _below(optimized):
+        if _name(node) == "Join" and node.condition().isEmpty() and node.joinType().toString() not in FILTERING_JOINS:
+            raise RefusedQuery("a join without a condition pairs all rows")
+    price = scan_bytes(df)
+    if max_scan_bytes is not None and price > max_scan_bytes:
+        raise RefusedQuery(f"the statement reads {price} bytes, allowed are {max_scan_bytes}")
+    return df
+
+
+def scan_bytes(df: DataFrame) -> int:
+    """Size of the files and rows that the optimized plan reads, as Spark estimates it; unknown sizes count as none."""
+    leaves = _items(df._jdf.queryExecution().optimizedPlan().collectLeaves())
+    sizes = [int(str(leaf.stats().sizeInBytes())) for leaf in leaves]
+    return sum(n for n in sizes if n < 1 << 62)
+
+
+def _below(plan) -> Iterable:
+    yield plan
+    for child in _items(plan.children()):
+        yield from _below(child)
+
+
+def _check_expressions(plan) -> None:
+    """What the statement itself computes, down to the views."""
+    if _name(plan) == "View":
+        return
+    for expression in _items(plan.expressions()):
+        if not expression.deterministic():
+            raise RefusedQuery(f"{expression.sql()} gives another result each time")
+        _check_bounds(expression)
+    for child in _items(plan.children()):
+        _check_expressions(child)
+
+
+def _check_bounds(expression) -> None:
+    if _name(expression) in UNBOUNDED:
+        raise RefusedQuery(f"{expression.sql()} has no bound on its size")
+    for child in _items(expression.children()):
+        _check_bounds(child)
 
 
 def runnable(spark: SparkSession, sql: str, views: Iterable[str]) -> str:
@@ -168,6 +229,7 @@ def run_governed(
     views: Iterable[str] = tuple(VIEWS),
     row_limit: int = ROW_LIMIT,
     timeout_seconds: float = TIMEOUT_SECONDS,
+    max_scan_bytes: int | None = None,
 ) -> pd.DataFrame:
     """Check and run a statement; its jobs are cancelled after the time cap. The
     row cap bounds what comes back to the client.
@@ -182,7 +244,7 @@ def run_governed(
     context.addJobTag(tag)
     timer.start()
     try:
-        rows = spark.sql(executed).limit(row_limit + 1).toPandas()
+        rows = _resolved(spark, executed, max_scan_bytes).limit(row_limit + 1).toPandas()
     finally:
         timer.cancel()
         context.removeJobTag(tag)
