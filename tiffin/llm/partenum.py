@@ -35,7 +35,6 @@ from tiffin.llm.near_dedup import (
     shingle_set,
     text_hash,
 )
-from tiffin.session import scratch_dir
 
 WIDTH = 2  # largest size of a band over its smallest
 PAIRS_UP_TO = 8  # differences up to which one group has all partitions, and pairs of them are signatures
@@ -126,27 +125,17 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _cells(members: DataFrame, lists: DataFrame) -> DataFrame:
-    """cell, node, root, n_shingles: groups of classes such that two in one list and of different components share a cell.
+def _cells(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """cell, node, root, n_shingles: the classes that meet one smallest member, and this member.
 
-    ``members`` has cluster, node, owner, root, n_shingles; lists that overlap
-    make a cluster. Comparing the members of a cluster outside its largest
-    component with all of it costs the product of their numbers, its lists one
-    by one the sum of their squares; the cheaper way is taken for each cluster.
+    Two classes of a list both meet the list's smallest member, so they share
+    its cell. Near copies share hundreds of lists, but these have few smallest
+    members, so a pair is compared a few times at most.
     """
-    by_root = members.groupBy("cluster", "root").agg(F.count("*").alias("n"))
-    sizes = by_root.groupBy("cluster").agg(F.sum("n").alias("size"), F.max("n").alias("largest")).filter("size > largest")
-    squares = lists.filter(F.col("kind") == COST).groupBy(F.col("a").alias("owner")).agg(F.sum("n").alias("squares"))
-    costs = members.select("cluster", "owner").join(squares, "owner").groupBy("cluster").agg(F.sum("squares").alias("by_list"))
-    once = F.col("size").cast("double") * (F.col("size") - F.col("largest")) <= F.col("by_list")
-    chosen = stored(sizes.join(costs, "cluster").select("cluster", once.alias("once")), "join-chosen")
-    together = members.join(chosen.filter("once"), "cluster").select(
-        F.xxhash64("cluster").alias("cell"), "node", "root", "n_shingles"
-    )
-    apart = members.join(chosen.filter("not once"), "cluster").select("owner", "node", "root", "n_shingles")
-    postings = lists.filter(F.col("kind") == POSTING).select(F.col("a").alias("cell"), F.col("b").alias("owner"))
-    one_by_one = postings.join(apart, "owner").select("cell", "node", "root", "n_shingles")
-    return stored(together.unionByName(one_by_one), "join-cells")
+    smallest = met.select(F.col("b").alias("cell"), F.col("b").alias("node"), F.col("n_b").alias("n_shingles")).distinct()
+    meeting = met.select(F.col("b").alias("cell"), F.col("a").alias("node"), F.col("n_a").alias("n_shingles"))
+    members = meeting.unionByName(smallest).join(roots, "node", "left")
+    return stored(members.select("cell", "node", F.coalesce("root", "node").alias("root"), "n_shingles"), "join-cells")
 
 
 def _linked_in_cells(cells: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -258,17 +247,10 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, SKETCH_DDL)
 
 
-LISTS_DDL = "kind int, a long, b long, n long"
-POSTING, MEETING, COST = 0, 1, 2
-
-
 def shared_signatures(docs: DataFrame, words: int, percent: int, ranges: int) -> DataFrame:
-    """Lists of the signatures that more than one set has: kind, a, b, n, sets by the first 64 bits of their digests.
+    """Sets that share signatures: a set (a), the smallest set of a list (b), and in how many lists (n) they meet so.
 
-    A POSTING is a signature (a) and a set (b); a MEETING is a set (a), the
-    smallest set of a list (b) and the number of lists in which it is that; a
-    COST is the smallest set (a) of lists whose squared sizes add up to n.
-    Signatures travel as packed arrays, one row per range of values and flush
+    Sets go by the first 64 bits of their digests. Signatures travel as packed arrays, one row per range of values and flush
     of a task; a task posts each set once.
     """
 
@@ -306,21 +288,10 @@ def shared_signatures(docs: DataFrame, words: int, percent: int, ranges: int) ->
         hub = owner[first][place]
         meets = several & (owner != hub)
         met, n_met = np.unique(np.c_[owner[meets], hub[meets]], axis=0, return_counts=True)
-        lists = times > 1
-        hubs, at = np.unique(owner[first][lists], return_inverse=True)
-        cost = np.bincount(at, weights=times[lists].astype(float) ** 2, minlength=len(hubs)).astype(np.int64)
-        nothing = np.zeros(int(several.sum()), np.int64)
-        columns = [
-            np.repeat([POSTING, MEETING, COST], [len(nothing), len(met), len(hubs)]).astype(np.int32),
-            np.r_[token[several].view(np.int64), met[:, 0], hubs], np.r_[owner[several], met[:, 1], np.zeros_like(hubs)],
-            np.r_[nothing, n_met, cost],
-        ]
-        return pa.table([pa.array(c) for c in columns], ["kind", "a", "b", "n"])
+        return pa.table([pa.array(met[:, 0]), pa.array(met[:, 1]), pa.array(n_met.astype(np.int64))], ["a", "b", "n"])
 
     dealt = docs.select(whole_text().alias("text")).mapInArrow(deal, "range long, shingles binary, owners binary")
-    path = scratch_dir(docs.sparkSession, "join-lists")
-    dealt.groupBy("range").applyInArrow(collide, LISTS_DDL).write.partitionBy("kind").parquet(path)
-    return docs.sparkSession.read.schema(LISTS_DDL).parquet(path)
+    return dealt.groupBy("range").applyInArrow(collide, "a long, b long, n long")
 
 
 def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -336,11 +307,10 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     Equal sets are one class from the start. Classes with a signature in common
     are candidates, and every link is confirmed on the whole sets. In each list
     of a signature all classes first meet one member, and the member that a
-    class meets in most lists is confirmed. Then only lists that still hold
-    several components matter: near copies share hundreds of lists, so their
-    members are compared once for all these lists together, or list by list
-    where that is less work. Cells of members are cut into blocks, two blocks
-    meet in a task, and no pair is left out for the size of a list.
+    class meets in most lists is confirmed. Then all that meet one such member
+    are a cell; in cells that still hold several components, the classes
+    outside the largest one are compared with all. Cells are cut into blocks,
+    two blocks meet in a task, and no pair is left out for the size of a list.
     """
     sketches = stored(sketch(docs, words), "join-sketch")
     classes = stored(
@@ -352,13 +322,13 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     )
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     lists = shared_signatures(docs, words, percent, max(4, -(-total // RANGE_SHINGLES)))
-    met = lists.filter(F.col("kind") == MEETING).groupBy("a", "b").agg(F.sum("n").alias("times"))
+    met = lists.groupBy("a", "b").agg(F.sum("n").alias("times"))
     for side in "ab":
         named = classes.select(F.col("owner").alias(side), F.col("node").alias(f"node_{side}"), F.col("n_shingles").alias(f"n_{side}"))
         met = met.join(named, side)
     met = stored(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "times", "n_a", "n_b"), "join-met")
-    clusters = stored(components(met.select("a", "b")).withColumnRenamed("root", "cluster"), "join-clusters")
-    texts = _texts_of(clusters.select("node"), classes, docs)
+    nodes = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = _texts_of(nodes, classes, docs)
 
     # The smallest member of a list, the one that a set meets most often.
     best = (
@@ -368,13 +338,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
         .select("a", F.col("best.b").alias("b"))
     )
     first = stored(_confirmed(stored(best, "join-pairs"), texts, words, percent), "join-links")
-    roots = components(first)
-    members = (
-        clusters.join(roots, "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-        .join(classes.select("node", "owner", "n_shingles"), "node")
-    )
-    cells = _cells(stored(members, "join-members"), lists)
+    cells = _cells(met, components(first))
     links = stored(first.unionByName(_linked_in_cells(cells, texts, words, percent)), "join-links")
 
     grouped = stored(
