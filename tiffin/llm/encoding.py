@@ -11,6 +11,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from types import SimpleNamespace
 
+import numpy as np
+
 from tiffin.llm.common import task_memory
 
 MEMO_BYTES = 48 << 20  # of words that a task remembers before it starts afresh
@@ -76,6 +78,10 @@ class WordEncoder:
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([UNSAFE, *added]))
         self.words = re.compile(WORDS[keeps_space]).findall
+        self.in_a_row = re.compile(rf" [{LETTERS}]+").fullmatch if keeps_space else None
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.lengths[list(vocabulary.values())] = list(map(len, vocabulary))
         self.forget()
 
     def forget(self) -> None:
@@ -86,12 +92,29 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _row(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words with a blank before them, encoded as one text and taken apart by the bytes of its tokens.
+
+        A byte-level token has a character for each of its bytes. Should a word
+        not end where a token does, none is given.
+        """
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ends, reached = np.cumsum([len(w.encode()) for w in words]), np.cumsum(self.lengths[ids])
+        at = np.searchsorted(reached, ends)
+        if not len(ids) or at[-1] >= len(ids) or not np.array_equal(reached[at], ends):
+            return {}
+        cuts, data = [0, *(4 * (at + 1)).tolist()], ids.tobytes()
+        return {w: data[i:j] for w, i, j in zip(words, cuts, cuts[1:], strict=False)}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.memo_bytes > MEMO_BYTES:
             self.forget()
         parts = [None if self.whole.search(t) else self.words(t) for t in texts]
         new = [w for w in set().union(*(p for p in parts if p)) if w not in self.memo]
-        found = dict(zip(new, self._by_library(new), strict=True))
+        row = list(filter(self.in_a_row, new)) if self.in_a_row else []
+        found = self._row(row) if row else {}
+        left = [w for w in new if w not in found]
+        found.update(zip(left, self._by_library(left), strict=True))
         self.memo.update(found)
         self.memo_bytes += sum(ENTRY_BYTES + len(w) + len(ids) for w, ids in found.items())
         get = self.memo.__getitem__
