@@ -7,6 +7,7 @@ import random
 from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tiffin.sources import control, landing, records
@@ -87,7 +88,7 @@ def test_files_with_line_breaks_are_split(folder, spark, small_blocks):
     found = records.lines(spark, files, landing.file_key("food"))
     assert found.select("file_name", "block").distinct().count() > 40
     assert folder.load("r1").total_rows == 1000
-    whole = landing.text_reader(spark.read, landing.SOURCE_COLUMNS["food"]).csv(files)
+    whole = landing.text_reader(spark.read, landing.SOURCE_COLUMNS["food"]).option("multiLine", True).csv(files)
     want = [tuple(r) for r in landing.null_tokens(whole, landing.SOURCE_COLUMNS["food"]).collect()]
     got = folder.raw().filter("f_id like 'fd%'").select(*landing.SOURCE_COLUMNS["food"]).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
@@ -282,9 +283,49 @@ def test_stream_loads_each_file_once(folder):
     got = {r._source_file: r.row_count for r in file_counts(folder.raw()).collect()}
     assert got == {"food/a.csv": 1, "food/b.csv": 2, "food/c.csv": 1}
     # The batch load takes the files of the stream as loaded.
+    assert folder.runs() == {
+        ("s1", "food/a.csv"): ("SUCCEEDED", 1), ("s1", "food/b.csv"): ("SUCCEEDED", 2),
+        ("s2", "food/c.csv"): ("SUCCEEDED", 1),
+    }
     folder.load("r1")
     assert folder.raw().count() == 4
-    assert folder.runs()[("r1", "food/b.csv")] == ("SUCCEEDED", 2)
+    assert folder.runs()[("r1", "food/b.csv")] == ("SKIPPED_ALREADY_LOADED", 0)
+    runs = control.ingestion_runs(folder.spark, folder.warehouse).read()
+    assert control.check_load(runs, "s1") == {"sources_loaded": 1, "total_rows": 3}
+    lineage = control.lineage_runs(folder.spark, folder.warehouse).read().filter("run_id like 's%'").collect()
+    assert {(x.run_id, x.input_files, x.state, x.row_count) for x in lineage} == {
+        ("s1", 2, "COMPLETE", 3), ("s2", 1, "COMPLETE", 1),
+    }
+
+
+def test_stream_records_a_torn_file(folder):
+    folder.put("a.csv", HEADER + "1,fd1,x,veg\n")
+    folder.put("torn.csv", HEADER + '2,fd2,"x,veg\n3,fd3,x,veg\n')
+    stream_source(folder.spark, folder.landing, folder.warehouse, "food", "s1").awaitTermination()
+    assert folder.runs() == {("s1", "food/a.csv"): ("SUCCEEDED", 1), ("s1", "food/torn.csv"): ("FAILED", 0)}
+    assert folder.raw().count() == 1
+    with pytest.raises(LoadGateFailed, match="food"):
+        control.check_load(control.ingestion_runs(folder.spark, folder.warehouse).read(), "s1")
+
+
+@pytest.mark.parametrize("step", ["record_results", "lineage"])
+def test_a_replayed_batch_writes_nothing_twice(folder, monkeypatch, step):
+    """A stream that dies after writing rows, or after recording them, plays the batch again under another run."""
+    folder.put("a.csv", HEADER + "1,fd1,x,veg\n2,fd2,x,veg\n")
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(control, step, crash)
+        with pytest.raises(StreamingQueryException):
+            stream_source(folder.spark, folder.landing, folder.warehouse, "food", "s1").awaitTermination()
+    assert folder.raw().count() == 2
+    stream_source(folder.spark, folder.landing, folder.warehouse, "food", "s2").awaitTermination()
+    assert folder.raw().count() == 2
+    by_run = {"record_results": {("s2", "food/a.csv"): ("SUCCEEDED", 2)}, "lineage": {
+        ("s1", "food/a.csv"): ("SUCCEEDED", 2), ("s2", "food/a.csv"): ("SKIPPED_ALREADY_LOADED", 0)}}
+    assert folder.runs() == by_run[step]
 
 
 def test_pipeline_run_rows_are_updated_in_place(spark, tmp_path):

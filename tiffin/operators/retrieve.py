@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tiffin.functions.text import content_hash
 from tiffin.operators.latest import fixed_sample, latest_per_key
 from tiffin.operators.topk import cosine_topk
+from tiffin.operators.windows import Windows, text_windows
 from tiffin.sources.tables import LayerTable
 
 CHUNKS = "chunk_id string, doc_id string, text string, metadata map<string,string>, vector array<float>"
@@ -40,10 +41,18 @@ def documents(reviews: DataFrame, sample_size: int | None = SAMPLE_SIZE, seed: i
     )
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """One chunk per document; reviews are short. Other kinds of documents would
-    be split here. A document without text has nothing to find and no chunk."""
-    return docs.filter("text is not null").select(F.col("doc_id").alias("chunk_id"), "doc_id", "text", "metadata")
+def chunks(docs: DataFrame, windows: Windows | None = None) -> DataFrame:
+    """One chunk per document, as reviews are short, or one per window: ``<doc_id>#<number>``, with the offsets of
+    its characters in the metadata. A document without text has nothing to find and no chunk."""
+    if windows is None:
+        return docs.filter("text is not null").select(F.col("doc_id").alias("chunk_id"), "doc_id", "text", "metadata")
+    span = F.concat_ws("-", "window_start", "window_end")
+    return text_windows(docs, "text", windows).select(
+        F.concat_ws("#", "doc_id", "window_no").alias("chunk_id"),
+        "doc_id",
+        F.col("window_text").alias("text"),
+        F.map_concat(F.coalesce("metadata", F.create_map().cast("map<string,string>")), F.create_map(F.lit("chars"), span)).alias("metadata"),
+    )
 
 
 def unseen_texts(pieces: DataFrame, cache: DataFrame) -> DataFrame:
@@ -104,9 +113,10 @@ def index_reviews(
     make_embedder: Callable[[], Embedder],
     sample_size: int | None = SAMPLE_SIZE,
     parallelism: int | None = None,
+    windows: Windows | None = None,
 ) -> LayerTable:
     """Documents to vector store: prepare, chunk, embed, upsert by chunk."""
-    pieces = chunks(documents(reviews, sample_size))
+    pieces = chunks(documents(reviews, sample_size), windows)
     embedded = embed_with_cache(pieces, embedding_cache(spark, warehouse), make_embedder, parallelism)
     # Of a chunk that comes twice the newer review is kept.
     newest = latest_per_key(embedded, ["chunk_id"], [F.desc(F.col("metadata")["review_date"]), F.desc("text")])
@@ -136,10 +146,12 @@ def with_chunks(hits: DataFrame, store: DataFrame) -> DataFrame:
 
 
 def context(hits: DataFrame, query_id: str = "query_id") -> DataFrame:
-    """One text per query: a line per retrieved chunk, best first. A list has at
-    most k lines."""
+    """One text per query: a line per retrieved chunk, best first, with the characters of its document that a window
+    holds. A list has at most k lines."""
     shown = lambda key: F.coalesce(F.element_at("metadata", key), F.lit("None"))
-    line = F.concat(F.lit(" ("), shown("city"), F.lit(", "), shown("rating"), F.lit(" stars) "), F.col("text"))
+    span = F.element_at("metadata", "chars")
+    chars = F.when(span.isNull(), F.lit("")).otherwise(F.concat(F.lit(", characters "), span))
+    line = F.concat(F.lit(" ("), shown("city"), F.lit(", "), shown("rating"), F.lit(" stars"), chars, F.lit(") "), F.col("text"))
     lines = F.sort_array(F.collect_list(F.struct("rank", line.alias("line"))))
     return hits.groupBy(query_id).agg(
         F.count("*").alias("n_sources"), F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("context")

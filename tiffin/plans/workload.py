@@ -18,10 +18,11 @@ from tiffin.functions.vectors import cosine
 from tiffin.operators import enrich, ivf, quality, retrieve, sketches
 from tiffin.operators.percentiles import exact_percentiles, null_safe_left_join
 from tiffin.operators.topk import cosine_topk
+from tiffin.operators.windows import Windows
 from tiffin.plans import catalog, daily, governed, marts, semantic, staging, trade
 from tiffin.session import scratch_dir, settings
 from tiffin.sources import control
-from tiffin.sources.landing import SOURCE_COLUMNS, load_sources, raw_table
+from tiffin.sources.landing import SOURCE_COLUMNS, list_files, load_listed, load_sources, raw_table
 from tiffin.sources.tables import LayerTable, merged, newer_than, newest_time
 from tiffin.streaming.landing_stream import stream_source
 
@@ -640,6 +641,19 @@ def context_assembly(spark, sf_dir):
     return retrieve.context(hits.join(store, "chunk_id"))
 
 
+WINDOWS = Windows(size=400, overlap=120, slack=100)
+
+
+@query
+def chunk_windows(spark, sf_dir):
+    """Every document in overlapping windows cut at sentence ends, with the characters each holds."""
+    docs = trade.table(spark, sf_dir, "documents").withColumn("metadata", F.create_map(F.lit("lang"), F.col("lang")))
+    pieces = retrieve.chunks(docs, WINDOWS)
+    return pieces.select(
+        "chunk_id", "doc_id", F.element_at("metadata", "chars").alias("chars"), content_hash("text").alias("content_hash")
+    )
+
+
 @query
 def review_sample(spark, sf_dir):
     return retrieve.documents(trade.reviews_typed(spark, sf_dir), sample_size=500, seed=7).select(
@@ -812,6 +826,30 @@ def stream_load(spark, sf_dir):
     return raw_table(spark, f"{base}/warehouse", "food").read().select("f_id", "item", "_batch_id", "_record_hash")
 
 
+@query
+def stream_control(spark, sf_dir):
+    """Whole and torn files as a stream of small batches, then all files once more under another run, as a batch
+    that is played again: what the control table and the lineage say of both."""
+    base = scratch_dir(spark, "stream_control")
+    landing, warehouse = f"{base}/landing", f"{base}/warehouse"
+    export_landing(spark, sf_dir, landing, ["food"], files=3)
+    torn = trade.table(spark, sf_dir, "part").select(F.format_string('0,fd%d,"%s,veg', "p_partkey", "p_name").alias("value"))
+    torn.repartition(TORN_FILES, "value").write.mode("append").text(f"{landing}/food")
+    stream_source(spark, landing, warehouse, "food", "run-1", files_per_batch=4).awaitTermination()
+    load_listed(spark, warehouse, "food", list_files(spark, landing, "food"), "run-2")
+    runs = control.ingestion_runs(spark, warehouse).read().groupBy("run_id", "status").agg(
+        F.sum("row_count").alias("row_count"),
+        F.count_if(F.col("status") == control.FAILED).alias("failed_files"),
+    )
+    lineage = control.lineage_runs(spark, warehouse).read().select(
+        "run_id", "state", F.col("row_count").alias("run_rows")
+    )
+    loaded = raw_table(spark, warehouse, "food").read().groupBy(F.col("_batch_id").alias("run_id")).agg(
+        F.count("*").alias("stored_rows")
+    )
+    return runs.join(lineage, "run_id").join(loaded, "run_id", "left")
+
+
 @query
 def daily_run(spark, sf_dir):
     """All sources from CSV files to published marts; the summary row of the run."""

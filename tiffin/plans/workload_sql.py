@@ -7,7 +7,7 @@ miss the last digit on rounding edges.
 from __future__ import annotations
 
 from tiffin.operators import enrich, quality
-from tiffin.plans.workload import SAMPLE_RULES
+from tiffin.plans.workload import SAMPLE_RULES, WINDOWS
 
 SQL: dict[str, str] = {}
 
@@ -547,6 +547,27 @@ SELECT query_id, count(*) AS n_sources,
                   || comment, chr(10) ORDER BY rank) AS context
 FROM nearest JOIN reviews ON review_id = vec_id GROUP BY query_id
 """
+def snapped(text: str, planned: str) -> str:
+    """Where a cut planned at an offset of a text lies: behind the last sentence end shortly before it, if any."""
+    tail = f"substring({text}, {planned} - {WINDOWS.slack} + 1, {WINDOWS.slack})"
+    end = f"length(regexp_extract({tail}, '^(?s:.*)([.!?][ \\t\\r]|\\n)'))"
+    return f"CASE WHEN {end} > 0 THEN {planned} - {WINDOWS.slack} + {end} ELSE {planned} END"
+
+
+SQL["chunk_windows"] = f"""
+WITH planned AS (
+  SELECT doc_id, text, unnest(range(greatest(1, CAST(ceil((length(text) - {WINDOWS.overlap}) / {WINDOWS.step}) AS BIGINT)))) AS no
+  FROM documents WHERE text IS NOT NULL
+), ends AS (
+  SELECT doc_id, text, no, no * {WINDOWS.step} AS a, no * {WINDOWS.step} + {WINDOWS.size} AS b FROM planned
+), cuts AS (
+  SELECT doc_id, text, no, CASE WHEN no = 0 THEN 0 ELSE {snapped("text", "a")} END AS a,
+         CASE WHEN b >= length(text) THEN length(text) ELSE {snapped("text", "b")} END AS b
+  FROM ends
+)
+SELECT doc_id || '#' || no AS chunk_id, doc_id, a || '-' || b AS chars, sha256(substring(text, a + 1, b - a)) AS content_hash
+FROM cuts
+"""
 SQL["review_sample"] = f"""
 WITH {REVIEWS}
 SELECT CAST(review_id AS VARCHAR) AS doc_id, CAST(review_date AS VARCHAR) AS review_date FROM reviews
@@ -656,6 +677,15 @@ SELECT 'fd' || p_partkey AS f_id, p_name AS item, 'run-1' AS _batch_id,
 FROM part
 """
 
+SQL["stream_control"] = """
+WITH n AS (SELECT count(*) AS n FROM part)
+SELECT 'run-1' AS run_id, 'SUCCEEDED' AS status, n AS row_count, 0 AS failed_files, 'FAIL' AS state, n AS run_rows,
+       n AS stored_rows FROM n
+UNION ALL SELECT 'run-1', 'FAILED', 0, 4, 'FAIL', n, n FROM n
+UNION ALL SELECT 'run-2', 'SKIPPED_ALREADY_LOADED', 0, 0, 'FAIL', 0, NULL
+UNION ALL SELECT 'run-2', 'FAILED', 0, 4, 'FAIL', 0, NULL
+"""
+
 SQL["daily_run"] = """
 SELECT 'run-1' AS run_id, 'SUCCESS' AS status, 'passed' AS dq_status, CAST(0 AS BIGINT) AS ai_fail_count,
        (SELECT count(*) FROM documents) AS ai_success_count,

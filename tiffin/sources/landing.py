@@ -55,12 +55,9 @@ DIALECT = {
 }
 
 
-def text_reader(reader, columns: Sequence[str], one_line: bool = False):
-    """The landing dialect; the header is skipped.
-
-    Without ``one_line`` fields may hold line breaks, and a file is read by one
-    task; ``read_landing_csv`` and the stream use it where that is stated."""
-    return reader.schema(text_schema(columns)).options(**DIALECT, header=True, multiLine=not one_line)
+def text_reader(reader, columns: Sequence[str]):
+    """The landing dialect, a record a line; the header is skipped."""
+    return reader.schema(text_schema(columns)).options(**DIALECT, header=True)
 
 
 def file_key(source: str):
@@ -76,7 +73,7 @@ def null_tokens(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def read_landing_csv(spark: SparkSession, paths: str | Sequence[str], source: str) -> DataFrame:
     """Text columns of a source plus ``_source_file``, from files whose every line is a record."""
     columns = SOURCE_COLUMNS[source]
-    reader = text_reader(spark.read, columns, one_line=True).option("recursiveFileLookup", True)
+    reader = text_reader(spark.read, columns).option("recursiveFileLookup", True)
     rows = reader.csv(paths if isinstance(paths, str) else list(paths))
     return null_tokens(rows.withColumn("_source_file", file_key(source)), columns)
 
@@ -161,29 +158,20 @@ def load_sources(
     sources = list(sources or SOURCE_COLUMNS)
     runs = control.ingestion_runs(spark, warehouse)
     before = runs.read()
-    marked = _marks(spark, warehouse).read()
-    known = {r["write"] for r in marked.filter(F.col("source").isin(sources)).select("write").collect()}
+    known = _recorded_writes(spark, warehouse, sources)
 
     def attempt(source: str) -> DataFrame:
         try:
             one_line = source in one_line_sources
-            return _load_new(spark, landing, warehouse, source, run_id, before, known, loaded_at, one_line)
+            files = list_files(spark, landing, source)
+            return _load_new(spark, warehouse, source, files, run_id, before, known, loaded_at, one_line)
         except Exception as exc:  # the source as a whole could not be listed or written
             return _results(spark, [("<list_files>", 0, control.FAILED, str(exc))])
 
     with ThreadPoolExecutor(at_once) as pool:
         outcomes = dict(zip(sources, pool.map(attempt, sources), strict=True))
-    at = F.lit(loaded_at or datetime.now(UTC)).cast("timestamp")
-    results = union_all([df.withColumn("source", F.lit(s)) for s, df in outcomes.items()]).select(
-        F.lit(run_id).alias("run_id"),
-        "source",
-        "file_name",
-        at.alias("ingestion_timestamp"),
-        "row_count",
-        "status",
-        "error_message",
-    )
-    control.record_results(runs, results, run_id)
+    results = union_all([df.withColumn("source", F.lit(s)) for s, df in outcomes.items()])
+    control.record_results(runs, _result_rows(results, run_id, loaded_at), run_id)
     _mark_recorded(spark, warehouse, sources, known)
 
     after = runs.read().filter((F.col("run_id") == run_id) & F.col("source").isin(sources))
@@ -193,13 +181,47 @@ def load_sources(
     return LoadOutcome(run_id, failed, summary["total_rows"])
 
 
+def load_listed(
+    spark: SparkSession, warehouse: str, source: str, files: DataFrame, run_id: str, loaded_at: datetime | None = None
+) -> None:
+    """Load those of the files (file_name, path) that have no success on record, and record them and the run's lineage.
+
+    May be called again with the same files: rows that an earlier call wrote are counted, not written again, and
+    records are put in by key.
+    """
+    runs = control.ingestion_runs(spark, warehouse)
+    known = _recorded_writes(spark, warehouse, [source])
+    results = _load_new(spark, warehouse, source, files, run_id, runs.read(), known, loaded_at, False)
+    results = results.withColumn("source", F.lit(source))
+    control.record_results(runs, _result_rows(results, run_id, loaded_at), run_id)
+    _mark_recorded(spark, warehouse, [source], known)
+    after = runs.read([LayerTable.label(run_id)]).filter((F.col("run_id") == run_id) & (F.col("source") == source))
+    control.lineage_runs(spark, warehouse).upsert(control.lineage(after, loaded_at), ["run_id", "source"])
+
+
+def _recorded_writes(spark: SparkSession, warehouse: str, sources: Sequence[str]) -> set[str]:
+    marked = _marks(spark, warehouse).read()
+    return {r["write"] for r in marked.filter(F.col("source").isin(list(sources))).select("write").collect()}
+
+
+def _result_rows(results: DataFrame, run_id: str, loaded_at: datetime | None) -> DataFrame:
+    return results.select(
+        F.lit(run_id).alias("run_id"),
+        "source",
+        "file_name",
+        F.lit(loaded_at or datetime.now(UTC)).cast("timestamp").alias("ingestion_timestamp"),
+        "row_count",
+        "status",
+        "error_message",
+    )
+
+
 def _results(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, _LOADED)
 
 
-def _load_new(spark, landing, warehouse, source, run_id, runs, known, loaded_at, one_line) -> DataFrame:
+def _load_new(spark, warehouse, source, files, run_id, runs, known, loaded_at, one_line) -> DataFrame:
     table = raw_table(spark, warehouse, source)
-    files = list_files(spark, landing, source)
     new, old = control.split_new_files(files, runs, source)
     # File names and paths only; Spark's own file index holds the same list.
     todo = {r["file_name"]: r["path"] for r in new.select("file_name", "path").collect()}

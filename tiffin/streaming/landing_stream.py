@@ -1,4 +1,4 @@
-"""The landing load as a stream: each new file of a source is loaded once."""
+"""The landing load as a stream: each new file of a source is loaded once, and recorded like one of a batch load."""
 
 from __future__ import annotations
 
@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tiffin.sources.landing import SOURCE_COLUMNS, file_key, null_tokens, raw_table, stamp, text_reader
+from tiffin.sources.landing import file_key, load_listed
+
+# The columns of Spark's binaryFile source, which lists files.
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def stream_source(
@@ -18,28 +21,27 @@ def stream_source(
     files_per_batch: int | None = None,
     continuous: bool = False,
 ) -> StreamingQuery:
-    """Append the new files of a source to its raw table.
-
-    The checkpoint remembers which files were read. A micro-batch that is played
-    again after a crash finds its own rows and is not written twice. By default
+    """Load the new files of a source into its raw table, with their control and lineage rows.
+
+    The stream carries names of files; each micro-batch is loaded as a batch of
+    files is, so fields may run over the ends of blocks, and a torn file leaves
+    a failed row and no others. The checkpoint remembers which files came. A
+    micro-batch that is played again after a crash, under whatever run, finds
+    its rows and its records: files on record are skipped, rows without a record
+    are counted. A failed file comes again by the batch load alone. By default
     the query stops when everything present has been loaded.
     """
-    columns = SOURCE_COLUMNS[source]
-    reader = text_reader(spark.readStream, columns).option("recursiveFileLookup", True)
+    reader = spark.readStream.format("binaryFile").schema(LISTING).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.csv(f"{landing}/{source}").withColumn("_source_file", file_key(source))
-    table = raw_table(spark, warehouse, source)
+    # Without ``content`` no file is opened here.
+    files = reader.load(f"{landing}/{source}").select(file_key(source).alias("file_name"), "path")
     checkpoint = f"{warehouse}/checkpoints/raw/{source}"
 
     def load(batch: DataFrame, number: int) -> None:
-        context = batch.sparkSession._jsparkSession.sparkContext()
-        part = f"{context.getLocalProperty('sql.streaming.queryId')}-{number}"
-        if any(p.part == part for p in table.pieces()):
-            return
-        table.append(stamp(null_tokens(batch, columns), source, run_id), part=part)
+        load_listed(batch.sparkSession, warehouse, source, batch, run_id)
 
-    writer = rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer if continuous else writer.trigger(availableNow=True)).start()
 
 
