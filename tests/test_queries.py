@@ -14,7 +14,7 @@ SQL = {k: v for k, v in entry_module.oracle_sql().items() if k in workload_sql.S
 
 # Plans that are finished before a frame is returned; the rest is inspected.
 EAGER = {
-    "csv_load", "csv_split_load", "daily_run", "daily_two_days", "embed_reviews", "enrichment_batch", "fact_orders_lookback", "fact_orders_skipping", "ingestion_runs",
+    "csv_load", "csv_split_load", "daily_run", "daily_two_days", "embed_reviews", "enrichment_batch", "enrichment_success", "fact_orders_lookback", "fact_orders_skipping", "ingestion_runs",
     "lineage_runs", "review_retrieval", "stream_control", "stream_load", "torn_load",
     "vector_upsert",
 }

@@ -137,15 +137,21 @@ def freshness(
     df: DataFrame, table: str, time_column: str, now: datetime | Column, warn_hours: float = 24, error_hours: float = 48
 ) -> DataFrame:
     """Hours since the newest row, and whether that is too long."""
+    newest = df.agg(F.max(F.col(time_column).cast("timestamp")).alias("newest"))
+    return freshness_of(newest.select(F.lit(table).alias("table_name"), "newest"), now, warn_hours, error_hours)
+
+
+def freshness_of(
+    newest: DataFrame, now: datetime | Column, warn_hours: float = 24, error_hours: float = 48
+) -> DataFrame:
+    """The same for (table_name, newest), one row a table."""
     at = now if isinstance(now, Column) else F.lit(now)
-    newest = F.max(F.col(time_column).cast("timestamp"))
     seconds = F.unix_micros(at.cast("timestamp")) - F.unix_micros(F.col("newest"))
     age = F.col("age_hours")
     return (
-        df.agg(newest.alias("newest"))
-        .withColumn("age_hours", seconds / F.lit(3_600_000_000.0))
+        newest.withColumn("age_hours", seconds / F.lit(3_600_000_000.0))
         .select(
-            F.lit(table).alias("table_name"),
+            "table_name",
             F.col("newest").alias("max_loaded_at"),
             "age_hours",
             F.when(age.isNull() | (age > error_hours), "fail").when(age > warn_hours, "warn").otherwise("pass").alias(

@@ -426,6 +426,21 @@ def dq_freshness(spark, sf_dir):
     )
 
 
+@query
+def dq_freshness_loads(spark, sf_dir):
+    """Freshness from control rows: events as load results, a source per kind of event, whose errors bring no rows."""
+    runs = trade.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("source"),
+        F.when(F.col("event_type") == "error", control.FAILED).otherwise(control.SUCCEEDED).alias("status"),
+        F.when(F.col("event_type") != "view", 1).otherwise(0).alias("row_count"),
+        F.col("ts").alias("ingestion_timestamp"),
+    )
+    newest = control.newest_loads(runs).select(F.col("source").alias("table_name"), F.col("newest").cast("timestamp"))
+    return quality.freshness_of(newest, F.lit("2024-02-02 00:30:00").cast("timestamp")).select(
+        "table_name", F.round("age_hours", 6).alias("age_hours"), "status"
+    )
+
+
 @query
 def dq_parity(spark, sf_dir):
     heads = trade.order_heads(spark, sf_dir)
@@ -590,6 +605,19 @@ def enrichment_batch(spark, sf_dir):
     return enrich.enrichment_log(spark, base).read().drop("processed_at")
 
 
+@query
+def enrichment_success(spark, sf_dir):
+    """The success table after two batches of which the second asks again for what failed."""
+    base = scratch_dir(spark, "enrichment-success")
+    reviews = trade.reviews_typed(spark, sf_dir)
+    for batch in ("b-1", "b-2"):
+        enrich.run_batch(
+            spark, base, reviews, batch, make_client=sample_client, model_name="m", prompt_version="v2",
+            reprocess_failed=True,
+        )
+    return enrich.review_enriched(spark, base).read().drop("processed_at", "pii_redacted_count")
+
+
 # --- retrieval ----------------------------------------------------------------
 
 

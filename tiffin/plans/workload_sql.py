@@ -386,6 +386,12 @@ SELECT 'events' AS table_name, age_hours,
 FROM (SELECT round(date_diff('microsecond', max(ts), TIMESTAMP '2024-02-02 00:30:00') / 3600000000.0, 6) AS age_hours
       FROM events)
 """
+SQL["dq_freshness_loads"] = """
+SELECT event_type AS table_name, age_hours,
+       CASE WHEN age_hours > 48 THEN 'fail' WHEN age_hours > 24 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT event_type, round(date_diff('microsecond', max(ts), TIMESTAMP '2024-02-02 00:30:00') / 3600000000.0, 6) AS age_hours
+      FROM events WHERE event_type NOT IN ('error', 'view') GROUP BY event_type)
+"""
 SQL["dq_parity"] = f"""
 SELECT view_name, n AS gold_row_count, n AS semantic_row_count, 0 AS failures FROM (
   SELECT 'sem_orders' AS view_name, count(*) AS n FROM orders
@@ -547,6 +553,14 @@ SELECT query_id, count(*) AS n_sources,
                   || comment, chr(10) ORDER BY rank) AS context
 FROM nearest JOIN reviews ON review_id = vec_id GROUP BY query_id
 """
+SQL["enrichment_success"] = """
+SELECT doc_id AS review_id, 'b-1' AS batch_id, 'neutral' AS sentiment_label, CAST(0 AS DOUBLE) AS sentiment_score,
+       'other' AS topic, CAST(NULL AS VARCHAR) AS key_issue, 'm' AS model_name, 'm-1' AS model_version,
+       'v2' AS prompt_version
+FROM documents WHERE text NOT LIKE '%license%'
+"""
+
+
 def snapped(text: str, planned: str) -> str:
     """Where a cut planned at an offset of a text lies: behind the last sentence end shortly before it, if any."""
     tail = f"substring({text}, {planned} - {WINDOWS.slack} + 1, {WINDOWS.slack})"
