@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiffin.plans.daily import merge_fact
+from tiffin.sources import keystats
 from tiffin.sources.tables import DuplicateKeys, LayerTable, incremental_rows
 
 
@@ -166,3 +167,25 @@ def test_watermark_reaches_the_parquet_scan(spark, tmp_path):
     target.append(source)
     plan = incremental_rows(source, target, "t")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(t" in plan
+
+
+def test_many_keys_are_asked_of_the_ranges_alone(spark, tmp_path, monkeypatch):
+    """A filter passes some of very many keys by chance, so building and asking it for them is work for nothing."""
+    table = LayerTable(spark, str(tmp_path / "t"), "k bigint, v string", keys=["k"])
+    half = F.floor(F.col("k") / 50_000)
+    table.replace(spark.range(0, 100_000, 2).select(F.col("id").alias("k"), F.lit("old").alias("v")), part_by=half)
+    monkeypatch.setattr(keystats, "may_hold", lambda *_: pytest.fail("the filters were asked"))
+    batch = spark.range(1, 40_000).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    assert [p.part for p in table.candidates(table.pieces(), batch.select("k"), ["k"])] == ["0"]
+    table.upsert(batch, ["k"], part_by=half)
+    assert table.read().groupBy("v").count().orderBy("v").collect() == [("new", 39_999), ("old", 30_001)]
+
+
+def test_a_filter_has_a_row_per_word_of_keys(spark, tmp_path):
+    stored = spark.range(5_000).select(F.lit("p").alias("path"), F.col("id").alias("k"))
+    sizes = spark.createDataFrame([("p", keystats.words_for(5_000))], "path string, words bigint")
+    held = keystats.filters(stored, sizes, ["k"])
+    assert held.count() <= keystats.words_for(5_000) == 4_096
+    ask = lambda low, high: keystats.may_hold(held, spark.range(low, high).toDF("k"), ["k"], [4_096]).count()
+    assert all(ask(k, k + 1) for k in (0, 17, 4_999))
+    assert sum(ask(k, k + 1) for k in range(9_000, 9_010)) <= 1
