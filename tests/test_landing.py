@@ -10,6 +10,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from tiffin.session import settings
 from tiffin.sources import control, landing, records
 from tiffin.sources.control import LoadGateFailed
 from tiffin.streaming.landing_stream import file_counts, stream_source
@@ -341,3 +342,24 @@ def test_pipeline_run_rows_are_updated_in_place(spark, tmp_path):
     got = {r.run_id: r for r in table.read().collect()}
     assert set(got) == {"r1", "r2"}
     assert (got["r1"].status, got["r1"].started_at, got["r1"].dag_run_id) == ("SUCCESS", start, "r1")
+
+
+def test_records_are_cut_where_they_lie(spark):
+    """Records of lines in blocks of any cut against one pass over the file; only parts of those over an end are shuffled."""
+    rng = random.Random(9)
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "3"}):
+        for size in (1, 4, 9):
+            values = [rng.choice(["", " ", "a,b", 'a,"b', 'c",d', "e\r", '"', 'x,"y"', 'i"j']) for _ in range(70)]
+            rows = [("f", (i // size) * 10, v) for i, v in enumerate(values)]
+            found = spark.createDataFrame(rows, "file_name string, block long, value string").coalesce(1)
+            placed, _ = records.with_states(found)
+            want, part = [], []
+            for r in placed.orderBy("block", "at").collect():
+                part.append(r["value"])
+                if not r["open"]:
+                    want += ["\n".join(part)] if len(part) > 1 or part[0].strip(" \t\r") else []
+                    part = []
+            want += ["\n".join(part)] if part else []
+            want = [w.removesuffix("\r") for w in want[1:]]
+            cut = records.records(found, records.block_states(found)[0])
+            assert sorted(r["record"] for r in cut.collect()) == sorted(want)
