@@ -363,3 +363,13 @@ def test_records_are_cut_where_they_lie(spark):
             want = [w.removesuffix("\r") for w in want[1:]]
             cut = records.records(found, records.block_states(found)[0])
             assert sorted(r["record"] for r in cut.collect()) == sorted(want)
+
+
+def test_tasks_take_several_blocks(spark, sf_dir, tmp_path):
+    """The load in small blocks sends the measures of a bounded number of tasks to the driver."""
+    path = str(tmp_path / "lines")
+    spark.range(200_000).select(F.col("id").cast("string").alias("value")).coalesce(1).write.text(path)
+    small = {"spark.sql.files.maxPartitionBytes": "1KB", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.maxPartitionNum": "16"}
+    with settings(spark, small):
+        found = records.lines(spark, [path], F.lit("f"))
+        assert found.rdd.getNumPartitions() <= 17 and found.select("block").distinct().count() > 1000

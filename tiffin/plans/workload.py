@@ -794,7 +794,9 @@ def csv_split_load(spark, sf_dir):
     """The same load from few files in many blocks, so that fields run over the ends of blocks."""
     base = scratch_dir(spark, "csv_split_load")
     export_landing(spark, sf_dir, f"{base}/landing", ["reviews"], files=2)
-    with settings(spark, {"spark.sql.files.maxPartitionBytes": "64KB", "spark.sql.files.openCostInBytes": "0"}):
+    # A task takes several blocks, as every task sends its measures to the driver.
+    blocks = {"spark.sql.files.maxPartitionBytes": "64KB", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.maxPartitionNum": "256"}
+    with settings(spark, blocks):
         load_sources(spark, f"{base}/landing", f"{base}/warehouse", "run-1", ["reviews"])
     return raw_table(spark, f"{base}/warehouse", "reviews").read().select(
         "review_id", "rating", "review_date", F.md5("comment").alias("comment_md5"), "_batch_id", "_record_hash"
