@@ -277,8 +277,7 @@ def customers_rolling(spark, sf_dir):
     heads = trade.order_heads(spark, sf_dir).select("order_date", "customer_id")
     quarter = (F.year("order_date") * 4 + F.quarter("order_date")).alias("quarter")
     by_day = sketches.rolling_distinct(sketches.distinct_sketches(heads, ["order_date"], "customer_id"), "order_date", 30)
-    windows = heads.distinct().select(F.explode(F.sequence("order_date", F.date_add("order_date", 29))).alias("order_date"), "customer_id")
-    exact = windows.groupBy("order_date").agg(F.count_distinct("customer_id").alias("exact"))
+    exact = sketches.exact_rolling_distinct(heads, "order_date", "customer_id", 30).withColumnRenamed("distinct", "exact")
     near = lambda c: F.abs(F.col(c) - F.col("exact")) <= 2 + sketches.COUNT_ERROR * F.col("exact")
     rolling = by_day.join(exact, "order_date").select(
         F.lit("rolling").alias("kind"), F.col("order_date").cast("string").alias("period"), "exact", near("distinct").alias("within")
