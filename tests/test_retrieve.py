@@ -230,3 +230,11 @@ def test_retrieval_over_all_texts_against_brute_force(spark, sf_dir):
         position = -1
         for i in best:  # in this order, each whole text
             position = got[q].context.index(texts[int(i)], position + 1)
+
+
+def test_items_are_placed_once(spark):
+    """The cells of an index are found when it is built, not again by every search."""
+    store = spark.range(60).select(F.col("id").alias("chunk_id"), F.array(F.sin("id"), F.cos("id")).alias("vector"))
+    index = ivf.build_index(store, cells=4)
+    assert "ArrowEvalPython" not in index.items._jdf.queryExecution().executedPlan().toString()
+    assert index.items.count() == 60

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tiffin.operators.topk import ITEMS_PER_BLOCK, QUERIES_PER_BLOCK, _best, _unit
+from tiffin.session import scratch_dir
 
 MAX_CELLS = 1_024  # so many centroids travel with the tasks at most
 SAMPLE = 100_000  # items that the cells are learned from, by their hash
@@ -77,8 +78,10 @@ def build_index(
         return CellIndex(centroids, held.withColumn("cell", F.lit(0)), item_id)
     model = KMeans(k=cells, seed=SEED, maxIter=15, distanceMeasure="cosine").fit(learned)
     centroids = _unit(np.array(model.clusterCenters()))
-    placed = held.withColumn("cell", _nearest_cells(centroids, F.col("vector"), 1)[0])
-    return CellIndex(centroids, placed, item_id)
+    # Written, as every search reads the items twice.
+    path = scratch_dir(store.sparkSession, "ivf-items")
+    held.withColumn("cell", _nearest_cells(centroids, F.col("vector"), 1)[0]).write.parquet(path)
+    return CellIndex(centroids, store.sparkSession.read.parquet(path), item_id)
 
 
 def search(
