@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +191,16 @@ def test_a_filter_has_a_row_per_word_of_keys(spark, tmp_path):
     ask = lambda low, high: keystats.may_hold(held, spark.range(low, high).toDF("k"), ["k"], [4_096]).count()
     assert all(ask(k, k + 1) for k in (0, 17, 4_999))
     assert sum(ask(k, k + 1) for k in range(9_000, 9_010)) <= 1
+
+
+def test_disk_of_a_run(spark, table):
+    """Shuffle files go when the statement that made them is done; tables are stored with the stronger codec."""
+    held = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").count("shuffle_")
+    before = held()
+    table.replace(spark.range(1000).selectExpr("id AS k", "'x' AS v").repartition(8, "k"), part_by=F.col("k") % 3)
+    for _ in range(50):
+        if held() <= before:
+            break
+        time.sleep(0.2)
+    assert held() <= before
+    assert all(".zstd." in f for f in table.read().inputFiles())
