@@ -15,7 +15,7 @@ import numpy as np
 
 from tiffin.llm.common import task_memory
 
-MEMO_BYTES = 48 << 20  # of words that a task remembers before it starts afresh
+MEMO_BYTES = 96 << 20  # of words that a task remembers; beyond half of it, those not met since the last time go
 ENTRY_BYTES = 250  # what an entry takes beside its characters and ids
 MEMO_CHARS = 64  # longer words are not remembered
 # Letters below U+0250, written as ranges; texts with later characters, with the
@@ -23,6 +23,7 @@ MEMO_CHARS = 64  # longer words are not remembered
 # and blanks that only some engines count as white space, go to the tokenizer
 # whole.
 LETTERS = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
+ASCII_UNSAFE = "\x1c\x1d\x1e\x1f"
 UNSAFE = r"[\x1c-\x1f\x85\xa0\u0130\u0250-\U0010ffff]"
 # A word, or what lies between words. An apostrophe may begin a contraction and
 # white space other than a blank is split by what follows: both take the next
@@ -75,8 +76,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([UNSAFE, *added]))
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([UNSAFE, *map(re.escape, added)]))
+        self.ascii_whole = [*ASCII_UNSAFE, *added]
         self.words = re.compile(WORDS[keeps_space]).findall
         self.in_a_row = re.compile(rf" [{LETTERS}]+").fullmatch if keeps_space else None
         vocabulary = self.tokenizer.get_vocab()
@@ -86,8 +88,15 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # met before ``memo`` was begun
         self.memo_bytes = 0
 
+    def _is_whole(self, text: str) -> bool:
+        """Whether a text goes to the tokenizer as it is."""
+        if text.isascii():  # the same question, without a look at each character
+            return any(stop in text for stop in self.ascii_whole)
+        return self.whole.search(text) is not None
+
     def _by_library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
@@ -107,21 +116,23 @@ class WordEncoder:
         return {w: data[i:j] for w, i, j in zip(words, cuts, cuts[1:], strict=False)}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.memo_bytes > MEMO_BYTES:
-            self.forget()
-        parts = [None if self.whole.search(t) else self.words(t) for t in texts]
-        new = [w for w in set().union(*(p for p in parts if p)) if w not in self.memo]
+        if self.memo_bytes > MEMO_BYTES // 2:
+            self.older, self.memo, self.memo_bytes = self.memo, {}, 0
+        parts = [None if self._is_whole(t) else self.words(t) for t in texts]
+        missing = [w for w in set().union(*(p for p in parts if p)) if w not in self.memo]
+        again = {w: self.older[w] for w in missing if w in self.older}
+        new = [w for w in missing if w not in again]
         row = list(filter(self.in_a_row, new)) if self.in_a_row else []
         found = self._row(row) if row else {}
         left = [w for w in new if w not in found]
         found.update(zip(left, self._by_library(left), strict=True))
-        self.memo.update(found)
-        self.memo_bytes += sum(ENTRY_BYTES + len(w) + len(ids) for w, ids in found.items())
+        for words in (again, found):
+            self.memo.update(words)
+            self.memo_bytes += ENTRY_BYTES * len(words) + sum(map(len, words)) + sum(map(len, words.values()))
         get = self.memo.__getitem__
         out = [
             self._by_library([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)
         ]
-        for w in found:
-            if len(w) > MEMO_CHARS:
-                del self.memo[w]
+        for w in [w for w in found if len(w) > MEMO_CHARS]:
+            del self.memo[w]
         return out
