@@ -40,7 +40,7 @@ WIDTH = 2  # largest size of a band over its smallest
 PAIRS_UP_TO = 8  # differences up to which one group has all partitions, and pairs of them are signatures
 THIRDS_UP_TO = 40  # up to which groups have three partitions; beyond, two
 SPARE = 1.06  # groups beyond what the pigeonhole needs, for those with too few elements
-BLOCK_MEMBERS = 512  # classes of a cell that one task compares with as many
+BLOCK_MEMBERS = 1024  # classes of a cell that one task compares with as many
 RANGE_SHINGLES = 2_000_000  # shingles whose signatures one task sorts
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -90,41 +90,121 @@ def _subsets(parts: int, keep: int) -> np.ndarray:
     return np.array(list(combinations(range(parts), keep)), np.int64)
 
 
+def contents(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """32-bit digests of what a sorted set of hashes has in each partition, of all its bands in a row; 0 where it has nothing.
+
+    Bands in which similar sets are equal have none.
+    """
+    out = []
+    sums = np.r_[np.zeros(1, np.uint64), np.cumsum(_mixed(shingles * SECOND + GOLDEN), dtype=np.uint64)]
+    for b in _open_bands(len(shingles), percent):
+        total = b.groups * b.parts
+        # Partitions are ranges of the hash.
+        edges = np.arange(1, total, dtype=np.float64) * (2.0**64 / total)
+        ends = np.r_[0, np.searchsorted(shingles, edges.astype(np.uint64)), len(shingles)]
+        digest = (_mixed((sums[ends[1:]] - sums[ends[:-1]]) * GOLDEN) >> np.uint64(32)).astype(np.uint32)
+        out.append(np.where(np.diff(ends) > 0, np.maximum(digest, 1), 0).astype(np.uint32))
+    return np.concatenate(out) if out else np.zeros(0, np.uint32)
+
+
+@lru_cache(maxsize=1 << 14)
+def _open_bands(size: int, percent: int) -> list[Band]:
+    return [b for b in bands_of(size, percent) if b.differences]
+
+
+def _in_bands(held: np.ndarray, size: int, percent: int) -> Iterator[tuple[Band, np.ndarray]]:
+    """The bands of a set of this size, each with its part of the set's ``contents``."""
+    at = 0
+    for b in _open_bands(size, percent):
+        yield b, held[at : at + b.groups * b.parts]
+        at += b.groups * b.parts
+
+
 def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """64-bit signatures of a sorted set of hashes, of all its bands.
+    """64-bit signatures of a sorted set of hashes."""
+    return signatures_of(contents(shingles, percent), len(shingles), percent)
+
+
+def signatures_of(held: np.ndarray, n: int, percent: int) -> np.ndarray:
+    """64-bit signatures, of all its bands, of the set of ``n`` elements with these ``contents``.
 
     Signatures of subsets without an element are left out where enough groups
     have elements: of the ``rich`` groups (elements in more partitions than may
     be broken) the differences can spoil at most ``differences / (broken + 1)``,
     so with more rich groups than that some signature with elements is shared.
-    Bands in which similar sets are equal have none.
     """
-    n, out = len(shingles), []
-    for b in bands_of(n, percent):
-        if not b.differences:
-            continue
-        total = b.groups * b.parts
-        # Partitions are ranges of the hash.
-        edges = np.arange(1, total, dtype=np.float64) * (2.0**64 / total)
-        ends = np.r_[0, np.searchsorted(shingles, edges.astype(np.uint64)), n]
-        sums = np.r_[np.zeros(1, np.uint64), np.cumsum(_mixed(shingles * SECOND + GOLDEN), dtype=np.uint64)]
-        counts = np.diff(ends).reshape(b.groups, b.parts)
-        place = np.arange(total, dtype=np.uint64) + np.uint64(b.number << 40)
-        content = _mixed((sums[ends[1:]] - sums[ends[:-1]]) * GOLDEN + place).reshape(b.groups, b.parts)
+    out = []
+    for b, own in _in_bands(held, n, percent):
+        place = np.arange(len(own), dtype=np.uint64) + np.uint64(b.number << 40)
+        content = _mixed(own.astype(np.uint64) * GOLDEN + place).reshape(b.groups, b.parts)
+        some = (own > 0).reshape(b.groups, b.parts)
         keep = min(2, b.parts - b.broken)
         subsets = _subsets(b.parts, keep)
         value = content[:, subsets[:, 0]]
         for column in range(1, keep):
             value = value * SECOND + content[:, subsets[:, column]]
-        held = counts[:, subsets].sum(axis=2) > 0
-        rich = int(((counts > 0).sum(axis=1) > b.broken).sum())
+        posted = some[:, subsets].any(axis=2)
+        rich = int((some.sum(axis=1) > b.broken).sum())
         most = min(b.high, n * 100 // percent)
         if rich <= differences(n, most, percent) // (b.broken + 1):
-            held[:] = True
-        out.append(_mixed(value)[held])
+            posted[:] = True
+        out.append(_mixed(value)[posted])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def may_link(x: np.ndarray, n_x: int, y: np.ndarray, n_y: int, percent: int) -> bool:
+    """Whether sets of these sizes and contents can be similar: an element that only one has spoils one partition."""
+    if 100 * min(n_x, n_y) < percent * max(n_x, n_y):
+        return False
+    apart, others = differences(n_x, n_y, percent), {b.number: own for b, own in _in_bands(y, n_y, percent)}
+    return any(
+        b.number in others and int((own != others[b.number]).sum()) <= apart for b, own in _in_bands(x, n_x, percent)
+    )
+
+
+def _with_partners(
+    held: list[np.ndarray], n: np.ndarray, root: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int
+) -> np.ndarray:
+    """Which members may link with one of another component on the other side, as ``may_link`` has it."""
+    found, by_band = np.zeros(len(n), bool), {}
+    for side, members in enumerate((left, right)):
+        for i in members:
+            for b, own in _in_bands(held[i], int(n[i]), percent):
+                by_band.setdefault(b.number, ([], []))[side].append((i, own))
+    for lefts, rights in by_band.values():
+        if not lefts or not rights:
+            continue
+        rights.sort(key=lambda r: n[r[0]])
+        at, grid = np.array([i for i, _ in rights]), np.stack([own for _, own in rights])
+        sizes, roots = n[at], root[at]
+        for i, own in lefts:
+            low, high = np.searchsorted(100 * sizes, percent * n[i], "left"), np.searchsorted(percent * sizes, 100 * n[i], "right")
+            apart = (grid[low:high] != own).sum(axis=1)
+            near = (apart <= (n[i] + sizes[low:high]) * (100 - percent) // (100 + percent)) & (roots[low:high] != root[i])
+            if near.any():
+                found[i] = True
+                found[at[low:high][near]] = True
+    return found
+
+
+def _near_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that ``may_link`` lets through."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("parts_a", "n_a", "parts_b", "n_b")]
+            near = [
+                may_link(np.frombuffer(x, np.uint32), n_x, np.frombuffer(y, np.uint32), n_y, percent)
+                for x, n_x, y, n_y in zip(*columns, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    for side in "ab":
+        named = classes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("parts").alias(f"parts_{side}"))
+        pairs = pairs.join(named, side)
+    return pairs.mapInArrow(test, "a binary, b binary")
+
+
 def _cells(met: DataFrame, roots: DataFrame) -> DataFrame:
     """cell, node, root, n_shingles: the classes that meet one smallest member, and this member.
 
@@ -138,8 +218,19 @@ def _cells(met: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(members.select("cell", "node", F.coalesce("root", "node").alias("root"), "n_shingles"), "join-cells")
 
 
-def _linked_in_cells(cells: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) that join different components of a cell, each two blocks of its members compared on their own."""
+def _linked_in_cells(cells: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that join different components of a cell, each two blocks of its members compared on their own.
+
+    First the contents of partitions tell which members may link at all, then the texts of these are read.
+    """
+
+    def open_members(cell: pa.Table) -> pa.Table:
+        n = cell.column("n_shingles").to_numpy()
+        held = [np.frombuffer(p, np.uint32) for p in cell.column("parts").to_pylist()]
+        _, root = np.unique(cell.column("root").to_pylist(), return_inverse=True)
+        is_left = cell.column("is_left").to_numpy(zero_copy_only=False)
+        near = _with_partners(held, n, root, np.flatnonzero(is_left), np.flatnonzero(~is_left), percent)
+        return cell.select(["cell", "l", "r", "node", "root", "n_shingles", "is_left"]).filter(pa.array(near))
 
     def compare(cell: pa.Table) -> pa.Table:
         hashes = WordHashes()
@@ -161,16 +252,19 @@ def _linked_in_cells(cells: DataFrame, texts: DataFrame, words: int, percent: in
         "cell", F.col("major.root").alias("major"), blocks(F.col("size")).alias("rights"),
         blocks(F.col("size") - F.col("major.n")).alias("lefts"),
     )
-    placed = cells.join(sizes, "cell")
+    placed = cells.join(sizes, "cell").join(classes.select("node", "parts"), "node")
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    columns = ["cell", "node", "root", "n_shingles"]
+    columns = ["cell", "node", "root", "n_shingles", "parts"]
     minor = placed.filter(F.col("root") != F.col("major")).select(
         *columns, block("lefts").alias("l"), every("rights").alias("r"), F.lit(True).alias("is_left")
     )
     whole = placed.select(*columns, every("lefts").alias("l"), block("rights").alias("r"), F.lit(False).alias("is_left"))
-    dealt = minor.unionByName(whole).join(texts, "node")
-    return dealt.groupBy("cell", "l", "r").applyInArrow(compare, "a binary, b binary").distinct()
+    grouped = minor.unionByName(whole).groupBy("cell", "l", "r")
+    near = "cell binary, l long, r long, node binary, root binary, n_shingles long, is_left boolean"
+    near = stored(grouped.applyInArrow(open_members, near), "join-near")
+    texts = _texts_of(near.select("node").distinct(), classes, docs)
+    return near.join(texts, "node").groupBy("cell", "l", "r").applyInArrow(compare, "a binary, b binary").distinct()
 
 
 def _links(
@@ -213,33 +307,31 @@ def _links(
     return a, b
 
 
-SKETCH_DDL = "doc_id long, text_hash string, n_shingles long, node binary"
+SKETCH_DDL = "doc_id long, text_hash string, n_shingles long, node binary, parts binary"
 
 
 def _node(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def _owner(node: bytes) -> int:
-    return int.from_bytes(node[:8], "little", signed=True)
-
-
-def sketch(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, node (digest of the set; null for an empty one)."""
+def sketch(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, node (digest of the set) and parts (its ``contents``); both null for an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         with task_memory():
             for batch in batches:
                 for at in range(0, batch.num_rows, ROWS):
-                    part, sizes, nodes = batch.slice(at, ROWS), [], []
+                    part, sizes, nodes, parts = batch.slice(at, ROWS), [], [], []
                     for text in part.column("text").to_pylist():
                         found = shingle_set(text, words, hashes)
                         sizes.append(len(found))
                         nodes.append(_node(found) if len(found) else None)
+                        parts.append(contents(found, percent).tobytes() if len(found) else None)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id"), part.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary())],
-                        ["doc_id", "text_hash", "n_shingles", "node"],
+                        [part.column("doc_id"), part.column("text_hash"), pa.array(sizes, pa.int64()),
+                         pa.array(nodes, pa.binary()), pa.array(parts, pa.binary())],
+                        ["doc_id", "text_hash", "n_shingles", "node", "parts"],
                     )
             hashes.clear()
 
@@ -247,34 +339,27 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, SKETCH_DDL)
 
 
-def shared_signatures(docs: DataFrame, words: int, percent: int, ranges: int) -> DataFrame:
+def shared_signatures(classes: DataFrame, percent: int, ranges: int) -> DataFrame:
     """Sets that share signatures: a set (a), the smallest set of a list (b), and in how many lists (n) they meet so.
 
-    Sets go by the first 64 bits of their digests. Signatures travel as packed arrays, one row per range of values and flush
-    of a task; a task posts each set once.
+    Sets go by the first 64 bits of their digests (owner). Signatures travel as packed arrays, one row per range of values
+    and flush of a task.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, held, size = WordHashes(), set(), [], 0
+        held, size = [], 0
         with task_memory():
             for batch in batches:
-                for at in range(0, batch.num_rows, ROWS):
-                    for text in batch.slice(at, ROWS).column("text").to_pylist():
-                        found = shingle_set(text, words, hashes)
-                        owner = _owner(_node(found)) if len(found) else None
-                        if owner is None or owner in seen:
-                            continue
-                        seen.add(owner)
-                        posted = signatures(found, percent)
-                        held.append((posted, np.full(len(posted), owner, np.int64)))
-                        size += len(posted)
-                        if size >= PACKED_ROWS:
-                            yield _packed(held, lambda token, _: token, ranges)
-                            held, size = [], 0
-                            seen.clear()
+                columns = [batch.column(c).to_pylist() for c in ("owner", "n_shingles", "parts")]
+                for owner, n, parts in zip(*columns, strict=True):
+                    posted = signatures_of(np.frombuffer(parts, np.uint32), n, percent)
+                    held.append((posted, np.full(len(posted), owner, np.int64)))
+                    size += len(posted)
+                    if size >= PACKED_ROWS:
+                        yield _packed(held, lambda token, _: token, ranges)
+                        held, size = [], 0
             if held:
                 yield _packed(held, lambda token, _: token, ranges)
-            hashes.clear()
 
     def collide(rows: pa.Table) -> pa.Table:
         token, owner = _unpacked(rows)
@@ -290,7 +375,7 @@ def shared_signatures(docs: DataFrame, words: int, percent: int, ranges: int) ->
         met, n_met = np.unique(np.c_[owner[meets], hub[meets]], axis=0, return_counts=True)
         return pa.table([pa.array(met[:, 0]), pa.array(met[:, 1]), pa.array(n_met.astype(np.int64))], ["a", "b", "n"])
 
-    dealt = docs.select(whole_text().alias("text")).mapInArrow(deal, "range long, shingles binary, owners binary")
+    dealt = classes.select("owner", "n_shingles", "parts").mapInArrow(deal, "range long, shingles binary, owners binary")
     return dealt.groupBy("range").applyInArrow(collide, "a long, b long, n long")
 
 
@@ -311,24 +396,26 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     are a cell; in cells that still hold several components, the classes
     outside the largest one are compared with all. Cells are cut into blocks,
     two blocks meet in a task, and no pair is left out for the size of a list.
+    Texts are read only of classes that have as many partitions alike with
+    another one as similar sets of their sizes must have.
     """
-    sketches = stored(sketch(docs, words), "join-sketch")
+    sketches = stored(sketch(docs, words, percent), "join-sketch")
     classes = stored(
         sketches.filter("n_shingles > 0")
         .groupBy("node")
-        .agg(F.first("n_shingles").alias("n_shingles"), F.min("text_hash").alias("text_hash"))
+        .agg(
+            F.first("n_shingles").alias("n_shingles"), F.min("text_hash").alias("text_hash"), F.first("parts").alias("parts")
+        )
         .withColumn("owner", _owner_of("node")),
         "join-classes",
     )
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
-    lists = shared_signatures(docs, words, percent, max(4, -(-total // RANGE_SHINGLES)))
+    lists = shared_signatures(classes, percent, max(4, -(-total // RANGE_SHINGLES)))
     met = lists.groupBy("a", "b").agg(F.sum("n").alias("times"))
     for side in "ab":
         named = classes.select(F.col("owner").alias(side), F.col("node").alias(f"node_{side}"), F.col("n_shingles").alias(f"n_{side}"))
         met = met.join(named, side)
     met = stored(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "times", "n_a", "n_b"), "join-met")
-    nodes = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = _texts_of(nodes, classes, docs)
 
     # The smallest member of a list, the one that a set meets most often.
     best = (
@@ -337,9 +424,11 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
         .agg(F.max(F.struct("times", "b")).alias("best"))
         .select("a", F.col("best.b").alias("b"))
     )
-    first = stored(_confirmed(stored(best, "join-pairs"), texts, words, percent), "join-links")
+    pairs = stored(_near_pairs(best, classes, percent), "join-pairs")
+    texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, docs)
+    first = stored(_confirmed(pairs, texts, words, percent), "join-links")
     cells = _cells(met, components(first))
-    links = stored(first.unionByName(_linked_in_cells(cells, texts, words, percent)), "join-links")
+    links = stored(first.unionByName(_linked_in_cells(cells, classes, docs, words, percent)), "join-links")
 
     grouped = stored(
         sketches.select("doc_id", "n_shingles", "node")
